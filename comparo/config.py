@@ -115,4 +115,4 @@ def family_rows() -> list[tuple[str, str]]:
 
 def suffix_rows() -> list[str]:
     """Known public suffixes without the leading dot."""
-    return [t[1:] for _, t in family_rows()] + list(EXTRA_SUFFIXES)
+    return [t[1:] for t, _ in family_rows()] + list(EXTRA_SUFFIXES)

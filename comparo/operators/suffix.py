@@ -17,8 +17,8 @@ from comparo.functions import domains as D
 
 
 def suffix_table(spark: SparkSession, suffixes: list[str] | None = None) -> DataFrame:
-    rows = [(s.lower(),) for s in (suffixes or config.suffix_rows())]
-    return spark.createDataFrame(rows, "suffix string").distinct()
+    rows = [(s,) for s in sorted({s.lower() for s in (suffixes or config.suffix_rows())})]
+    return spark.createDataFrame(rows, "suffix string")
 
 
 def family_table(spark: SparkSession) -> DataFrame:
@@ -38,8 +38,11 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
     last label. Lookup is case-insensitive, output keeps the input case.
     """
     spark = df.sparkSession
-    suffixes = suffixes if suffixes is not None else suffix_table(spark)
-    k_max = _max_labels(suffixes)
+    if suffixes is None:
+        suffixes = suffix_table(spark)
+        k_max = max(s.count(".") + 1 for s in config.suffix_rows())
+    else:
+        k_max = _max_labels(suffixes)
     host = F.col(host_col)
     out = df
     match_cols = []
@@ -66,23 +69,24 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
 
 
 def parse_domain(df: DataFrame, name_col: str = "domain", suffixes: DataFrame | None = None,
-                 default_tld: str = ".com") -> DataFrame:
-    """Add sld, tld, length, is_multi_word, has_numbers, numeric_percentage.
+                 default_tld: str = ".com", prefix: str = "") -> DataFrame:
+    """Add sld, tld, length, is_multi_word, has_numbers, numeric_percentage (names get ``prefix``).
 
     ``default_tld`` is used when no suffix is known ('.com' on the query and
-    CSV paths, '' on the metadata backfill path).
+    CSV paths, '' on the metadata backfill path). Row-preserving: only
+    broadcast lookups, no shuffle.
     """
     out = df.withColumn("__host", D.host_of(F.col(name_col)))
     out = split_suffix(out, "__host", suffixes, prefix="__")
     sld = F.col("__sld")
     out = (
-        out.withColumn("sld", sld)
-        .withColumn("tld", F.when(F.col("__suffix") == "", F.lit(default_tld)).otherwise(
+        out.withColumn(f"{prefix}sld", sld)
+        .withColumn(f"{prefix}tld", F.when(F.col("__suffix") == "", F.lit(default_tld)).otherwise(
             F.concat(F.lit("."), F.col("__suffix"))))
-        .withColumn("length", F.length(sld).cast("int"))
-        .withColumn("is_multi_word", D.is_multi_word(sld))
-        .withColumn("has_numbers", D.has_numbers(sld))
-        .withColumn("numeric_percentage", D.numeric_percentage(sld))
+        .withColumn(f"{prefix}length", F.length(sld).cast("int"))
+        .withColumn(f"{prefix}is_multi_word", D.is_multi_word(sld))
+        .withColumn(f"{prefix}has_numbers", D.has_numbers(sld))
+        .withColumn(f"{prefix}numeric_percentage", D.numeric_percentage(sld))
     )
     return out.drop("__host", "__suffix", "__sld")
 

@@ -94,7 +94,44 @@ corpus AS (
   LEFT JOIN documents x ON x.doc_id = e.vec_id),
 queries_in AS (
   SELECT dk AS input_id, desc_index AS query_index, domain AS input_domain, sld, tld, length,
-    primary_category, secondary_category, has_numbers, embedding FROM corpus)"""
+    primary_category, secondary_category, has_numbers, embedding FROM corpus),
+sales_raw AS (
+  SELECT d.dk AS line_no,
+    CASE WHEN d.dk % 17 = 0 THEN NULL WHEN d.dk % 19 = 0 THEN '   '
+         WHEN d.dk % 7 = 0 THEN concat(' ', d.domain, ' ') ELSE d.domain END AS domain,
+    CASE WHEN d.dk % 11 = 0 THEN NULL WHEN d.dk % 13 = 0 THEN 'n/a'
+         ELSE concat('$1,', CAST(100 + d.dk % 900 AS VARCHAR), '.50') END AS price,
+    CASE WHEN d.dk % 23 = 0 THEN '' ELSE x1.text END AS description_1,
+    CASE WHEN d.dk % 3 = 0 THEN NULL WHEN d.dk % 5 = 0 THEN ' ' ELSE x2.text END AS description_2,
+    d.primary_category, d.secondary_category, d.platform, d.sale_date AS date
+  FROM domains d LEFT JOIN documents x1 ON x1.doc_id = d.dk * 2 LEFT JOIN documents x2 ON x2.doc_id = d.dk * 2 + 1),
+pairs AS (
+  SELECT a.id AS id_a, b.id AS id_b, a.tld AS in_tld, a.primary_category AS in_primary,
+    a.secondary_category AS in_secondary, a.embedding AS emb_a, b.tld AS cand_tld,
+    b.primary_category AS cand_primary, b.secondary_category AS cand_secondary, b.sale_date, b.embedding AS emb_b
+  FROM corpus a JOIN corpus b ON b.dk = a.dk + 1 AND b.desc_index = a.desc_index),
+responses AS (
+  SELECT dk AS input_id, domain,
+    CASE WHEN dk % 13 = 0 THEN concat('{{"domain": "', domain, '", "primary_category": ')
+         WHEN dk % 17 = 0 THEN '[1, 2]'
+         WHEN dk % 11 = 0 THEN concat(hd, pr, '", "secondary_category": "', secondary_category, '"', '', '}}')
+         WHEN dk % 9 = 0 THEN concat(hd, pr, '", "secondary_category": "', pr, '"', gd, '}}')
+         WHEN dk % 7 = 0 THEN concat(hd, pr, '", "secondary_category": "', secondary_category, '"',
+                                     ', "descriptions": []', '}}')
+         WHEN dk % 5 = 0 THEN concat(hd, pr, '", "secondary_category": "', secondary_category, '"',
+                                     ', "descriptions": "not a list"', '}}')
+         ELSE concat(hd, pr, '", "secondary_category": "', secondary_category, '"', gd, '}}') END AS response
+  FROM (SELECT *, concat('{{"domain": "', domain, '", "primary_category": "') AS hd,
+          CASE WHEN dk % 19 = 0 THEN 'Premium' ELSE primary_category END AS pr,
+          concat(', "descriptions": ["A ', lower(CASE WHEN dk % 19 = 0 THEN 'Premium' ELSE primary_category END),
+                 ' name for ', sld, '.", "Used by ', platform, ' buyers."',
+                 CASE WHEN dk % 3 = 0 THEN ', "A third idea."' ELSE '' END, ']') AS gd
+        FROM domains)),
+corpus_gaps AS (
+  SELECT * REPLACE (CASE WHEN dk % 4 = 0 THEN NULL ELSE length END AS length,
+                    CASE WHEN dk % 4 = 0 THEN NULL ELSE tld END AS tld,
+                    CASE WHEN dk % 4 = 0 OR dk % 8 = 1 THEN NULL ELSE has_numbers END AS has_numbers)
+  FROM corpus)"""
 
 
 def category_match_sql(cp, cs, ip, isec) -> str:

@@ -124,3 +124,52 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         d2.alias("description_2"), "primary_category", "secondary_category", "platform",
         F.col("sale_date").alias("date"),
     )
+
+
+def pairs(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = None) -> DataFrame:
+    """Scoring pairs: each corpus row (the input side, ``a``) with the row of the next domain that has
+    the same description index (the candidate side, ``b``)."""
+    c = corpus_df if corpus_df is not None else corpus(spark, sf_dir)
+    a = c.select(F.col("dk").alias("a_dk"), F.col("id").alias("id_a"), F.col("desc_index").alias("a_desc"),
+                 F.col("tld").alias("in_tld"), F.col("primary_category").alias("in_primary"),
+                 F.col("secondary_category").alias("in_secondary"), F.col("embedding").alias("emb_a"))
+    b = c.select(F.col("dk").alias("b_dk"), F.col("id").alias("id_b"), F.col("desc_index").alias("b_desc"),
+                 F.col("tld").alias("cand_tld"), F.col("primary_category").alias("cand_primary"),
+                 F.col("secondary_category").alias("cand_secondary"), F.col("sale_date"),
+                 F.col("embedding").alias("emb_b"))
+    return a.join(b, (F.col("b_dk") == F.col("a_dk") + 1) & (F.col("b_desc") == F.col("a_desc")))
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored provider responses, one per sold domain, some of them malformed on purpose."""
+    d = domains(spark, sf_dir)
+    dk = F.col("dk")
+    head = F.concat(F.lit('{"domain": "'), F.col("domain"), F.lit('", "primary_category": "'))
+    prim = F.when(dk % 19 == 0, F.lit("Premium")).otherwise(F.col("primary_category"))
+    sec = F.col("secondary_category")
+
+    def obj(second, tail):
+        return F.concat(head, prim, F.lit('", "secondary_category": "'), second, F.lit('"'), tail, F.lit("}"))
+    good_desc = F.concat(F.lit(', "descriptions": ["A '), F.lower(prim), F.lit(" name for "), F.col("sld"),
+                         F.lit('.", "Used by '), F.col("platform"), F.lit(' buyers."'),
+                         F.when(dk % 3 == 0, F.lit(', "A third idea."')).otherwise(F.lit("")), F.lit("]"))
+    resp = (F.when(dk % 13 == 0, F.concat(F.lit('{"domain": "'), F.col("domain"), F.lit('", "primary_category": ')))
+            .when(dk % 17 == 0, F.lit("[1, 2]"))
+            .when(dk % 11 == 0, obj(sec, F.lit("")))
+            .when(dk % 9 == 0, obj(prim, good_desc))
+            .when(dk % 7 == 0, obj(sec, F.lit(', "descriptions": []')))
+            .when(dk % 5 == 0, obj(sec, F.lit(', "descriptions": "not a list"')))
+            .otherwise(obj(sec, good_desc)))
+    return d.select(dk.alias("input_id"), "domain", resp.alias("response"))
+
+
+def corpus_with_gaps(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = None) -> DataFrame:
+    """The corpus as stored before the metadata backfill: every fourth domain lacks length, tld and
+    has_numbers (one in eight lacks only has_numbers)."""
+    c = corpus_df if corpus_df is not None else corpus(spark, sf_dir)
+    dk = F.col("dk")
+    gap = dk % 4 == 0
+    return (c.withColumn("length", F.when(gap, F.lit(None).cast("int")).otherwise(F.col("length")))
+            .withColumn("tld", F.when(gap, F.lit(None).cast("string")).otherwise(F.col("tld")))
+            .withColumn("has_numbers", F.when(gap | (dk % 8 == 1), F.lit(None).cast("boolean"))
+                        .otherwise(F.col("has_numbers"))))
