@@ -1,10 +1,10 @@
 """Public-suffix split (J3), TLD families (J2) and domain parsing.
 
-The suffix table is small and bounded (the family TLDs plus a few
-multi-label suffixes, or a user list such as the full public suffix list,
-~10k rows), so it is broadcast. A host is matched against its last 1..K
-labels with K broadcast hash joins (K = most labels of any suffix), and the
-longest match wins. Nothing is shuffled, and rows are never grouped.
+A host is matched against its last 1..K labels (K = most labels of any
+suffix) and the longest match wins. The built-in list (family TLDs plus a
+few multi-label suffixes) is a literal inside the expression. A user list
+such as the full public suffix list (~10k rows, bounded) is broadcast, with
+one hash join per K. Nothing is shuffled, and rows are never grouped.
 """
 
 from __future__ import annotations
@@ -31,41 +31,49 @@ def _max_labels(suffixes: DataFrame) -> int:
     return int(row[0] or 1)
 
 
+def _sql_str(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _known_suffix(cand: F.Column, suffixes: list[str]) -> F.Column:
+    # one parsed literal instead of one JVM call per entry
+    return F.array_contains(F.expr("array(" + ", ".join(_sql_str(x) for x in suffixes) + ")"), cand)
+
+
 def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None, prefix: str = "") -> DataFrame:
     """Add ``{prefix}suffix`` (longest known suffix, '' if none) and ``{prefix}sld``.
 
     SLD = the label just before the suffix; with no known suffix it is the
     last label. Lookup is case-insensitive, output keeps the input case.
+    The built-in suffix list (~80 entries) is a literal in the expression;
+    a user list (e.g. the full public suffix list) is broadcast-joined once
+    per label count K.
     """
-    spark = df.sparkSession
+    host = F.col(host_col)
+    out = df
+    hits: dict[int, F.Column] = {}
     if suffixes is None:
-        suffixes = suffix_table(spark)
-        k_max = max(s.count(".") + 1 for s in config.suffix_rows())
+        known = sorted({x.lower() for x in config.suffix_rows()})
+        k_max = max(x.count(".") + 1 for x in known)
+        for k in range(1, k_max + 1):
+            hits[k] = _known_suffix(F.lower(D.last_labels(host, k)), known)
     else:
         k_max = _max_labels(suffixes)
-    host = F.col(host_col)
-    out = df
-    match_cols = []
-    for k in range(k_max, 0, -1):
-        cand = f"__cand{k}"
-        hit = f"__hit{k}"
-        lookup = F.broadcast(suffixes.select(F.col("suffix").alias(cand), F.lit(True).alias(hit)))
-        out = out.withColumn(cand, F.lower(D.last_labels(host, k))).join(lookup, on=cand, how="left")
-        match_cols.append((k, hit))
-    # longest match first
-    length_expr = F.lit(0)
-    for k, hit in reversed(match_cols):
-        length_expr = F.when(F.col(hit), F.lit(k)).otherwise(length_expr)
-    out = out.withColumn("__k", length_expr)
+        for k in range(k_max, 0, -1):
+            cand, hit = f"__cand{k}", f"__hit{k}"
+            lookup = F.broadcast(suffixes.select(F.col("suffix").alias(cand), F.lit(True).alias(hit)))
+            out = out.withColumn(cand, F.lower(D.last_labels(host, k))).join(lookup, on=cand, how="left")
+            hits[k] = F.coalesce(F.col(hit), F.lit(False))
     suffix_expr = F.lit("")
-    for k in range(1, k_max + 1):
-        suffix_expr = F.when(F.col("__k") == k, D.last_labels(host, k)).otherwise(suffix_expr)
+    for k in range(1, k_max + 1):  # longest match wins: later (longer) checks override
+        suffix_expr = F.when(hits[k], D.last_labels(host, k)).otherwise(suffix_expr)
     out = out.withColumn(f"{prefix}suffix", suffix_expr)
     sfx = F.col(f"{prefix}suffix")
     rest = F.when(sfx == "", host).otherwise(F.left(host, F.greatest(F.length(host) - F.length(sfx) - 1, F.lit(0))))
     out = out.withColumn(f"{prefix}sld", D.last_labels(rest, 1))
-    drop = ["__k"] + [f"__cand{k}" for k in range(1, k_max + 1)] + [f"__hit{k}" for k in range(1, k_max + 1)]
-    return out.drop(*drop)
+    if suffixes is not None:
+        out = out.drop(*[f"__cand{k}" for k in range(1, k_max + 1)], *[f"__hit{k}" for k in range(1, k_max + 1)])
+    return out
 
 
 def parse_domain(df: DataFrame, name_col: str = "domain", suffixes: DataFrame | None = None,
@@ -91,16 +99,21 @@ def parse_domain(df: DataFrame, name_col: str = "domain", suffixes: DataFrame |
     return out.drop("__host", "__suffix", "__sld")
 
 
+def tld_family(tld: F.Column) -> F.Column:
+    """J2 as an expression: family of a TLD, 'other' when unknown (the fixed table is a literal map)."""
+    literal = "map(" + ", ".join(f"{_sql_str(t)}, {_sql_str(fam)}" for t, fam in config.family_rows()) + ")"
+    return F.coalesce(F.try_element_at(F.expr(literal), tld), F.lit("other"))
+
+
+def tld_key(tld: F.Column) -> F.Column:
+    """Blocking key of the TLD filter (P10): the family when known, else the TLD itself."""
+    fam = tld_family(tld)
+    return F.when(fam == "other", tld).otherwise(fam)
+
+
 def with_tld_family(df: DataFrame, tld_col: str = "tld", out_col: str = "tld_family") -> DataFrame:
-    """Family of a TLD, 'other' when unknown (broadcast of the fixed family table)."""
-    fam = F.broadcast(family_table(df.sparkSession).withColumnRenamed("tld", "__ftld")
-                      .withColumnRenamed("family", "__fam"))
-    out = df.join(fam, F.col(tld_col) == F.col("__ftld"), "left")
-    return out.withColumn(out_col, F.coalesce(F.col("__fam"), F.lit("other"))).drop("__ftld", "__fam")
+    return df.withColumn(out_col, tld_family(F.col(tld_col)))
 
 
 def with_tld_key(df: DataFrame, tld_col: str = "tld", out_col: str = "tld_key") -> DataFrame:
-    """Blocking key of the TLD filter (P10): the family when known, else the TLD itself."""
-    out = with_tld_family(df, tld_col, "__family")
-    key = F.when(F.col("__family") == "other", F.col(tld_col)).otherwise(F.col("__family"))
-    return out.withColumn(out_col, key).drop("__family")
+    return df.withColumn(out_col, tld_key(F.col(tld_col)))
