@@ -174,7 +174,7 @@ def q_document_text(spark, sf_dir):
 
 
 _DUP_SQL_PRELUDE = """raw2 AS (SELECT * FROM sales_raw UNION ALL
-  SELECT line_no + 1000000000 AS line_no, domain, price, concat(description_1, ' (again)') AS description_1,
+  SELECT line_no + 1000000000 AS line_no, domain, price, description_1 || ' (again)' AS description_1,
     description_2, primary_category, secondary_category, platform, date FROM sales_raw)"""
 
 
