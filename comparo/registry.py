@@ -27,9 +27,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _inputs(spark: SparkSession, sf_dir: str):
-    """The derived corpus, written once as a parquet table (as a stored corpus is read), and the inputs."""
-    corpus = materialize(fx.corpus(spark, sf_dir), "corpus")
+def _inputs(spark: SparkSession, sf_dir: str, reuse: bool = True):
+    """The derived corpus and the inputs.
+
+    ``reuse=True`` (queries that read the corpus several times) writes it once as a parquet table, which is how
+    a stored corpus is read; single-pass queries read the derivation directly.
+    """
+    corpus = fx.corpus(spark, sf_dir)
+    if reuse:
+        corpus = materialize(corpus, "corpus")
     return corpus, fx.queries_in(spark, sf_dir, corpus)
 
 
@@ -210,7 +216,7 @@ def q_build_corpus_vectors(spark, sf_dir):
           + "SELECT id, domain, desc_index FROM built WHERE id NOT IN (SELECT id FROM corpus WHERE desc_index = 1)")
 def q_incremental_new(spark, sf_dir):
     """Rows of the sales file not stored yet, when the store holds the first description of every domain."""
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     existing = corpus.where(F.col("desc_index") == 1)
     rows = prepare_rows(fx.sales_raw(spark, sf_dir))
     return C.incremental_new(rows, existing).select("id", "domain", "desc_index")
@@ -221,7 +227,7 @@ def q_incremental_new(spark, sf_dir):
   UNION ALL SELECT id, price, sale_date FROM built)""")
 def q_upsert_corpus(spark, sf_dir):
     """The built rows replace stored rows with the same id."""
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     new = prepare_rows(fx.sales_raw(spark, sf_dir))
     return C.upsert(corpus.select("id", "price", "sale_date"), new.select("id", "price", "sale_date"))
 
@@ -234,7 +240,7 @@ def q_upsert_corpus(spark, sf_dir):
   g.length IS NULL AS backfilled
 FROM corpus_gaps g JOIN gsx s ON s.id = g.id""")
 def q_backfill_metadata(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return C.backfill_metadata(fx.corpus_with_gaps(spark, sf_dir, corpus)).select(
         "id", "length", "tld", "has_numbers", "backfilled")
 
@@ -263,7 +269,7 @@ def _corpus_path(corpus):
 @register("corpus_count", O.with_(O.base_ctes())
           + "SELECT count(*) AS n_documents, count(*) = 0 AS is_empty FROM corpus")
 def q_corpus_count(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return CS.corpus_count(corpus)
 
 
@@ -275,7 +281,7 @@ _FLAT_SQL = ("SELECT id, document, domain, tld, length, price, platform, sale_da
 def q_export_flat(spark, sf_dir):
     """Written as flat parquet and read back (vector column left out of the comparison)."""
     from comparo.session import shared_path
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     path = CS.export_flat(corpus, shared_path(spark, "export"))
     return spark.read.parquet(path).drop("embedding")
 
@@ -286,7 +292,7 @@ def q_export_flat(spark, sf_dir):
 def q_restore_roundtrip(spark, sf_dir):
     """S7 -> S8 -> S9: back up as JSON, pick the latest backup, restore to a new path; equals the corpus."""
     from comparo.session import shared_path
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     folder = shared_path(spark, "backups")
     CS.backup_json(corpus, folder)
     restored = spark.read.parquet(CS.restore(spark, CS.latest_backup(spark, folder), shared_path(spark, "live")))
@@ -299,7 +305,7 @@ def q_restore_roundtrip(spark, sf_dir):
 def q_backup_json(spark, sf_dir):
     """Rows of the written JSON backup (rows-only check)."""
     from comparo.session import shared_path
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return CS.read_backup(spark, CS.backup_json(corpus, shared_path(spark, "backups")))
 
 
@@ -318,7 +324,7 @@ def q_read_sales_csv(spark, sf_dir):
   count(DISTINCT coalesce(domain, '')) AS unique_domains, count(*) = 0 AS is_empty, count(*) < 100 AS small_corpus
 FROM corpus""")
 def q_profile_totals(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return PR.totals(corpus)
 
 
@@ -330,13 +336,13 @@ ORDER BY documents DESC, value LIMIT {n}"""
 
 @register("profile_tld", O.with_(O.base_ctes()) + _top_sql("tld", 15))
 def q_profile_tld(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return PR.tld_distribution(corpus)
 
 
 @register("profile_category", O.with_(O.base_ctes()) + _top_sql("primary_category", 10))
 def q_profile_category(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return PR.category_distribution(corpus)
 
 
@@ -344,14 +350,14 @@ def q_profile_category(spark, sf_dir):
   avg(p) AS avg_price, sum(p) AS total_price, count(p) AS priced_documents
 FROM (SELECT CASE WHEN price > 0 AND NOT isnan(price) THEN price END AS p FROM corpus)""")
 def q_profile_price(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return PR.price_stats(corpus)
 
 
 @register("profile_dates", O.with_(O.base_ctes()) + """SELECT min(d) AS earliest_sale, max(d) AS latest_sale
 FROM (SELECT CASE WHEN sale_date <> '' THEN sale_date END AS d FROM corpus)""")
 def q_profile_dates(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return PR.date_range(corpus)
 
 
@@ -360,14 +366,14 @@ def q_profile_dates(spark, sf_dir):
     + (f">= {lo}" if hi is None else f"BETWEEN {lo} AND {hi}") + ") AS documents FROM corpus"
     for i, (lab, lo, hi) in enumerate(config.LENGTH_BUCKETS)) + ")")
 def q_profile_length(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return PR.length_histogram(corpus)
 
 
 @register("profile_numeric", O.with_(O.base_ctes()) + """SELECT count_if(coalesce(has_numbers, false)) AS with_numbers,
   count_if(NOT coalesce(has_numbers, false)) AS without_numbers FROM corpus""")
 def q_profile_numeric(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return PR.numeric_split(corpus)
 
 
@@ -377,7 +383,7 @@ def q_profile_numeric(spark, sf_dir):
       FROM (SELECT * FROM corpus ORDER BY id LIMIT 30)) WHERE rn = 1))
 WHERE sample_rank <= 10""")
 def q_profile_sample(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return PR.sample_domains(corpus).select("id", "domain", "tld", "length", "sample_rank")
 
 
@@ -589,7 +595,7 @@ FILTER_SPEC = {"$and": [{"length": {"$gte": 8, "$lte": 12}},
 WHERE length >= 8 AND length <= 12 AND (tld IN ('.com', '.io') OR primary_category = 'Brandable')""")
 def q_filter_spec(spark, sf_dir):
     """A declarative spec ($and, $or, $gte, $lte, $in, $eq) turned into one predicate on the corpus."""
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return corpus.where(spec_to_column(FILTER_SPEC)).select("id", "length", "tld", "primary_category")
 
 
