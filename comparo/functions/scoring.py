@@ -50,15 +50,18 @@ ISO_DATE_PREFIX = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 
 def sale_timestamp(date_text: Column | str) -> Column:
-    """ISO date/time text -> TIMESTAMP; NULL when it does not start with YYYY-MM-DD or is invalid."""
+    """ISO date/time text -> wall-clock TIMESTAMP_NTZ; NULL when it does not start with YYYY-MM-DD or is
+    invalid. A trailing offset or ``Z`` is read and the time shown in the session time zone."""
     d = _c(date_text)
-    return F.when(d.rlike(ISO_DATE_PREFIX), F.try_to_timestamp(d))
+    return F.when(d.rlike(ISO_DATE_PREFIX), F.try_to_timestamp(d).cast("timestamp_ntz"))
 
 
 def age_days(date_text: Column | str, as_of: Column) -> Column:
-    """Whole days elapsed (floored) from the sale to ``as_of``."""
+    """Whole days elapsed (floored) from the sale to ``as_of``, on wall-clock time (independent of daylight
+    saving changes in the session time zone)."""
     ts = sale_timestamp(date_text)
-    return F.floor((F.unix_micros(as_of) - F.unix_micros(ts)) / F.lit(86_400_000_000))
+    micros = F.timestamp_diff("MICROSECOND", ts, as_of.cast("timestamp_ntz"))
+    return F.floor(micros / F.lit(86_400_000_000))
 
 
 def recency_weight(date_text: Column | str, as_of: Column, settings: Settings = config.DEFAULT) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comparo.functions.scoring import clean_price
@@ -60,9 +60,14 @@ def with_metadata(df: DataFrame) -> DataFrame:
 
 
 def dedup_ids(rows: DataFrame, order_col: str = "line_no") -> DataFrame:
-    """The first row (by ``order_col``, then description index) of every id wins."""
-    w = Window.partitionBy("id").orderBy(F.col(order_col), F.col("desc_index"))
-    return rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    """The first row (by ``order_col``, then description index) of every id wins.
+
+    An aggregation with ``min_by`` rather than a window: it combines partially before the shuffle, so an id
+    repeated across many files never gathers all its copies in one task.
+    """
+    cols = [c for c in rows.columns if c != "id"]
+    first = F.min_by(F.struct(*cols), F.struct(F.col(order_col), F.col("desc_index")))
+    return rows.groupBy("id").agg(first.alias("__r")).select("id", "__r.*").select(*rows.columns)
 
 
 def incremental_new(rows: DataFrame, existing: DataFrame) -> DataFrame:
