@@ -288,7 +288,7 @@ def q_export_flat(spark, sf_dir):
 
 @register("restore_roundtrip", O.with_(O.base_ctes())
           + "SELECT id, document, domain, tld, length, price, sale_date, desc_index, has_numbers, "
-            "list_sum(CAST(embedding AS DOUBLE[])) AS vsum FROM corpus")
+            "round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS vsum FROM corpus")
 def q_restore_roundtrip(spark, sf_dir):
     """S7 -> S8 -> S9: back up as JSON, pick the latest backup, restore to a new path; equals the corpus."""
     from comparo.session import shared_path
@@ -298,7 +298,7 @@ def q_restore_roundtrip(spark, sf_dir):
     restored = spark.read.parquet(CS.restore(spark, CS.latest_backup(spark, folder), shared_path(spark, "live")))
     vsum = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda s, x: s + x)
     return restored.select("id", "document", "domain", "tld", "length", "price", "sale_date", "desc_index",
-                           "has_numbers", vsum.alias("vsum"))
+                           "has_numbers", F.round(vsum, 6).alias("vsum"))
 
 
 @register("backup_json")
@@ -347,11 +347,13 @@ def q_profile_category(spark, sf_dir):
 
 
 @register("profile_price", O.with_(O.base_ctes()) + """SELECT min(p) AS min_price, max(p) AS max_price,
-  avg(p) AS avg_price, sum(p) AS total_price, count(p) AS priced_documents
+  round(avg(p), 6) AS avg_price, round(sum(p), 6) AS total_price, count(p) AS priced_documents
 FROM (SELECT CASE WHEN price > 0 AND NOT isnan(price) THEN price END AS p FROM corpus)""")
 def q_profile_price(spark, sf_dir):
     corpus, _ = _inputs(spark, sf_dir, reuse=False)
-    return PR.price_stats(corpus)
+    # sums depend on addition order in the last bits; the check compares them at 6 decimals
+    return PR.price_stats(corpus).withColumn("avg_price", F.round("avg_price", 6)).withColumn(
+        "total_price", F.round("total_price", 6))
 
 
 @register("profile_dates", O.with_(O.base_ctes()) + """SELECT min(d) AS earliest_sale, max(d) AS latest_sale
