@@ -364,16 +364,16 @@ def q_profile_dates(spark, sf_dir):
 
 
 @register("profile_length", O.with_(O.base_ctes()) + "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT {i} AS bucket_order, '{lab}' AS bucket, count_if(coalesce(length, 0) "
-    + (f">= {lo}" if hi is None else f"BETWEEN {lo} AND {hi}") + ") AS documents FROM corpus"
+    f"SELECT {i} AS bucket_order, '{lab}' AS bucket, CAST(count_if(coalesce(length, 0) "
+    + (f">= {lo}" if hi is None else f"BETWEEN {lo} AND {hi}") + ") AS BIGINT) AS documents FROM corpus"
     for i, (lab, lo, hi) in enumerate(config.LENGTH_BUCKETS)) + ")")
 def q_profile_length(spark, sf_dir):
     corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return PR.length_histogram(corpus)
 
 
-@register("profile_numeric", O.with_(O.base_ctes()) + """SELECT count_if(coalesce(has_numbers, false)) AS with_numbers,
-  count_if(NOT coalesce(has_numbers, false)) AS without_numbers FROM corpus""")
+@register("profile_numeric", O.with_(O.base_ctes()) + """SELECT CAST(count_if(coalesce(has_numbers, false)) AS BIGINT) AS with_numbers,
+  CAST(count_if(NOT coalesce(has_numbers, false)) AS BIGINT) AS without_numbers FROM corpus""")
 def q_profile_numeric(spark, sf_dir):
     corpus, _ = _inputs(spark, sf_dir, reuse=False)
     return PR.numeric_split(corpus)
@@ -468,7 +468,7 @@ def q_composite_score(spark, sf_dir):
 
 
 @register("normalize_vectors", O.with_(O.base_ctes()) + """SELECT vec_id, pos, round(CAST(v AS DOUBLE), 6) AS value FROM (
-  SELECT vec_id, generate_subscripts(nv, 1) - 1 AS pos, unnest(nv) AS v FROM (
+  SELECT vec_id, CAST(generate_subscripts(nv, 1) - 1 AS INTEGER) AS pos, unnest(nv) AS v FROM (
     SELECT vec_id, CASE WHEN nrm > 0 THEN CAST(list_transform(e, lambda x: x / nrm) AS FLOAT[]) ELSE CAST(e AS FLOAT[]) END AS nv
     FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
             sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))) AS nrm FROM embeddings)))""")
