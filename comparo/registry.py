@@ -765,3 +765,21 @@ def q_ingest_stream(spark, sf_dir):
     corpus_dir = shared_path(spark, "stream_corpus")
     run_ingest(spark, f"{src}/*", corpus_dir, shared_path(spark, "stream_ckpt"))
     return spark.read.parquet(corpus_dir).select("id", "domain", "desc_index", "price", "sale_date", "document")
+
+
+# --------------------------------------------------------------------------- E3 from names (text path)
+
+@register("search_domains")
+def q_search_domains(spark, sf_dir):
+    """E3 end to end from names: every sales-file name is an input, enriched from the stored responses
+    (fallback when invalid), its descriptions embedded with the hashing encoder, and searched against the
+    corpus built from the sales file (rows-only check)."""
+    from comparo.plans.build_corpus import build_corpus
+    from comparo.plans.search import search_domains
+    raw = fx.sales_raw(spark, sf_dir)
+    corpus = materialize(build_corpus(raw), "built_corpus")
+    inputs = raw.select(F.col("line_no").alias("input_id"), "domain")
+    responses = fx.responses(spark, sf_dir).select(F.col("domain"), "response")
+    out = search_domains(inputs, responses, corpus, AS_OF)
+    return out.select("input_id", "input_domain", "status", "total_comparables", "confidence",
+                      F.get(F.col("comparables"), 0)["domain"].alias("top_domain"), "error")
