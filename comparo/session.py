@@ -15,13 +15,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "comparo") -> SparkSession:
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
+                  app: str = "comparo") -> SparkSession:
+    """Session for local runs and tests. On a cluster, use the cluster's session: shuffle partitions then come
+    from its configuration and AQE coalesces or splits them at run time."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
