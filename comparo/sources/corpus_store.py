@@ -96,3 +96,20 @@ def restore(spark: SparkSession, backup_path: str, target_folder: str) -> str:
     path = f"{target_folder.rstrip('/')}/restored_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%d_%H%M%S_%f')}"
     from_records(read_backup(spark, backup_path)).write.mode("errorifexists").parquet(path)
     return path
+
+
+def write_corpus(corpus: DataFrame, folder: str, partition_by_family: bool = True) -> str:
+    """Write the curated corpus to a new path under ``folder``; returns the path.
+
+    With ``partition_by_family`` the table is laid out by ``tld_key`` (TLD family, or the TLD itself when it
+    has no family). The neighbour search joins on that stored column, so when the query side is small,
+    dynamic partition pruning reads only the families the queries touch.
+    """
+    from comparo.operators.suffix import tld_key
+
+    path = f"{folder.rstrip('/')}/corpus_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%d_%H%M%S_%f')}"
+    writer = corpus.withColumn("tld_key", tld_key(F.col("tld"))).write.mode("errorifexists")
+    if partition_by_family:
+        writer = writer.partitionBy("tld_key")
+    writer.parquet(path)
+    return path
