@@ -1,7 +1,8 @@
 """Benchmark of the headline queries.
 
 Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
-``local[$BENCH_CPUS]``. There is one warm-up run, then the median of
+``local[$BENCH_CPUS]``. One warm-up pass runs every query once (so the JVM's JIT
+and the Python workers are warm for all of them), then each query gets the median of
 ``$BENCH_RUNS`` (default 3) timed runs. Each run executes the whole plan into
 Spark's ``noop`` sink, so no rows pass through the driver. Prints one JSON line.
 """
@@ -31,9 +32,10 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus))
     times: dict[str, float] = {}
+    for name in names:  # warm-up pass
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     for name in names:
         fn = QUERIES[name]
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
         samples = []
         for _ in range(runs):
             t0 = time.perf_counter()
