@@ -167,13 +167,13 @@ def description_sql(doc: str) -> str:
             f"WHEN instr({doc}, 'Category:') > 0 AND {p3} > 0 THEN {fb} END, '')")
 
 
-def knn_ctes(name: str, queries: str, use_tld: bool, k: int = 50, d: int = 2) -> str:
+def knn_ctes(name: str, queries: str, use_tld: bool, k: int = 50, d: int = 2, corpus: str = "corpus") -> str:
     """Top-k filtered neighbours as a plain theta join + row_number (the brute-force form)."""
     tld_cond = "c.tld_key = q.tld_key AND " if use_tld else ""
     return f"""{name}_q AS (SELECT qq.*, coalesce(f.family, qq.tld) AS tld_key FROM {queries} qq
     LEFT JOIN tld_families f ON f.tld = qq.tld),
 {name}_c AS (SELECT cc.id, cc.length, cc.primary_category, cc.secondary_category, cc.embedding,
-    coalesce(f.family, cc.tld) AS tld_key FROM corpus cc LEFT JOIN tld_families f ON f.tld = cc.tld),
+    coalesce(f.family, cc.tld) AS tld_key FROM {corpus} cc LEFT JOIN tld_families f ON f.tld = cc.tld),
 {name}_p AS (
   SELECT q.input_id, q.query_index, c.id,
     list_distance(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS distance
@@ -184,35 +184,37 @@ def knn_ctes(name: str, queries: str, use_tld: bool, k: int = 50, d: int = 2) ->
     ORDER BY distance, id) AS INTEGER) AS rank FROM {name}_p) WHERE rank <= {k})"""
 
 
-def retrieval_ctes(settings: config.Settings = config.DEFAULT) -> str:
+def retrieval_ctes(settings: config.Settings = config.DEFAULT, corpus: str = "corpus",
+                   queries: str = "queries_in") -> str:
     t = settings.numeric_threshold
     pct = numeric_pct_sql("cs_sld.sld")
     numeric = f"CASE WHEN coalesce(fl.has_numbers, false) THEN {pct} >= {t} ELSE {pct} < {t} END"
-    return f"""{suffix_split_cte('cs_sld', 'corpus', 'id', host_sql('domain'))},
-flags AS (SELECT DISTINCT input_id, has_numbers FROM queries_in),
-{knn_ctes('knn1', 'queries_in', True, settings.results_per_query, settings.max_length_diff)},
+    return f"""{suffix_split_cte('cs_sld', corpus, 'id', host_sql('domain'))},
+flags AS (SELECT DISTINCT input_id, has_numbers FROM {queries}),
+{knn_ctes('knn1', queries, True, settings.results_per_query, settings.max_length_diff, corpus)},
 t1 AS (SELECT k.input_id, k.query_index, k.rank, k.id, k.distance FROM knn1 k
   JOIN cs_sld ON cs_sld.id = k.id JOIN flags fl ON fl.input_id = k.input_id WHERE {numeric}),
-cnt AS (SELECT i.input_id, count(t1.id) AS n FROM (SELECT DISTINCT input_id FROM queries_in) i
+cnt AS (SELECT i.input_id, count(t1.id) AS n FROM (SELECT DISTINCT input_id FROM {queries}) i
   LEFT JOIN t1 ON t1.input_id = i.input_id GROUP BY i.input_id),
 need AS (SELECT input_id FROM cnt WHERE n < {settings.min_results_for_no_fallback}),
-q2 AS (SELECT * FROM queries_in WHERE input_id IN (SELECT input_id FROM need)),
-{knn_ctes('knn2', 'q2', False, settings.results_per_query, settings.max_length_diff)},
+q2 AS (SELECT * FROM {queries} WHERE input_id IN (SELECT input_id FROM need)),
+{knn_ctes('knn2', 'q2', False, settings.results_per_query, settings.max_length_diff, corpus)},
 t2 AS (SELECT k.input_id, k.query_index, k.rank, k.id, k.distance FROM knn2 k
   JOIN cs_sld ON cs_sld.id = k.id JOIN flags fl ON fl.input_id = k.input_id WHERE {numeric}),
 cands AS (SELECT *, 1 AS tier FROM t1 WHERE input_id NOT IN (SELECT input_id FROM need)
   UNION ALL SELECT *, 2 AS tier FROM t2)"""
 
 
-def scoring_ctes(cands: str = "cands", settings: config.Settings = config.DEFAULT) -> str:
+def scoring_ctes(cands: str = "cands", settings: config.Settings = config.DEFAULT, corpus: str = "corpus",
+                 queries: str = "queries_in") -> str:
     ws, wc, wr = settings.weight_semantic, settings.weight_category, settings.weight_recency
-    return f"""inp AS (SELECT DISTINCT input_id, primary_category AS ip, secondary_category AS isec FROM queries_in),
+    return f"""inp AS (SELECT DISTINCT input_id, primary_category AS ip, secondary_category AS isec FROM {queries}),
 sc0 AS (SELECT ca.input_id, ca.query_index, ca.rank, co.domain, co.price, co.sale_date AS date, co.platform,
     co.primary_category, co.secondary_category, co.desc_index, {description_sql('co.document')} AS description,
     {semantic_sql('ca.distance')} AS sem,
     {category_match_sql('co.primary_category', 'co.secondary_category', 'i.ip', 'i.isec')} AS cat,
     {recency_sql('co.sale_date', settings.recency)} AS rec
-  FROM {cands} ca JOIN corpus co ON co.id = ca.id JOIN inp i ON i.input_id = ca.input_id),
+  FROM {cands} ca JOIN {corpus} co ON co.id = ca.id JOIN inp i ON i.input_id = ca.input_id),
 sc AS (SELECT *, round(sem, 4) AS semantic_sim, round(cat, 2) AS cat_match, round(rec, 2) AS recency,
     round({ws} * sem + {wc} * cat + {wr} * rec, 4) AS score FROM sc0),
 kept AS (SELECT *,

@@ -769,7 +769,64 @@ def q_ingest_stream(spark, sf_dir):
 
 # --------------------------------------------------------------------------- E3 from names (text path)
 
-@register("search_domains")
+def _hash_vec_ctes(name: str, src: str, keys: str, text: str, dim: int = 64) -> str:
+    """Dense hashing vectors in SQL: md5 bucket of every token, counts / L2 norm, as FLOAT[dim]."""
+    return f"""{name}_t AS (SELECT {keys}, unnest(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+')) AS tok
+    FROM {src}),
+{name}_c AS (SELECT {keys}, CAST(CAST(('0x' || substr(md5(tok), 1, 8)) AS BIGINT) % {dim} AS INTEGER) AS bucket,
+    count(*) AS n FROM {name}_t WHERE tok <> '' GROUP BY ALL),
+{name} AS (SELECT {keys}, list_transform(range({dim}), lambda i: CAST(coalesce(m[i], 0) / nrm AS FLOAT)) AS embedding
+  FROM (SELECT {keys}, map_from_entries(list(struct_pack(k := bucket, v := n))) AS m, sqrt(sum(n * n)) AS nrm
+        FROM {name}_c GROUP BY ALL))"""
+
+
+_ZEROS64 = "list_transform(range(64), lambda i: CAST(0 AS FLOAT))"
+_SEARCH_SQL = O.with_(
+    O.base_ctes(), *_BUILD_CTES,
+    _hash_vec_ctes("bvec", "built", "id", "document"),
+    f"corpus2 AS (SELECT b.*, coalesce(v.embedding, {_ZEROS64}) AS embedding FROM built b LEFT JOIN bvec v ON v.id = b.id)",
+    f"sinp AS (SELECT line_no AS input_id, {_STRIP('domain')} AS domain FROM sales_raw)",
+    "acc AS (SELECT * FROM sinp WHERE domain IS NOT NULL AND domain <> '')",
+    """rej AS (SELECT input_id, domain, CASE WHEN domain IS NULL THEN 'missing domain' ELSE 'empty domain' END AS reason
+  FROM sinp WHERE domain IS NULL OR domain = '')""",
+    O.suffix_split_cte("isx", "acc", "input_id, domain", O.host_sql("domain")),
+    """par AS (SELECT input_id, domain, sld, CASE WHEN sfx = '' THEN '.com' ELSE concat('.', sfx) END AS tld,
+    CAST(length(sld) AS INTEGER) AS length, coalesce(regexp_matches(sld, '[0-9]'), false) AS has_numbers FROM isx)""",
+    """resp AS (SELECT p.input_id, p.domain, r.response FROM par p
+    LEFT JOIN (SELECT domain, response FROM responses) r ON r.domain = p.domain)""",
+    _VALID_CTE.replace("FROM responses r)", "FROM resp r)").replace(
+        "vv AS (SELECT input_id, domain, reject_reason,", "vv AS (SELECT input_id, domain, rj, reject_reason,"),
+    f"""en AS (SELECT v.input_id, v.domain, p.sld, p.tld, p.length, p.has_numbers,
+    CASE WHEN v.is_valid THEN v.primary_category ELSE '{config.FALLBACK_PRIMARY}' END AS primary_category,
+    CASE WHEN v.is_valid THEN v.secondary_category ELSE '{config.FALLBACK_SECONDARY}' END AS secondary_category,
+    CASE WHEN v.is_valid THEN json_extract_string(v.rj, '$.descriptions[*]')
+         ELSE [replace('{config.FALLBACK_DESCRIPTION_1}', '{{domain}}', v.domain), '{config.FALLBACK_DESCRIPTION_2}']
+    END AS descriptions,
+    CASE WHEN v.is_valid THEN 'ok' ELSE 'fallback_enrichment' END AS status,
+    CASE WHEN v.is_valid THEN NULL ELSE concat('{config.FALLBACK_ERROR_PREFIX}', v.reject_reason) END AS error
+  FROM vv v JOIN par p ON p.input_id = v.input_id)""",
+    f"""qs AS (SELECT input_id, list_filter(list_transform(descriptions, lambda x: {_STRIP('x')}),
+    lambda x: x IS NOT NULL AND x <> '') AS qs FROM en)""",
+    """qx AS (SELECT input_id, CAST(generate_subscripts(qs, 1) AS INTEGER) AS query_index, unnest(qs) AS query_text
+  FROM qs)""",
+    _hash_vec_ctes("qvec", "qx", "input_id, query_index", "query_text"),
+    f"""queries2 AS (SELECT x.input_id, x.query_index, e.domain AS input_domain, e.sld, e.tld, e.length,
+    e.primary_category, e.secondary_category, e.has_numbers, coalesce(v.embedding, {_ZEROS64}) AS embedding
+  FROM qx x JOIN en e ON e.input_id = x.input_id
+  LEFT JOIN qvec v ON v.input_id = x.input_id AND v.query_index = x.query_index)""",
+    O.retrieval_ctes(corpus="corpus2", queries="queries2"),
+    O.scoring_ctes(corpus="corpus2", queries="queries2"),
+) + """SELECT e.input_id, e.domain AS input_domain, e.status, CAST(coalesce(r.n, 0) AS BIGINT) AS total_comparables,
+  CASE WHEN coalesce(r.n, 0) >= 5 THEN 'high' ELSE 'low' END AS confidence, r.top_domain, e.error
+FROM en e JOIN (SELECT DISTINCT input_id FROM queries2) qi ON qi.input_id = e.input_id
+LEFT JOIN (SELECT input_id, count(*) AS n, max(CASE WHEN final_rank = 1 THEN domain END) AS top_domain
+           FROM ranked GROUP BY input_id) r ON r.input_id = e.input_id
+UNION ALL
+SELECT input_id, domain AS input_domain, 'error' AS status, NULL AS total_comparables, NULL AS confidence,
+  NULL AS top_domain, reason AS error FROM rej"""
+
+
+@register("search_domains", _SEARCH_SQL)
 def q_search_domains(spark, sf_dir):
     """E3 end to end from names: every sales-file name is an input, enriched from the stored responses
     (fallback when invalid), its descriptions embedded with the hashing encoder, and searched against the
