@@ -116,7 +116,7 @@ def q_assemble_results(spark, sf_dir):
 
 from comparo.functions import scoring as S  # noqa: E402
 from comparo.functions import vectors as V  # noqa: E402
-from comparo.functions.text import extract_description, strip_ws  # noqa: E402
+from comparo.functions.text import extract_description  # noqa: E402
 from comparo.operators import corpus_ops as C  # noqa: E402
 from comparo.operators import profile as PR  # noqa: E402
 from comparo.operators.embed import hashing_sparse  # noqa: E402
