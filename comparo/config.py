@@ -98,8 +98,11 @@ class Settings:
     # reference returns in practice, because its date lookup always fails).
     recency: str = "bands"
     high_confidence_min: int = 5
-    # kNN tiling: max rows per side of one distance tile (bounds task memory).
+    # kNN tiling: max corpus rows of one distance tile, and max query rows (None = same). A task holds
+    # query_rows x corpus_rows distances; corpus rows are copied once per query tile of their block, so for
+    # very large input batches a larger query tile means less corpus replication.
     knn_tile_rows: int = 2048
+    knn_query_tile_rows: int | None = None
     # extra candidates re-ranked with exact distances after the matmul pre-rank.
     knn_rerank_margin: int = 16
     extra: dict = field(default_factory=dict)

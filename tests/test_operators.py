@@ -89,10 +89,11 @@ def _brute(corpus, queries, k, use_tld):
     return sorted(out)
 
 
-@pytest.mark.parametrize("tile_rows,use_tld", [(2048, True), (7, True), (3, False)])
-def test_knn_matches_brute_force_under_any_tiling(spark, tile_rows, use_tld):
+@pytest.mark.parametrize("tile_rows,q_tile_rows,use_tld", [(2048, None, True), (7, None, True), (3, None, False),
+                                                            (5, 64, True)])
+def test_knn_matches_brute_force_under_any_tiling(spark, tile_rows, q_tile_rows, use_tld):
     corpus, queries, c, q = _random_fixture(spark)
-    s = config.Settings(knn_tile_rows=tile_rows, knn_rerank_margin=2)
+    s = config.Settings(knn_tile_rows=tile_rows, knn_query_tile_rows=q_tile_rows, knn_rerank_margin=2)
     got = knn_filtered(q, c, use_tld=use_tld, settings=s, k=5)
     got = sorted((r.input_id, r.query_index, r.id, r.rank) for r in got.collect())
     assert got == _brute(corpus, queries, 5, use_tld)
