@@ -151,3 +151,12 @@ def test_backfill(spark):
 
 def test_combinations_helper():
     assert len(list(itertools.product(range(11), repeat=2))) == 121
+
+
+def test_knn_skips_rows_without_vectors(spark):
+    corpus, queries, c, q = _random_fixture(spark, n_corpus=60, n_queries=6)
+    c2 = c.unionByName(spark.createDataFrame([("nullvec", ".com", 5, "Acronym", "Acronym", None)], c.schema))
+    q2 = q.unionByName(spark.createDataFrame([(999, 1, ".com", 5, "Acronym", "Brandable", None)], q.schema))
+    got = knn_filtered(q2, c2, k=5)
+    assert got.where("id = 'nullvec' OR input_id = 999").count() == 0
+    assert got.count() == knn_filtered(q, c, k=5).count()
