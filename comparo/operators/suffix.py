@@ -17,8 +17,20 @@ from comparo.functions import domains as D
 
 
 def suffix_table(spark: SparkSession, suffixes: list[str] | None = None) -> DataFrame:
-    rows = [(s,) for s in sorted({s.lower() for s in (suffixes or config.suffix_rows())})]
-    return spark.createDataFrame(rows, "suffix string")
+    """Suffix rules as a table (``suffix``, ``kind``). Lines follow the public suffix list format:
+    ``co.uk`` (normal), ``*.ck`` (wildcard: any label under ``ck``), ``!www.ck`` (exception)."""
+    rows = set()
+    for line in (suffixes or config.suffix_rows()):
+        line = line.strip().lower()
+        if not line or line.startswith("//"):
+            continue
+        if line.startswith("!"):
+            rows.add((line[1:], "exception"))
+        elif line.startswith("*."):
+            rows.add((line[2:], "wildcard"))
+        else:
+            rows.add((line, "normal"))
+    return spark.createDataFrame(sorted(rows), "suffix string, kind string")
 
 
 def family_table(spark: SparkSession) -> DataFrame:
@@ -26,8 +38,9 @@ def family_table(spark: SparkSession) -> DataFrame:
 
 
 def _max_labels(suffixes: DataFrame) -> int:
-    # One scalar from a bounded table.
-    row = suffixes.agg(F.max(F.size(F.split("suffix", r"\.")))).first()
+    # One scalar from a bounded table (a wildcard rule covers one label more than it names).
+    extra = F.when(F.col("kind") == "wildcard", 1).otherwise(0) if "kind" in suffixes.columns else F.lit(0)
+    row = suffixes.agg(F.max(F.size(F.split("suffix", r"\.")) + extra)).first()
     return int(row[0] or 1)
 
 
@@ -46,8 +59,8 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
     SLD = the label just before the suffix; with no known suffix it is the
     last label. Lookup is case-insensitive, output keeps the input case.
     The built-in suffix list (~80 entries) is a literal in the expression;
-    a user list (e.g. the full public suffix list) is broadcast-joined once
-    per label count K.
+    a user list (e.g. the full public suffix list, with ``*.`` wildcard and
+    ``!`` exception rules) is broadcast-joined once per label count and rule kind.
     """
     host = F.col(host_col)
     out = df
@@ -59,20 +72,41 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
             hits[k] = _known_suffix(F.lower(D.last_labels(host, k)), known)
     else:
         k_max = _max_labels(suffixes)
-        for k in range(k_max, 0, -1):
-            cand, hit = f"__cand{k}", f"__hit{k}"
-            lookup = F.broadcast(suffixes.select(F.col("suffix").alias(cand), F.lit(True).alias(hit)))
-            out = out.withColumn(cand, F.lower(D.last_labels(host, k))).join(lookup, on=cand, how="left")
-            hits[k] = F.coalesce(F.col(hit), F.lit(False))
+        table = suffixes if "kind" in suffixes.columns else suffixes.withColumn("kind", F.lit("normal"))
+        exceptions: dict[int, F.Column] = {}
+        for kind in ("normal", "wildcard", "exception"):
+            rules = table.where(F.col("kind") == kind).select("suffix")
+            for k in range(1, k_max + 1):
+                n_labels = k - 1 if kind == "wildcard" else k  # "*.ck" names 1 label, covers 2
+                if n_labels < 1:
+                    continue
+                cand, hit = f"__{kind}{k}", f"__{kind}_hit{k}"
+                lookup = F.broadcast(rules.select(F.col("suffix").alias(cand), F.lit(True).alias(hit)))
+                out = out.withColumn(cand, F.lower(D.last_labels(host, n_labels))).join(lookup, cand, "left")
+                found = F.coalesce(F.col(hit), F.lit(False))
+                if kind == "wildcard":  # the covered label must exist
+                    found = found & (D.last_labels(host, k) != "")
+                if kind == "exception":
+                    exceptions[k] = found
+                else:
+                    hits[k] = (hits[k] | found) if k in hits else found
+        # an exception rule wins: the suffix is the rule without its leftmost label
+        exc_suffix = F.lit(None).cast("string")
+        for k in sorted(exceptions):
+            exc_suffix = F.when(exceptions[k], D.last_labels(host, k - 1) if k > 1 else F.lit("")).otherwise(
+                exc_suffix)
     suffix_expr = F.lit("")
-    for k in range(1, k_max + 1):  # longest match wins: later (longer) checks override
+    for k in sorted(hits):  # longest match wins: later (longer) checks override
         suffix_expr = F.when(hits[k], D.last_labels(host, k)).otherwise(suffix_expr)
+    if suffixes is not None:
+        suffix_expr = F.coalesce(exc_suffix, suffix_expr)
     out = out.withColumn(f"{prefix}suffix", suffix_expr)
     sfx = F.col(f"{prefix}suffix")
     rest = F.when(sfx == "", host).otherwise(F.left(host, F.greatest(F.length(host) - F.length(sfx) - 1, F.lit(0))))
     out = out.withColumn(f"{prefix}sld", D.last_labels(rest, 1))
     if suffixes is not None:
-        out = out.drop(*[f"__cand{k}" for k in range(1, k_max + 1)], *[f"__hit{k}" for k in range(1, k_max + 1)])
+        out = out.drop(*[c for c in out.columns
+                         if c.startswith(("__normal", "__wildcard", "__exception"))])
     return out
 
 

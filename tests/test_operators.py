@@ -160,3 +160,13 @@ def test_knn_skips_rows_without_vectors(spark):
     got = knn_filtered(q2, c2, k=5)
     assert got.where("id = 'nullvec' OR input_id = 999").count() == 0
     assert got.count() == knn_filtered(q, c, k=5).count()
+
+
+def test_suffix_wildcard_and_exception_rules(spark):
+    table = suffix_table(spark, ["*.ck", "!www.ck", "uk", "co.uk", "com", "// a comment"])
+    names = ["foo.bar.ck", "www.ck", "a.www.ck", "ck", "a.b.co.uk", "x.uk", "shop.example.com"]
+    df = spark.createDataFrame([(n,) for n in names], "d string")
+    got = {r.d: (r.sld, r.tld) for r in parse_domain(df, "d", suffixes=table, default_tld="").collect()}
+    assert got == {"foo.bar.ck": ("foo", ".bar.ck"), "www.ck": ("www", ".ck"), "a.www.ck": ("www", ".ck"),
+                   "ck": ("ck", ""), "a.b.co.uk": ("b", ".co.uk"), "x.uk": ("x", ".uk"),
+                   "shop.example.com": ("example", ".com")}
