@@ -81,3 +81,31 @@ def sample_domains(corpus: DataFrame, first_rows: int = 30, n: int = 10, order_c
     firsts = head.withColumn("__rn", F.row_number().over(w_dom)).where(F.col("__rn") == 1).drop("__rn")
     w = Window.orderBy(order_col)
     return firsts.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= n)
+
+
+def summary(corpus: DataFrame) -> DataFrame:
+    """A1, A2, A5-A8, A11 in one aggregation: one scan of the corpus for every scalar statistic."""
+    p = F.col("price")
+    pos = F.when((p > 0) & ~F.isnan(p), p)
+    d = F.when(F.col("sale_date") != "", F.col("sale_date"))
+    length = F.coalesce(F.col("length"), F.lit(0))
+    has = F.coalesce(F.col("has_numbers"), F.lit(False))
+    buckets = []
+    for label, lo, hi in config.LENGTH_BUCKETS:
+        cond = (length >= lo) if hi is None else length.between(lo, hi)
+        buckets.append(F.count_if(cond).alias("len_" + label.split(" ")[0].replace("-", "_").replace("+", "_up")))
+    out = corpus.agg(
+        F.count(F.lit(1)).alias("total_documents"),
+        F.countDistinct(F.coalesce(F.col("domain"), F.lit(""))).alias("unique_domains"),
+        F.min(pos).alias("min_price"), F.max(pos).alias("max_price"), F.avg(pos).alias("avg_price"),
+        F.sum(pos).alias("total_price"), F.min(d).alias("earliest_sale"), F.max(d).alias("latest_sale"),
+        *buckets,
+        F.count_if(has).alias("with_numbers"), F.count_if(~has).alias("without_numbers"))
+    return (out.withColumn("is_empty", F.col("total_documents") == 0)
+            .withColumn("small_corpus", F.col("total_documents") < SMALL_CORPUS))
+
+
+def report(corpus: DataFrame) -> dict[str, DataFrame]:
+    """E5: every profile report of the corpus, keyed by name."""
+    return {"summary": summary(corpus), "tld": tld_distribution(corpus), "category": category_distribution(corpus),
+            "length": length_histogram(corpus), "sample": sample_domains(corpus)}

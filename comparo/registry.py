@@ -379,6 +379,35 @@ def q_profile_numeric(spark, sf_dir):
     return PR.numeric_split(corpus)
 
 
+def _summary_sql() -> str:
+    cols = []
+    for lab, lo, hi in config.LENGTH_BUCKETS:
+        name = "len_" + lab.split(" ")[0].replace("-", "_").replace("+", "_up")
+        cond = f">= {lo}" if hi is None else f"BETWEEN {lo} AND {hi}"
+        cols.append(f"CAST(count_if(coalesce(length, 0) {cond}) AS BIGINT) AS {name}")
+    return O.with_(O.base_ctes()) + f"""SELECT count(*) AS total_documents,
+  count(DISTINCT coalesce(domain, '')) AS unique_domains,
+  min(CASE WHEN price > 0 AND NOT isnan(price) THEN price END) AS min_price,
+  max(CASE WHEN price > 0 AND NOT isnan(price) THEN price END) AS max_price,
+  round(avg(CASE WHEN price > 0 AND NOT isnan(price) THEN price END), 6) AS avg_price,
+  round(sum(CASE WHEN price > 0 AND NOT isnan(price) THEN price END), 6) AS total_price,
+  min(CASE WHEN sale_date <> '' THEN sale_date END) AS earliest_sale,
+  max(CASE WHEN sale_date <> '' THEN sale_date END) AS latest_sale,
+  {", ".join(cols)},
+  CAST(count_if(coalesce(has_numbers, false)) AS BIGINT) AS with_numbers,
+  CAST(count_if(NOT coalesce(has_numbers, false)) AS BIGINT) AS without_numbers,
+  count(*) = 0 AS is_empty, count(*) < 100 AS small_corpus
+FROM corpus"""
+
+
+@register("profile_summary", _summary_sql())
+def q_profile_summary(spark, sf_dir):
+    """E5 scalar statistics in one pass over the corpus."""
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
+    out = PR.summary(corpus)
+    return out.withColumn("avg_price", F.round("avg_price", 6)).withColumn("total_price", F.round("total_price", 6))
+
+
 @register("profile_sample", O.with_(O.base_ctes()) + """SELECT id, domain, tld, length, sample_rank FROM (
   SELECT *, CAST(row_number() OVER (ORDER BY id) AS INTEGER) AS sample_rank FROM (
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coalesce(domain, 'unknown') ORDER BY id) AS rn
