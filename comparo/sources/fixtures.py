@@ -71,6 +71,9 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    # keep only documents that have a vector before the join moves whole texts around (a semi join: the
+    # planner broadcasts the id list only when its size estimate is small)
+    docs = docs.join(emb.select("vec_id"), "vec_id", "left_semi")
     d = domains(spark, sf_dir)
     e = emb.withColumn("dk", F.floor(F.col("vec_id") / 2).cast("bigint"))
     joined = e.join(d, "dk").join(docs, "vec_id", "left")
