@@ -37,11 +37,16 @@ def family_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(config.family_rows(), "tld string, family string")
 
 
-def _max_labels(suffixes: DataFrame) -> int:
-    # One scalar from a bounded table (a wildcard rule covers one label more than it names).
+# A user suffix table is broadcast only up to this many rules (the full public suffix list has ~10k).
+BROADCAST_MAX_RULES = 1_000_000
+
+
+def _rule_stats(suffixes: DataFrame) -> tuple[int, int]:
+    """(most labels a rule covers, number of rules), one small aggregation over the rule table.
+    A wildcard rule covers one label more than it names."""
     extra = F.when(F.col("kind") == "wildcard", 1).otherwise(0) if "kind" in suffixes.columns else F.lit(0)
-    row = suffixes.agg(F.max(F.size(F.split("suffix", r"\.")) + extra)).first()
-    return int(row[0] or 1)
+    row = suffixes.agg(F.max(F.size(F.split("suffix", r"\.")) + extra), F.count(F.lit(1))).first()
+    return int(row[0] or 1), int(row[1] or 0)
 
 
 def _sql_str(x: str) -> str:
@@ -71,7 +76,8 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
         for k in range(1, k_max + 1):
             hits[k] = _known_suffix(F.lower(D.last_labels(host, k)), known)
     else:
-        k_max = _max_labels(suffixes)
+        k_max, n_rules = _rule_stats(suffixes)
+        small = n_rules <= BROADCAST_MAX_RULES  # checked size: broadcast, else a shuffled join
         table = suffixes if "kind" in suffixes.columns else suffixes.withColumn("kind", F.lit("normal"))
         exceptions: dict[int, F.Column] = {}
         for kind in ("normal", "wildcard", "exception"):
@@ -81,7 +87,8 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
                 if n_labels < 1:
                     continue
                 cand, hit = f"__{kind}{k}", f"__{kind}_hit{k}"
-                lookup = F.broadcast(rules.select(F.col("suffix").alias(cand), F.lit(True).alias(hit)))
+                lookup = rules.select(F.col("suffix").alias(cand), F.lit(True).alias(hit)).distinct()
+                lookup = F.broadcast(lookup) if small else lookup
                 out = out.withColumn(cand, F.lower(D.last_labels(host, n_labels))).join(lookup, cand, "left")
                 found = F.coalesce(F.col(hit), F.lit(False))
                 if kind == "wildcard":  # the covered label must exist
