@@ -206,10 +206,16 @@ def q_build_corpus(spark, sf_dir):
     return build_corpus(fx.sales_raw(spark, sf_dir)).select(*C.CORPUS_COLUMNS)
 
 
+def _build_vectors_sql() -> str:
+    # defined lazily: the vector CTE helper is declared further down in this module
+    return O.with_(O.base_ctes(), *_BUILD_CTES, _hash_vec_ctes("bvec", "built", "id", "document")) + \
+        f"SELECT b.*, v.embedding FROM built b LEFT JOIN bvec v ON v.id = b.id"
+
+
 @register("build_corpus_vectors")
 def q_build_corpus_vectors(spark, sf_dir):
-    """E4 with the hashing vectors (rows-only check)."""
-    return build_corpus(fx.sales_raw(spark, sf_dir))
+    """E4 with the hashing vectors (64 floats per row)."""
+    return build_corpus(fx.sales_raw(spark, sf_dir)).select(*C.CORPUS_COLUMNS, "embedding")
 
 
 @register("incremental_new", O.with_(O.base_ctes(), *_BUILD_CTES)
@@ -869,3 +875,6 @@ def q_search_domains(spark, sf_dir):
     out = search_domains(inputs, responses, corpus, AS_OF)
     return out.select("input_id", "input_domain", "status", "total_comparables", "confidence",
                       F.get(F.col("comparables"), 0)["domain"].alias("top_domain"), "error")
+
+
+ORACLE["build_corpus_vectors"] = _build_vectors_sql()
