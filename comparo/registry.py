@@ -307,12 +307,17 @@ def q_restore_roundtrip(spark, sf_dir):
                            "has_numbers", F.round(vsum, 6).alias("vsum"))
 
 
-@register("backup_json")
+@register("backup_json", O.with_(O.base_ctes()) + """SELECT id, document AS content, domain, tld, length, price,
+  sale_date AS date, desc_index, has_numbers, round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS vsum FROM corpus""")
 def q_backup_json(spark, sf_dir):
-    """Rows of the written JSON backup (rows-only check)."""
+    """The written JSON backup read back with its fixed schema, records flattened for the check."""
     from comparo.session import shared_path
     corpus, _ = _inputs(spark, sf_dir, reuse=False)
-    return CS.read_backup(spark, CS.backup_json(corpus, shared_path(spark, "backups")))
+    recs = CS.read_backup(spark, CS.backup_json(corpus, shared_path(spark, "backups")))
+    vsum = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
+    return recs.select("id", "content", *[F.col(f"metadata.{f}").alias(f) for f in
+                                          ["domain", "tld", "length", "price", "date", "desc_index", "has_numbers"]],
+                       F.round(vsum, 6).alias("vsum"))
 
 
 @register("read_sales_csv")
