@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comparo.llm import simhash_gray
+from comparo.llm import simhash_gray, suffix_dedup
 from comparo.llm.common import documents
 
 QUERIES = {}
@@ -20,6 +20,13 @@ def register(name, sql=None):
     return keep
 
 
+@register("op5_suffix_dedup")
+def op5(spark, sf_dir):
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op8_simhash_gray")
 def op8(spark, sf_dir):
     found = simhash_gray.near_duplicates(documents(spark, sf_dir))
