@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comparo.llm import simhash_gray, suffix_dedup
+from comparo.llm import bpe_prefix, length_hist, simhash_gray, suffix_dedup
 from comparo.llm.common import documents
 
 QUERIES = {}
@@ -27,8 +27,24 @@ def op5(spark, sf_dir):
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@register("op6_bpe_prefix")
+def op6(spark, sf_dir):
+    path, pattern = bpe_prefix.public_vocabulary()
+    encoded = bpe_prefix.encode_documents(documents(spark, sf_dir), path, pattern)
+    decoded = bpe_prefix.decode_documents(encoded, path)
+    return decoded.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @register("op8_simhash_gray")
 def op8(spark, sf_dir):
     found = simhash_gray.near_duplicates(documents(spark, sf_dir))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         "component_id")
+
+
+@register("op10_length_hist")
+def op10(spark, sf_dir):
+    path, pattern = bpe_prefix.public_vocabulary()
+    lengths = bpe_prefix.token_counts(documents(spark, sf_dir), path, pattern)
+    return length_hist.context_limits(length_hist.histogram(lengths))
