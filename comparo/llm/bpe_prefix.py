@@ -11,8 +11,8 @@ have joined earlier. Storing that last token for each prefix gives
   the longest token has bytes agree with the old ones.
 
 :class:`Vocabulary` holds the ranks; :class:`PrefixTable` is one piece's table; :func:`encoder` encodes whole
-texts, each match of the splitting pattern separately. Texts repeat their words, so a task keeps the ids of the
-pieces it has met, in a table that is emptied when it is full; results do not depend on it. A piece that is itself a
+texts, each match of the splitting pattern separately. Texts repeat their words, so a worker keeps the ids
+of the pieces it has met, in a table that is emptied when it is full; results do not depend on it. A piece that is itself a
 token gets that token, as in the tiktoken library.
 
 Defined results: a null text is empty and has no ids; a null id is passed through; repeated rows each get a row.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,20 +32,24 @@ from pyspark.sql import functions as F
 
 from comparo.llm.common import map_rows
 
-CACHE = 1 << 17
+CACHE = 1 << 18  # entries of a worker's table of pieces, pairs or prefixes
+SHORT = 8         # prefixes of at most so many bytes are kept
 # White space as the splitting pattern of the vocabulary means it (fixed value, Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0  -     　"
 
 
 class Vocabulary:
-    """Ranks of byte tokens with what the prefix method needs of them, worked out when first asked for."""
+    """Ranks of byte tokens with what the prefix method needs of them; ``merged`` has the tokens that merges lead
+    to."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
+        self.starts: dict[bytes, int] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
+        self.merged = {t: r for t, r in ranks.items() if self.halves(r)}
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -79,33 +84,54 @@ class Vocabulary:
 
     def adjacent(self, a: int, b: int) -> bool:
         """Whether b can follow a in an encoding."""
-        key = (a, b)
-        if key not in self._pairs:
+        key = a << 32 | b
+        found = self._pairs.get(key)
+        if found is None:
             if len(self._pairs) > CACHE:
                 self._pairs.clear()
-            self._pairs[key] = self._apart(a, b, 1 << 62)
-        return self._pairs[key]
+            found = self._pairs[key] = self._apart(a, b, 1 << 62)
+        return found
+
+    def ending(self, data: bytes, end: int, last: list[int]) -> int:
+        """The last token of the first ``end`` bytes; ``last`` has those of the shorter prefixes."""
+        find, pairs = self.merged.get, self._pairs
+        for start in range(max(0, end - self.longest), end):
+            token = find(data[start:end])
+            if token is not None:
+                if not start:
+                    return token
+                before = last[start - 1]
+                fits = pairs.get(before << 32 | token)
+                if fits or fits is None and self.adjacent(before, token):
+                    return token
+        raise ValueError("a byte has no token")
 
 
 class PrefixTable:
-    """Last token of each prefix of one piece."""
+    """Last token of each prefix of one piece. The start of a piece is looked up among the short prefixes of pieces
+    met before (``vocabulary.starts``): a prefix has the same last token in every piece."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
         self.vocabulary, self.data, self.last = vocabulary, b"", []
         self.append(data)
 
-    def _ending(self, end: int) -> int:
-        v, data = self.vocabulary, self.data
-        for start in range(max(0, end - v.longest), end):
-            token = v.ranks.get(data[start:end])
-            if token is not None and v.halves(token) and (start == 0 or v.adjacent(self.last[start - 1], token)):
-                return token
-        raise ValueError("a byte has no token")
-
     def append(self, data: bytes) -> None:
         self.data += data
-        while len(self.last) < len(self.data):
-            self.last.append(self._ending(len(self.last) + 1))
+        self._extend(len(self.data))
+
+    def _extend(self, stop: int) -> None:
+        data, last, ending, starts = self.data, self.last, self.vocabulary.ending, self.vocabulary.starts
+        for end in range(len(last) + 1, stop + 1):
+            if end > SHORT:
+                last.append(ending(data, end, last))
+                continue
+            prefix = data[:end]
+            token = starts.get(prefix)
+            if token is None:
+                if len(starts) > CACHE:
+                    starts.clear()
+                token = starts[prefix] = ending(data, end, last)
+            last.append(token)
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
         """Put ``data`` in the place of bytes start..stop; returns the number of prefixes worked out anew."""
@@ -113,8 +139,8 @@ class PrefixTable:
         self.data, self.last = self.data[:start] + data + rest, self.last[:start]
         edited, equal = start + len(data), 0
         while len(self.last) < len(self.data):
-            token = self._ending(len(self.last) + 1)
-            self.last.append(token)
+            self._extend(len(self.last) + 1)
+            token = self.last[-1]
             at = len(self.last) - 1 - edited
             equal = equal + 1 if at >= 0 and old[at] == token else 0
             if equal >= self.vocabulary.longest:
@@ -136,6 +162,7 @@ def encode_piece(vocabulary: Vocabulary, piece: bytes) -> list[int]:
     return [whole] if whole is not None else PrefixTable(vocabulary, piece).ids()
 
 
+@lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> tuple[Callable[[str], bytes], Vocabulary]:
     """A function from a text to its ids as little-endian unsigned 32-bit integers, and the vocabulary.
 
@@ -143,6 +170,7 @@ def encoder(path: str, pattern: str) -> tuple[Callable[[str], bytes], Vocabulary
     whole matches, whatever stands around it, so the ids of such runs can be kept.
     """
     import re
+    import struct
 
     import regex
     vocabulary = Vocabulary.load(path)
@@ -155,8 +183,10 @@ def encoder(path: str, pattern: str) -> tuple[Callable[[str], bytes], Vocabulary
         if len(known) > CACHE:
             known.clear()
         for part in set(parts).difference(known):
-            ids = [i for m in fine.findall(part) for i in encode_piece(vocabulary, m.encode("utf-8"))]
-            known[part] = np.array(ids, dtype="<u4").tobytes()
+            letters = part.isascii() and part.removeprefix(" ").isalpha()  # is one match as it stands
+            pieces = (part,) if letters else fine.findall(part)
+            ids = [i for m in pieces for i in encode_piece(vocabulary, m.encode("utf-8"))]
+            known[part] = struct.pack(f"<{len(ids)}I", *ids)
         return b"".join(map(known.__getitem__, parts))
 
     return encode, vocabulary

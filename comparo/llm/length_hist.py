@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from comparo.llm.common import materialize
+
 BLOCK = 4096
 
 
@@ -29,6 +31,7 @@ def context_limits(hist: DataFrame) -> DataFrame:
     """For each length L of the histogram: length, n_docs, docs_at_least and tokens_at_least (documents of L or
     more tokens), docs_fit (documents of L or fewer), total_docs, total_tokens, truncated_tokens (all documents cut at
     L tokens) and quantile (docs_fit / total_docs)."""
+    hist = materialize(hist, "lengths")  # is read twice; the lengths are only worked out once
     rows = hist.withColumn("tokens", F.col("length") * F.col("n_docs")).withColumn(
         "block", F.floor(F.col("length") / BLOCK))
     # one row per block of lengths: (longest document / BLOCK) rows at most

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comparo.llm import bpe_prefix, length_hist, simhash_gray, suffix_dedup
+from comparo.llm import bpe_prefix, length_hist, pack, simhash_gray, suffix_dedup
 from comparo.llm.common import documents
 
 QUERIES = {}
@@ -36,6 +36,12 @@ def op6(spark, sf_dir):
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op7_best_fit")
+def op7(spark, sf_dir):
+    parts = pack.pieces(documents(spark, sf_dir), pack.public_vocabulary())
+    return pack.pack(parts).withColumnRenamed("id", "doc_id")
+
+
 @register("op8_simhash_gray")
 def op8(spark, sf_dir):
     found = simhash_gray.near_duplicates(documents(spark, sf_dir))
