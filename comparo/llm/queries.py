@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comparo.llm import bpe_prefix, length_hist, pack, simhash_gray, suffix_dedup
+from comparo.llm import bpe_prefix, embed_lsh, length_hist, pack, simhash_gray, suffix_dedup
 from comparo.llm.common import documents
+from comparo.sources.tables import read_table
 
 QUERIES = {}
 ORACLE = {}
@@ -20,6 +21,11 @@ def register(name, sql=None):
     return keep
 
 
+@register("op1_embed_lsh")
+def op1(spark, sf_dir):
+    return embed_lsh.near_duplicates(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 @register("op5_suffix_dedup")
 def op5(spark, sf_dir):
     found = suffix_dedup.remove_repeats(documents(spark, sf_dir))
