@@ -12,7 +12,7 @@ have joined earlier. Storing that last token for each prefix gives
 
 :class:`Vocabulary` holds the ranks; :class:`PrefixTable` is one piece's table; :func:`encoder` encodes whole
 texts, each match of the splitting pattern separately. Texts repeat their words, so a worker keeps the ids
-of the pieces it has met, in a table that is emptied when it is full; results do not depend on it. A piece that is itself a
+of the pieces it met last, in a table of bounded size; results do not depend on it. A piece that is itself a
 token gets that token, as in the tiktoken library.
 
 Defined results: a null text is empty and has no ids; a null id is passed through; repeated rows each get a row.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import map_rows
+from comparo.llm.common import Recent, map_rows
 
 CACHE = 1 << 18  # entries of a worker's table of pieces, pairs or prefixes
 SHORT = 8         # prefixes of at most so many bytes are kept
@@ -176,18 +176,17 @@ def encoder(path: str, pattern: str) -> tuple[Callable[[str], bytes], Vocabulary
     vocabulary = Vocabulary.load(path)
     coarse = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
     fine = regex.compile(pattern)
-    known: dict[str, bytes] = {}
+
+    def ids(part: str) -> bytes:
+        letters = part.isascii() and part.removeprefix(" ").isalpha()  # is one match as it stands
+        found = [i for m in ((part,) if letters else fine.findall(part))
+                 for i in encode_piece(vocabulary, m.encode("utf-8"))]
+        return struct.pack(f"<{len(found)}I", *found)
+
+    known = Recent(ids, CACHE)
 
     def encode(text: str) -> bytes:
-        parts = coarse.findall(text)
-        if len(known) > CACHE:
-            known.clear()
-        for part in set(parts).difference(known):
-            letters = part.isascii() and part.removeprefix(" ").isalpha()  # is one match as it stands
-            pieces = (part,) if letters else fine.findall(part)
-            ids = [i for m in pieces for i in encode_piece(vocabulary, m.encode("utf-8"))]
-            known[part] = struct.pack(f"<{len(ids)}I", *ids)
-        return b"".join(map(known.__getitem__, parts))
+        return b"".join(map(known.__getitem__, coarse.findall(text)))
 
     return encode, vocabulary
 

@@ -10,10 +10,43 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from comparo.session import materialize
+from comparo import session
 from comparo.sources.tables import read_table
 
-__all__ = ["components", "documents", "map_rows", "materialize", "remainder"]
+__all__ = ["Recent", "components", "documents", "map_rows", "materialize", "remainder"]
+
+
+class Recent(dict):
+    """A table of ``make(key)`` for the keys asked for. When ``size`` keys are in it they become the old generation,
+    which keeps those asked for again, and the older one goes."""
+
+    def __init__(self, make: Callable, size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back; the shuffle files of the job go when it has ended."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return session.materialize(df, name)
+    finally:
+        conf.set(CLEANUP, before)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
