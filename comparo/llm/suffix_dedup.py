@@ -10,8 +10,10 @@ carry most:
   and such a run of windows goes through the passes as one row: one row for some thirty bytes of text.
 * Second digit: all bytes of the run. Runs with equal bytes repeat window by window; all but the earliest are removed
   whole. A bucket of the first digit with a single class of runs is finished, as in any MSD pass.
-* Last digit: only the earliest runs of buckets that hold several classes are spelt out window by window
-  (a change or the edge of a passage falls into them) and grouped by the full ``width`` bytes.
+* Third digit: the earliest runs of buckets that hold several classes (a change or the edge of a passage falls into
+  them) are cut into parts of ``PART`` windows by their distance from the anchor, and the same two steps are taken
+  with the bytes that all windows of a part share, and all bytes of the part.
+* Last digit: what is still open is spelt out window by window and grouped by the full ``width`` bytes.
 
 Equality of runs is that of two 64-bit hashes, of windows that of a 128-bit hash. Every task first keeps the earliest of
 equal rows in its batch, so a passage in a third of all documents sends one row per batch and class into the
@@ -39,7 +41,8 @@ GRAM = 32
 BLOCK = 1 << 20    # windows handled at once; long texts are cut into such blocks, which overlap by a window
 PLACE = np.uint64((1 << 24) - 1)
 NO_ID = -(1 << 63)  # stands for a null id inside the operator
-ROWS = "h long, span long, id long, tag long, lo int, hi int, done boolean"
+PART = 8           # windows that go through the third digit as one row
+ROWS = "h long, span long, id long, tag long, lo int, hi int, at int, done boolean"
 
 
 def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,8 +77,8 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
-def runs(data: bytes, width: int, gram: int, constants) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(anchor hash, first window, last window) of the runs of windows that share an anchor."""
+def runs(data: bytes, width: int, gram: int, constants) -> Iterator[tuple[np.ndarray, ...]]:
+    """(anchor hash, first window, last window, anchor) of the runs of windows that share an anchor."""
     whole = np.frombuffer(data, dtype=np.uint8)
     for at in range(0, len(whole) - width + 1, BLOCK):
         part = whole[at:at + BLOCK + width - 1]
@@ -85,19 +88,18 @@ def runs(data: bytes, width: int, gram: int, constants) -> Iterator[tuple[np.nda
         cut = np.flatnonzero(place[1:] != place[:-1]) + 1
         lo = np.concatenate([[0], cut])
         hi = np.concatenate([cut - 1, [len(place) - 1]])
-        yield g[place[lo]], lo + at, hi + at
+        yield g[place[lo]], lo + at, hi + at, place[lo] + at
 
 
-def _emit(h, span, doc, lo, hi, ids, tags, width) -> pa.RecordBatch:
+def _emit(h, span, lo, hi, at, doc, ids, tags, width) -> pa.RecordBatch:
     """Rows of one batch: the earliest of equal (h, span) as they are; the spans of the others as done, joined
     where they touch. ``doc`` indexes ids and tags, which are in order of (id, tag)."""
     order = np.argsort(h ^ (span << np.uint64(1)), kind="stable")
     later = np.zeros(len(h), dtype=bool)
-    if len(h):
-        a, b = order[:-1], order[1:]
-        later[b] = (h[a] == h[b]) & (span[a] == span[b])
+    a, b = order[:-1], order[1:]
+    later[b] = (h[a] == h[b]) & (span[a] == span[b])
     first = ~later
-    out = [(h[first], span[first], doc[first], lo[first], hi[first], np.zeros(first.sum(), dtype=bool))]
+    out = [(h[first], span[first], doc[first], lo[first], hi[first], at[first], np.zeros(first.sum(), dtype=bool))]
     if later.any():
         d, l, r = doc[later], lo[later], hi[later]
         new = np.ones(len(d), dtype=bool)
@@ -106,12 +108,12 @@ def _emit(h, span, doc, lo, hi, ids, tags, width) -> pa.RecordBatch:
         stop = np.concatenate([start[1:], [len(d)]]) - 1
         d, l, r = d[start], l[start], r[stop]
         spread = (d.astype(np.uint64) << np.uint64(32) | l.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        out.append((spread ^ ids[d].view(np.uint64), spread, d, l, r, np.ones(len(d), dtype=bool)))
-    h, span, d, lo, hi, done = (np.concatenate(x) for x in zip(*out))
+        out.append((spread ^ ids[d].view(np.uint64), spread, d, l, r, l, np.ones(len(d), dtype=bool)))
+    h, span, d, lo, hi, at, done = (np.concatenate(x) for x in zip(*out))
     return pa.RecordBatch.from_arrays(
         [pa.array(h.view(np.int64)), pa.array(span.view(np.int64)), pa.array(ids[d]), pa.array(tags[d]),
-         pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(done)],
-        names=["h", "span", "id", "tag", "lo", "hi", "done"])
+         *(pa.array(x.astype(np.int32)) for x in (lo, hi, at)), pa.array(done)],
+        names=["h", "span", "id", "tag", "lo", "hi", "at", "done"])
 
 
 def _ordered(batch: pa.RecordBatch):
@@ -125,41 +127,54 @@ def _ordered(batch: pa.RecordBatch):
     return ids, tags, order
 
 
-def _spell(kind: str, width: int, gram: int):
-    """mapInArrow function: documents to rows of runs, or of the single windows in their spans."""
+def _run_rows(data: bytes, spans, width: int, gram: int, constants):
+    """h, span, lo, hi, at of a text's runs."""
+    from xxhash import xxh3_64_intdigest as digest
+    if len(data) < width:
+        return None
+    h, lo, hi, at = (np.concatenate(x) for x in zip(*runs(data, width, gram, constants)))
+    span = [digest(data[a:b]) for a, b in zip(lo.tolist(), (hi + width).tolist())]
+    return h, np.array(span, dtype=np.uint64), lo, hi, at
+
+
+def _part_rows(data: bytes, spans, width: int, gram: int, constants):
+    """The same of the parts of the runs in ``spans``: part k has the windows that start 8k to 8k+7 bytes before the
+    anchor."""
+    from xxhash import xxh3_64_intdigest as digest
+    rows = []
+    for s in spans:
+        lo, hi, at = s["lo"], s["hi"], s["at"]
+        for k in range((at - hi) // PART, (at - lo) // PART + 1):
+            core, first, last = at - PART * k, max(lo, at - PART * k - PART + 1), min(hi, at - PART * k)
+            rows.append((first, last, at, digest(data[core:core + width - PART + 1]), digest(data[first:last + width])))
+    *places, h, span = zip(*sorted(rows))
+    return np.array(h, dtype=np.uint64), np.array(span, dtype=np.uint64), *map(np.array, places)
+
+
+def _window_rows(data: bytes, spans, width: int, gram: int, constants):
+    """The same of the single windows in ``spans``; h and span are the halves of a 128-bit hash."""
+    from xxhash import xxh3_128_digest as digest
+    places = np.unique(np.concatenate([np.arange(s["lo"], s["hi"] + 1) for s in spans]))
+    both = np.frombuffer(b"".join(digest(data[p:p + width]) for p in places.tolist()), dtype="<u8").reshape(-1, 2)
+    return both[:, 0], both[:, 1], places, places, places
+
+
+def _spell(rows_of, width: int, gram: int):
+    """mapInArrow function: documents to the rows that ``rows_of`` makes of a text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
         constants = _constants()
         for batch in batches:
             ids, tags, order = _ordered(batch)
             texts = batch.column("text")
-            spans = batch.column("spans") if kind == "windows" else None
-            h, span, doc, lo, hi = [], [], [], [], []
-            for d, row in enumerate(order):
-                data = texts[int(row)].as_buffer().to_pybytes()
-                if kind == "runs":
-                    if len(data) < width:
-                        continue
-                    for key, first, last in runs(data, width, gram, constants):
-                        h.append(key)
-                        lo.append(first)
-                        hi.append(last)
-                        span.append(np.fromiter(
-                            (xxhash.xxh3_64_intdigest(data[a:b]) for a, b in
-                             zip(first.tolist(), (last + width).tolist())), dtype=np.uint64, count=len(first)))
-                        doc.append(np.full(len(first), d))
-                else:
-                    places = np.unique(np.concatenate([np.arange(s["lo"], s["hi"] + 1)
-                                                       for s in spans[int(row)].as_py()]))
-                    both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[p:p + width])
-                                                  for p in places.tolist()), dtype="<u8").reshape(-1, 2)
-                    h.append(both[:, 0])
-                    span.append(both[:, 1])
-                    lo.append(places)
-                    hi.append(places)
-                    doc.append(np.full(len(places), d))
-            if h:
-                yield _emit(*(np.concatenate(x) for x in (h, span, doc, lo, hi)), ids, tags, width)
+            spans = batch.column("spans") if "spans" in batch.schema.names else None
+            found = []
+            for d, row in enumerate(order.tolist()):
+                columns = rows_of(texts[row].as_buffer().to_pybytes(), spans and spans[row].as_py(), width, gram,
+                                  constants)
+                if columns is not None:
+                    found.append((*columns, np.full(len(columns[0]), d)))
+            if found:
+                yield _emit(*(np.concatenate(x) for x in zip(*found)), ids, tags, width)
     return run
 
 
@@ -172,21 +187,26 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("id", tag.alias("tag"), "text")
 
 
+def _earliest(rows: DataFrame, name: str) -> DataFrame:
+    """The rows that are settled as repeats (open false) or need a further digit (open true)."""
+    same = Window.partitionBy("h", "span").orderBy("id", "tag", "lo")
+    first = (F.rank().over(same) == 1) & ~F.col("done")  # repeated rows tie
+    rows = (rows.repartition("h").withColumn("open", first)
+            .withColumn("classes", F.sum(F.col("open").cast("int")).over(Window.partitionBy("h"))))
+    return materialize(rows.where("not open or classes > 1").select("id", "tag", "lo", "hi", "at", "open"), name)
+
+
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(id, tag, lo, hi): windows lo..hi (first bytes) of documents that also start earlier. ``docs`` comes from
     :func:`keyed`. Spans may overlap."""
-    rows = docs.where(F.length("text") >= width).mapInArrow(_spell("runs", width, gram), ROWS).repartition("h")
-    same = Window.partitionBy("h", "span").orderBy("id", "tag", "lo")
-    first = (F.rank().over(same) == 1) & ~F.col("done")  # repeated rows tie
-    passed = (rows.withColumn("first", first)
-              .withColumn("classes", F.sum(F.col("first").cast("int")).over(Window.partitionBy("h")))
-              .where("not first or classes > 1").select("id", "tag", "lo", "hi", "first"))
-    passed = materialize(passed, "runs")
-    open_runs = passed.where("first").groupBy("id", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    windows = (docs.join(open_runs, ["id", "tag"]).mapInArrow(_spell("windows", width, gram), ROWS)
-               .withColumn("first", first))
-    spans = ["id", "tag", "lo", "hi"]
-    return passed.where("not first").select(spans).unionByName(windows.where("not first").select(spans))
+    passed = _earliest(docs.where(F.length("text") >= width).mapInArrow(_spell(_run_rows, width, gram), ROWS), "runs")
+    settled = passed.where("not open")
+    for rows_of, name in ((_part_rows, "parts"), (_window_rows, "windows")):
+        spans = (passed.where("open").groupBy("id", "tag")
+                 .agg(F.collect_list(F.struct("lo", "hi", "at")).alias("spans")))
+        passed = _earliest(docs.join(spans, ["id", "tag"]).mapInArrow(_spell(rows_of, width, gram), ROWS), name)
+        settled = settled.unionByName(passed.where("not open"))
+    return settled.select("id", "tag", "lo", "hi")
 
 
 def _cut(width: int):
