@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comparo.llm import bpe_prefix, embed_lsh, length_hist, pack, simhash_gray, suffix_dedup
+from comparo.llm import bpe_prefix, embed_lsh, fertility, length_hist, pack, simhash_gray, suffix_dedup
 from comparo.llm.common import documents
 from comparo.sources.tables import read_table
 
@@ -26,6 +26,14 @@ def op1(spark, sf_dir):
     return embed_lsh.near_duplicates(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+@register("op3_fertility")
+def op3(spark, sf_dir):
+    found = fertility.rules(documents(spark, sf_dir), fertility.public_vocabulary())
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                        "n_repeat_words", "base_failed", "kept", "script", "n_tokens", "chars_per_token", "byte_share",
+                        "entropy", "reasons")
+
+
 @register("op5_suffix_dedup")
 def op5(spark, sf_dir):
     found = suffix_dedup.remove_repeats(documents(spark, sf_dir))
