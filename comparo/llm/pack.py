@@ -11,8 +11,8 @@ Only (id, piece, length, checksum) rows are shuffled, never tokens or texts. The
 sequence number is its group's number times 2**33 plus the bin's number, so groups never meet.
 
 The word vocabulary drops white space, and no match of its pattern reaches over white space, so texts are
-encoded run by run between ASCII white space, and a worker keeps the ids of the runs it has met in a table that is
-emptied when it is full.
+encoded run by run between ASCII white space, and a worker keeps the ids of the runs it met last in a table of
+bounded size.
 
 Defined results: a null text is empty and packs as its end token alone; rows with equal ids are packed as
 documents of their own; a null id is packed like any other. Special tokens' strings in a text are ordinary text.
@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import map_rows, materialize
+from comparo.llm.common import Recent, map_rows, materialize
 
 LIMIT = 4096
 OPEN_BINS = 256
 GROUP = 100_000
-CACHE = 1 << 18
+CACHE = 1 << 19
 
 
 def public_vocabulary() -> str:
@@ -44,24 +44,48 @@ def public_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary: printable bytes for themselves, the others for
+    letters from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids as little-endian unsigned 32-bit integers."""
+    """A function from a text to its ids as little-endian unsigned 32-bit integers.
+
+    A run of printable Latin characters goes straight to the vocabulary's merges: lower case and the splitting pattern
+    are all that the library does to it before. Any other run goes through the whole tokenizer."""
+    import re
+    import struct
+
+    import regex
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    known: dict[str, bytes] = {}
-    other_space = str.maketrans("\t\n\v\f\r", "     ")
+    merge, letters = tokenizer.model.tokenize, byte_letters()
+    # fixed values: the splitting pattern of the vocabulary, in general and for lower-case printable ASCII
+    ascii_words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+    words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+    ascii_run, latin_run = re.compile(r"[!-~]+").fullmatch, re.compile("[!-~\xa1-\u02ff]+").fullmatch
+    spaces = re.compile(r"[\t-\r ]+")
+
+    def ids(part: str) -> bytes:
+        if ascii_run(part):
+            found = [t.id for w in ascii_words(part.lower()) for t in merge(w)]
+        elif latin_run(part):
+            found = [t.id for w in words(part.lower())
+                     for t in merge(w.encode("utf-8").decode("latin-1").translate(letters))]
+        else:
+            found = tokenizer.encode(part, add_special_tokens=False).ids
+        return struct.pack(f"<{len(found)}I", *found)
+
+    known = Recent(ids, CACHE)
 
     def encode(text: str) -> bytes:
-        parts = [p for p in text.translate(other_space).split(" ") if p]
-        if len(known) > CACHE:
-            known.clear()
-        new = list(set(parts).difference(known))
-        if new:
-            for part, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[part] = np.array(found.ids, dtype="<u4").tobytes()
-        return b"".join(map(known.__getitem__, parts))
+        return b"".join([known[part] for part in spaces.split(text) if part])
 
     return encode
 
