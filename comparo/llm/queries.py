@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comparo.llm import bpe_prefix, embed_lsh, fertility, length_hist, pack, simhash_gray, suffix_dedup
+from comparo.llm import bpe_prefix, embed_lsh, fertility, length_hist, pack, simhash_gray, suffix_dedup, toxicity
 from comparo.llm.common import documents
 from comparo.sources.tables import read_table
 
@@ -26,6 +26,12 @@ def op1(spark, sf_dir):
     return embed_lsh.near_duplicates(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+@register("op2_toxicity")
+def op2(spark, sf_dir):
+    found = toxicity.toxicity(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @register("op3_fertility")
 def op3(spark, sf_dir):
     found = fertility.rules(documents(spark, sf_dir), fertility.public_vocabulary())
