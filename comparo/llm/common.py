@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from comparo import session
 from comparo.sources.tables import read_table
 
-__all__ = ["Recent", "components", "documents", "map_rows", "materialize", "remainder"]
+__all__ = ["Recent", "components", "documents", "first_by_hash", "labelled", "map_rows", "materialize", "remainder"]
 
 
 class Recent(dict):
@@ -59,6 +59,25 @@ def remainder(id_col: str, modulus: int):
     return F.crc32(text.cast("binary")) % modulus
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str, training, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """(id, y, text) of the documents with a label for which ``training`` holds. Texts of other documents are
+    not moved."""
+    marks = (labels.where(F.col(label).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id"))
+             .agg(F.max(F.col(label).cast("int")).alias("y")))
+    rows = docs.where(training).select(F.col(id_col).cast("long").alias("id"),
+                                       F.col(text_col).cast("string").alias("text"))
+    return rows.join(marks, "id").select("id", "y", "text")
+
+
+def first_by_hash(rows: DataFrame, sample: int) -> DataFrame:
+    """The rows whose ids come first in the order of a hash, ``sample`` of them (all rows if there are no more). Only
+    hashes are ordered; the rows stay where they are."""
+    order = F.xxhash64("id")
+    last = rows.select(order.alias("h")).orderBy("h").limit(sample).agg(F.count("h"), F.max("h")).first()
+    return rows if last[0] < sample else rows.where(order <= last[1])
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, Iterable]]],
              ) -> DataFrame:
     """Arrow map over the partitions: ``make()`` runs once per task and returns a function from the columns of

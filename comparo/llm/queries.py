@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comparo.llm import bpe_prefix, embed_lsh, fertility, length_hist, pack, simhash_gray, suffix_dedup, toxicity
+from comparo.llm import (bpe_prefix, embed_lsh, fertility, length_hist, line_crf, pack, simhash_gray, suffix_dedup,
+                         toxicity)
 from comparo.llm.common import documents
 from comparo.sources.tables import read_table
 
@@ -40,6 +41,12 @@ def op3(spark, sf_dir):
                         "entropy", "reasons")
 
 
+@register("op4_line_crf")
+def op4(spark, sf_dir):
+    found = line_crf.quality(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @register("op5_suffix_dedup")
 def op5(spark, sf_dir):
     found = suffix_dedup.remove_repeats(documents(spark, sf_dir))

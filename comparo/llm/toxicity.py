@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import Recent, map_rows, materialize, remainder
+from comparo.llm.common import Recent, first_by_hash, labelled, map_rows, materialize, remainder
 
 BUCKETS = 1 << 20
 CACHE = 1 << 18
@@ -64,17 +64,6 @@ def text_words(text: str | None) -> set[str]:
     return set(WORD.findall((text or "").lower()))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, training, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """(id, y, text) of the documents with a label for which ``training`` holds. Texts of other documents are
-    not moved."""
-    marks = (labels.where(F.col(label).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id"))
-             .agg(F.max(F.col(label).cast("int")).alias("y")))
-    rows = docs.where(training).select(F.col(id_col).cast("long").alias("id"),
-                                       F.col(text_col).cast("string").alias("text"))
-    return rows.join(marks, "id").select("id", "y", "text")
-
-
 def feature_counts(rows: DataFrame) -> DataFrame:
     """(bucket, pos, neg): documents with a feature per label, over all rows (id, y, text)."""
     def make():
@@ -192,11 +181,7 @@ def train(rows: DataFrame, features: int = FEATURES, sample: int = SAMPLE, pairi
                     "swapped": [swapped(t) for t in cols["text"]]}
         return run
 
-    chosen = rows
-    if n_pos + n_neg > sample:  # only ids are ordered; the texts stay where they are
-        last = rows.select(F.xxhash64("id").alias("h")).orderBy("h").limit(sample).agg(F.max("h").alias("h")).first().h
-        chosen = rows.where(F.xxhash64("id") <= last)
-    got = map_rows(chosen, "id long, y int, plain array<int>, swapped array<int>", make).orderBy("id").collect()
+    got = map_rows(first_by_hash(rows, sample), "id long, y int, plain array<int>, swapped array<int>", make).orderBy("id").collect()
     y = np.array([float(r.y > 0) for r in got])
     pairs = [r for r in got if r.swapped is not None]
     weights, intercept = fit(Sparse([r.plain for r in got], len(selected)), y,
