@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from comparo.llm import (bpe_prefix, embed_lsh, fertility, length_hist, line_crf, pack, simhash_gray, suffix_dedup,
-                         toxicity)
+                         suffix_tree, toxicity)
 from comparo.llm.common import documents
 from comparo.sources.tables import read_table
 
@@ -76,6 +76,11 @@ def op8(spark, sf_dir):
                         "component_id")
 
 
+@register("op9_suffix_tree")
+def op9(spark, sf_dir):
+    return suffix_tree.score_documents(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 @register("op10_length_hist")
 def op10(spark, sf_dir):
     path, pattern = bpe_prefix.public_vocabulary()
