@@ -8,7 +8,7 @@ length. Each measure has a band,
 given per language, else per script (the script of most letters), and a text outside a band is rejected.
 
 Beside the verdict there are counts by plain rules (words, symbols, repeated lines and words) and the base rule over
-them; :func:`measure` gives all columns, :func:`judge` adds base_failed, reasons and kept.
+them. :func:`rules` returns all columns and the verdict, :func:`keep_good` filters.
 
 The word's ids depend on the word alone, so a worker keeps those it met last in a table of bounded size. Every row is
 judged by itself: there is no shuffle.
@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import Recent, map_rows
+from comparo.llm.common import Recent, append_columns
 
 CACHE = 1 << 18
 SYMBOLS = "#*$%&|<>"
@@ -110,23 +110,22 @@ def plain_counts(text: str, words: list[str]) -> tuple[int, int, int, int]:
     return sum(map(len, words)), sum(map(text.count, SYMBOLS)), dup, repeat
 
 
-def measure(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-            lang_col: str = "lang") -> DataFrame:
-    """(id, lang, script, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_tokens, chars_per_token,
-    byte_share, entropy) for every row of ``docs``."""
-    lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), lang.alias("lang"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+COLUMNS = {"script": "string", "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long",
+           "n_repeat_words": "long", "n_tokens": "long", "chars_per_token": "double", "byte_share": "double",
+           "entropy": "double"}
 
+
+def measured(docs: DataFrame, path: str, text_col: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with the columns of ``COLUMNS``, their names behind ``prefix``."""
     def make():
         import re
         find = re.compile(r"[^ \t-\r]+").findall
         table, is_byte = encoder(path)
 
         def run(cols):
-            out = {"id": cols["id"], "lang": cols["lang"]}
             found = []
             for text in cols["text"]:
+                text = text or ""
                 words = find(text)
                 plain = plain_counts(text, words)
                 ids = np.frombuffer(b"".join(map(table.__getitem__, words)), dtype="<u4")
@@ -137,34 +136,50 @@ def measure(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                     share = times[times > 0] / len(ids)
                     measures = (plain[0] / len(ids), bytes_share, float(-(share * np.log2(share)).sum()))
                 found.append((script_of(text), len(words), *plain, len(ids), *measures))
-            for name, column in zip(("script", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                                     "n_tokens", "chars_per_token", "byte_share", "entropy"), zip(*found)):
-                out[name] = column
-            return out
+            return dict(zip((prefix + c for c in COLUMNS), zip(*found) if found else [[] for _ in COLUMNS]))
         return run
 
-    return map_rows(rows, "id long, lang string, script string, n_words long, word_chars long, n_symbols long, "
-                          "n_dup_lines long, n_repeat_words long, n_tokens long, chars_per_token double, "
-                          "byte_share double, entropy double", make)
+    return append_columns(docs, {"text": text_col}, ", ".join(f"`{prefix}{c}` {t}" for c, t in COLUMNS.items()), make)
 
 
-def _band(bands: dict, place: int) -> Column:
+def _band(bands: dict, place: int, lang: Column, script: Column) -> Column:
     table = F.create_map(*[x for k, v in bands.items() for x in (F.lit(k), F.lit(float(v[place])))])
-    return F.coalesce(table[F.col("lang")], table[F.col("script")], table[F.lit("other")])
+    return F.coalesce(table[lang], table[script], table[F.lit("other")])
 
 
-def judge(measured: DataFrame, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> DataFrame:
-    """``measured`` with base_failed, reasons (array of the bands left) and kept."""
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    floor = _band(bands, 3) + GROWTH * F.log2(F.least(F.col("n_tokens"), F.lit(FULL)))
+def verdict(lang: Column, bands: dict[str, tuple[float, float, float, float]] = BANDS,
+            prefix: str = "") -> tuple[Column, Column]:
+    """(base_failed, reasons) over the columns of :func:`measured`; reasons names the bands left."""
+    col = lambda name: F.col(prefix + name)
+    band = lambda place: _band(bands, place, lang, col("script"))
+    base = (col("n_words") < 50) | (100 * col("n_repeat_words") > 50 * col("n_words"))
+    floor = band(3) + GROWTH * F.log2(F.least(col("n_tokens"), F.lit(FULL)))
     reasons = F.array_compact(F.array(
-        F.when(F.col("chars_per_token") < _band(bands, 0), "few characters per token"),
-        F.when(F.col("chars_per_token") > _band(bands, 1), "many characters per token"),
-        F.when(F.col("byte_share") > _band(bands, 2), "byte fall-back"),
-        F.when(F.col("entropy") < floor, "little entropy")))
-    return (measured.withColumn("base_failed", base).withColumn("reasons", reasons)
-            .withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0)))
-
-
-def rules(docs: DataFrame, path: str, bands: dict = BANDS, **columns) -> DataFrame:
-    return judge(measure(docs, path, **columns), bands)
+        F.when(col("chars_per_token") < band(0), "few characters per token"),
+        F.when(col("chars_per_token") > band(1), "many characters per token"),
+        F.when(col("byte_share") > band(2), "byte fall-back"),
+        F.when(col("entropy") < floor, "little entropy")))
+    return base, reasons
+
+
+def _language(docs: DataFrame, lang_col: str) -> Column:
+    return F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+
+
+def rules(docs: DataFrame, path: str, bands: dict = BANDS, id_col: str = "doc_id", text_col: str = "text",
+          lang_col: str = "lang") -> DataFrame:
+    """(id, lang, the columns of ``COLUMNS``, base_failed, reasons, kept) for every row of ``docs``."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), _language(docs, lang_col).alias("lang"),
+                       F.col(text_col).cast("string").alias("text"))
+    base, reasons = verdict(F.col("lang"), bands)
+    return (measured(rows, path).withColumn("base_failed", base).withColumn("reasons", reasons)
+            .withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0)).drop("text"))
+
+
+def keep_good(docs: DataFrame, path: str, bands: dict = BANDS, text_col: str = "text",
+              lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with their own columns."""
+    prefix = "__fertility_"
+    base, reasons = verdict(_language(docs, lang_col), bands, prefix)
+    return (measured(docs, path, text_col, prefix).where(~base & (F.size(reasons) == 0))
+            .drop(*(prefix + c for c in COLUMNS)))

@@ -205,3 +205,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = materialize(rooted, "fp_roots")
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.join(rooted.join(lowest, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
+             max_bits: int = 2) -> DataFrame:
+    """One row of ``docs`` for each group of near duplicates, the one of smallest id (a null id counts as the largest,
+    any of equal ids), with its own columns.
+
+    The rows get numbers and are written out, so that rows with equal ids can be told apart."""
+    row = "__simhash_row"
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(rows, row, text_col, size, max_bits)
+    least = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "id"))
+    first = (groups.join(rows.select(F.col(row).alias("id"), F.col(id_col).cast("long").alias("key")), "id")
+             .groupBy("component_id").agg(least.alias("first")))
+    return rows.join(first.select(F.col("first.id").alias(row)), row, "left_semi").select(*docs.columns)

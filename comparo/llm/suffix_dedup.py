@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from comparo.llm.common import map_rows, materialize
+from comparo.llm.common import append_columns, materialize
 
 WIDTH = 100
 GRAM = 32
@@ -178,13 +178,21 @@ def _spell(rows_of, width: int, gram: int):
     return run
 
 
+def with_key(docs: DataFrame, id_col: str, text_col: str, prefix: str = "") -> DataFrame:
+    """``docs`` with id, tag and text (bytes), their names behind ``prefix``; tag tells rows with equal ids apart and is
+    zero where ids do not repeat."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    repeats = docs.select(key.alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    tag = F.lit(0).cast("long") if repeats.isEmpty() else F.xxhash64(text)
+    return docs.withColumns({f"{prefix}id": key, f"{prefix}tag": tag, f"{prefix}text": text.cast("binary")})
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, tag, text): tag tells rows with equal ids apart and is zero where ids do not repeat."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    repeats = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    tag = F.lit(0).cast("long") if repeats.isEmpty() else F.xxhash64("text")
-    return rows.select("id", tag.alias("tag"), "text")
+    """(id, tag, text) only."""
+    prefix = "__key_"
+    return (with_key(docs.select(id_col, text_col), id_col, text_col, prefix)
+            .select(*(F.col(prefix + c).alias(c) for c in ("id", "tag", "text"))))
 
 
 def _earliest(rows: DataFrame, name: str) -> DataFrame:
@@ -212,8 +220,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
 def _cut(width: int):
     def make():
         def run(cols):
-            out = {"id": cols["id"], "tag": cols["tag"], "n_bytes": [], "n_removed": [], "n_spans": [], "kept": [],
-                   "removed": []}
+            out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": [], "removed": []}
             for data, spans in zip(cols["text"], cols["spans"]):
                 at, kept, removed = 0, [], []
                 for lo, hi in sorted((s["lo"], s["hi"] + width) for s in spans or ()):
@@ -236,15 +243,43 @@ def _cut(width: int):
     return make
 
 
+CUT = ("n_bytes long, n_removed long, n_spans long, kept binary, removed array<struct<start:int,stop:int>>")
+
+
+def _gathered(rows: DataFrame, width: int, gram: int) -> DataFrame:
+    return (repeated_spans(rows, width, gram).groupBy("id", "tag")
+            .agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                    gram: int = GRAM) -> DataFrame:
-    """(id, tag, n_bytes, n_removed, n_spans, kept, removed) for every row of ``docs``: kept holds the bytes left,
-    removed the maximal removed runs as (start, stop)."""
+    """(id, n_bytes, n_removed, n_spans, kept, removed) for every row of ``docs``: kept holds the bytes left, removed the
+    maximal removed runs as (start, stop)."""
     rows = keyed(docs, id_col, text_col)
-    spans = repeated_spans(rows, width, gram)
-    spans = spans.groupBy("id", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    cut = map_rows(rows.join(spans, ["id", "tag"], "left"),
-                   "id long, tag long, n_bytes long, n_removed long, n_spans long, kept binary, "
-                   "removed array<struct<start:int,stop:int>>", _cut(width))
-    return cut.withColumn("id", F.when(F.col("id") != NO_ID, F.col("id")))
+    found = append_columns(rows.join(_gathered(rows, width, gram), ["id", "tag"], "left"),
+                           {"text": "text", "spans": "spans"}, CUT, _cut(width))
+    return found.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("id"), "n_bytes", "n_removed", "n_spans",
+                        "kept", "removed")
+
+
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
+                gram: int = GRAM) -> DataFrame:
+    """``docs`` with the repeated bytes taken out of the text, its other columns as they are. Parts of a
+    character that a cut leaves over are dropped; a text of nothing but repeats becomes empty; null stays null."""
+    prefix = "__repeat_"
+    spans = _gathered(keyed(docs, id_col, text_col), width, gram)
+    spans = spans.select(*(F.col(c).alias(prefix + c) for c in ("id", "tag", "spans")))
+    whole = with_key(docs, id_col, text_col, prefix).join(spans, [f"{prefix}id", f"{prefix}tag"], "left")
+
+    def make():
+        cut = _cut(width)()
+
+        def run(cols):
+            kept = cut({"text": [(t or "").encode("utf-8") for t in cols["text"]], "spans": cols["spans"]})["kept"]
+            return {f"{prefix}kept": [None if t is None else k.decode("utf-8", "ignore")
+                                      for t, k in zip(cols["text"], kept)]}
+        return run
 
+    whole = whole.drop(f"{prefix}text").withColumn(text_col, F.col(text_col).cast("string"))
+    left = append_columns(whole, {"text": text_col, "spans": f"{prefix}spans"}, f"{prefix}kept string", make)
+    return left.withColumn(text_col, F.col(f"{prefix}kept")).select(*docs.columns)

@@ -26,12 +26,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import Recent, first_by_hash, labelled, map_rows, materialize, remainder
+from comparo.llm.common import (Recent, append_columns, first_by_hash, labelled, map_rows, materialize,
+                                remainder)
 
 BUCKETS = 1 << 20
 CACHE = 1 << 18
 FEATURES = 4096
 SAMPLE = 20_000
+THRESHOLD = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 
 # Identity terms by kind; a term is swapped for the next of its kind.
@@ -190,11 +192,10 @@ def train(rows: DataFrame, features: int = FEATURES, sample: int = SAMPLE, pairi
     return {"buckets": selected, "weights": weights.tolist(), "intercept": float(intercept), "share": None}
 
 
-def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) for every row of ``docs``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+def with_score(docs: DataFrame, model: dict, column: str = "score", text_col: str = "text") -> DataFrame:
+    """``docs`` with the score of each row's text."""
     if model["intercept"] is None:
-        return rows.select("id", F.lit(model["share"]).alias("score"))
+        return docs.withColumn(column, F.lit(float(model["share"])))
 
     def make():
         weight = dict(zip(model["buckets"], model["weights"]))
@@ -206,17 +207,29 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                 found = set().union(*map(table.__getitem__, text_words(text)))
                 logit = model["intercept"] + sum(weight[b] for b in sorted(found))
                 out.append(float(1 / (1 + np.exp(-np.clip(logit, -40, 40)))))
-            return {"id": cols["id"], "score": out}
+            return {column: out}
         return run
 
-    return map_rows(rows, "id long, score double", make)
+    return append_columns(docs, {"text": text_col}, f"`{column}` double", make)
+
+
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic",
+          **options) -> dict:
+    """Model of the labelled rows that are not held out."""
+    training = remainder(id_col, 3) != 1
+    return train(labelled(docs, labels, label, training, id_col, text_col), **options)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id",
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
              text_col: str = "text", label: str = "toxic", **options) -> DataFrame:
     """(id, held_out, score, predicted); learns from the labelled rows that are not held out."""
-    held_out = remainder(id_col, 3) == 1
-    model = train(labelled(docs, labels, label, ~held_out, id_col, text_col), **options)
-    scored = score(docs, model, id_col, text_col)
+    model = learn(docs, labels, id_col, text_col, label, **options)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    scored = with_score(rows, model)
     return scored.select("id", (remainder("id", 3) == 1).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def reject_toxic(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with their own columns."""
+    return with_score(docs, model, "__toxicity", text_col).where(F.col("__toxicity") < threshold).drop("__toxicity")
