@@ -1,0 +1,301 @@
+"""Byte-level BPE, packing, length histogram and suffix tree against the libraries and brute force."""
+
+import base64
+import collections
+import hashlib
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+import cases
+from comparo.llm import bpe_prefix, length_hist, pack, suffix_tree
+from conftest import SF_SMALL
+
+PATH, PATTERN = bpe_prefix.public_vocabulary()
+ENCODE, VOCABULARY = bpe_prefix.encoder(PATH, PATTERN)
+ALPHABET = ["a", "b", " ", "  ", "\n", "\r", "\t", "é", "日本", "don't", "'s", "'", "ll", "12", " 4", "!!", "%%", " the",
+            "ing", "\x85", "\xa0", "\x1c", " ", "😀", "Ω", "xq", "ThE", "\x00", "İ", "ΣΑΣ", "ß", "<|endoftext|>"]
+TEXT = st.lists(st.sampled_from(ALPHABET), max_size=30).map("".join)
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def word_library():
+    tokenizer = Tokenizer.from_file(pack.public_vocabulary())
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+# --------------------------------------------------------------------------- op6
+
+def test_prefix_tables_agree_with_the_library(library):
+    @settings(max_examples=400, deadline=None)
+    @given(TEXT)
+    def check(text):
+        assert np.frombuffer(ENCODE(text), dtype="<u4").tolist() == library.encode_ordinary(text)
+
+    check()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(max_size=60), st.integers(0, 60), st.integers(0, 60), st.binary(max_size=6), st.binary(max_size=6))
+def test_appends_and_edits(data, start, stop, new, more):
+    start, stop = sorted((min(start, len(data)), min(stop, len(data))))
+    table = bpe_prefix.PrefixTable(VOCABULARY, data)
+    assert b"".join(VOCABULARY.tokens[i] for i in table.ids()) == data
+    table.replace(start, stop, new)
+    table.append(more)
+    assert table.last == bpe_prefix.PrefixTable(VOCABULARY, data[:start] + new + data[stop:] + more).last
+
+
+def test_an_edit_works_out_few_prefixes():
+    data = b"the quick brown fox jumps over the lazy dog " * 200
+    table = bpe_prefix.PrefixTable(VOCABULARY, data)
+    assert table.replace(100, 101, b"zz") < 1000
+
+
+def test_encode_and_decode_awkward_rows(spark, library):
+    got = bpe_prefix.encode_documents(cases.documents(spark), PATH, PATTERN, decode=True).collect()
+    got = sorted(((r.id, r.n_tokens, bytes(r.ids), bytes(r.decoded)) for r in got), key=repr)
+    want = []
+    for i, t in cases.TEXTS:
+        ids = library.encode_ordinary(t or "")
+        want.append((i, len(ids), np.array(ids, dtype="<u4").tobytes(), (t or "").encode()))
+    assert got == sorted(want, key=repr)
+    again = bpe_prefix.decode_documents(bpe_prefix.encode_documents(cases.documents(spark), PATH, PATTERN), PATH)
+    assert sorted(bytes(r.decoded) for r in again.collect()) == sorted(w[3] for w in want)
+
+
+def test_encode_empty_table(spark):
+    assert bpe_prefix.encode_documents(cases.documents(spark, []), PATH, PATTERN).count() == 0
+
+
+# --------------------------------------------------------------------------- op7
+
+def check_packing(parts, limit):
+    """Pieces fill their sequences without gaps or overlaps."""
+    sequences = collections.defaultdict(list)
+    for p in parts:
+        sequences[p.sequence_id].append((p.offset, p.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= limit
+    return len(sequences)
+
+
+def test_word_ids_agree_with_the_library(word_library):
+    encode = pack.encoder(pack.public_vocabulary())
+
+    @settings(max_examples=400, deadline=None)
+    @given(TEXT)
+    def check(text):
+        want = word_library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(text), dtype="<u4").tolist() == want
+
+    check()
+
+
+def test_pack_awkward_rows(spark, word_library):
+    got = pack.pack(pack.pieces(cases.documents(spark), pack.public_vocabulary())).collect()
+    want = []
+    for i, t in cases.TEXTS:
+        ids = np.array([*word_library.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        for k, at in enumerate(range(0, len(ids), 4096)):
+            part = ids[at:at + 4096]
+            want.append((i, k, at, len(part), zlib.crc32(part.tobytes())))
+    assert sorted(((r.id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=repr) == sorted(want, key=repr)
+    check_packing(got, 4096)
+
+
+def test_pack_empty_table(spark):
+    assert pack.pack(pack.pieces(cases.documents(spark, []), pack.public_vocabulary())).count() == 0
+
+
+def test_pack_is_close_to_the_bound(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(i), 0, int(n)) for i, n in enumerate(rng.integers(1, 4097, 4000))]
+    parts = spark.createDataFrame(rows, "id long, piece int, length long").selectExpr(
+        "*", "0L AS start", "0L AS ids_crc32")
+    got = pack.pack(parts, group=2000).collect()
+    assert len(got) == len(rows)
+    used = check_packing(got, 4096)
+    assert used <= 1.06 * -(-sum(r[2] for r in rows) // 4096)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=80), st.integers(1, 5))
+def test_open_bins_choose_the_tightest(lengths, bins):
+    """The bit set acts as a plain list of open bins does."""
+    state, plain, opened = pack.OpenBins(64, bins), {}, 0
+    for length in lengths:
+        number, offset = state.put(length)
+        fits = [free for free in plain.values() if free >= length]
+        if fits:
+            assert plain[number] == min(fits) and offset == 64 - min(fits)
+        else:
+            if len(plain) == bins:
+                tightest = min(plain.values())
+                gone = [b for b, free in plain.items() if free == tightest and b not in sum(state.at.values(), [])]
+                del plain[gone[0]]
+            assert offset == 0 and number == opened
+            plain[number], opened = 64, opened + 1
+        plain[number] -= length
+        if not plain[number]:
+            del plain[number]
+        assert sorted(plain.values()) == sorted(free for free, at in state.at.items() for _ in at)
+
+
+# --------------------------------------------------------------------------- op10
+
+def check_limits(got, lengths):
+    lengths = np.array(lengths)
+    assert sorted(r.length for r in got) == sorted(set(lengths.tolist()))
+    for r in got:
+        n = r.length
+        assert (r.n_docs, r.docs_at_least, r.docs_fit) == ((lengths == n).sum(), (lengths >= n).sum(),
+                                                           (lengths <= n).sum())
+        assert (r.tokens_at_least, r.total_docs, r.total_tokens) == (lengths[lengths >= n].sum(), len(lengths),
+                                                                     lengths.sum())
+        assert r.truncated_tokens == np.minimum(lengths, n).sum()
+        assert r.quantile == (lengths <= n).sum() / len(lengths)
+
+
+def test_limits(spark):
+    rng = np.random.default_rng(6)
+    lengths = [0, 0, 1, *rng.integers(0, 20_000, 300).tolist(), 4095, 4096, 4097, 10**7]
+    frame = spark.createDataFrame([(int(x),) for x in lengths], "n_tokens int")
+    hist = length_hist.histogram(frame)
+    limits = length_hist.context_limits(hist)
+    check_limits(limits.collect(), lengths)
+    found = {r.share: r.length for r in length_hist.quantiles(limits, [0.1, 0.5, 1.0]).collect()}
+    assert found == {q: int(np.quantile(lengths, q, method="inverted_cdf")) for q in (0.1, 0.5, 1.0)}
+    cut = {r.limit: r.truncated_tokens for r in length_hist.truncated_total(hist, [0, 7, 5000]).collect()}
+    assert cut == {x: int(np.minimum(lengths, x).sum()) for x in (0, 7, 5000)}
+
+
+def test_limits_empty_table(spark):
+    assert length_hist.context_limits(length_hist.histogram(spark.createDataFrame([], "n_tokens int"))).count() == 0
+
+
+def test_lengths_of_awkward_rows(spark, library):
+    counts = bpe_prefix.token_counts(cases.documents(spark), PATH, PATTERN)
+    check_limits(length_hist.context_limits(length_hist.histogram(counts)).collect(),
+                 [len(library.encode_ordinary(t or "")) for _, t in cases.TEXTS])
+
+
+# --------------------------------------------------------------------------- op9
+
+def check_base(got, rows):
+    key = lambda r: repr(r[:4])
+    want = sorted(cases.base_scores(rows), key=key)
+    got = sorted(((r.id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got), key=key)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert np.allclose([g[5] for g in got], [w[5] for w in want], rtol=1e-9, atol=1e-9)
+
+
+def test_suffix_tree_awkward_rows(spark):
+    got = suffix_tree.score_documents(cases.documents(spark)).collect()
+    check_base(got, cases.TEXTS)
+    assert all(np.isfinite(r.score) and r.score <= 0 for r in got)
+
+
+def test_suffix_tree_empty_and_untrained(spark):
+    assert suffix_tree.score_documents(cases.documents(spark, [])).count() == 0
+    out = next(i for i in range(100) if cases.held_out(i, 5))
+    got = suffix_tree.score_documents(cases.documents(spark, [(out, "never seen before")])).collect()
+    check_base(got, [(out, "never seen before")])
+    assert got[0].score == pytest.approx(got[0].base_score)
+
+
+def brute_tree(rows, depth, share, least):
+    """Scores by the method in plain Python: {id: score}."""
+    import math
+    texts = [(i, [w for w in cases.words(cases.lower(t))] + ["\n"]) for i, t in rows]
+    training = [ws for i, ws in texts if not cases.held_out(i, 5)]
+    unigram = collections.Counter(w for ws in training for w in ws)
+    total = sum(unigram.values())
+    norm = total + 0.5 * (len(unigram) + 1)
+    least = max(least, math.ceil(share * total))
+    size, nexts = collections.Counter(), collections.defaultdict(collections.Counter)
+    for ws in training:
+        for k in range(len(ws) - 1):
+            for n in range(1, depth + 1):
+                if k - n + 1 >= 0:
+                    context = tuple(ws[k - n + 1:k + 1])
+                    size[context] += 1
+                    nexts[context][ws[k + 1]] += 1
+    contexts = [c for c in size if size[c] >= least]
+    entries = {c: {w: n for w, n in nexts[c].items() if n > 1} for c in contexts}
+    left = {c: 1 - (sum(e.values()) - suffix_tree.DISCOUNT * len(e)) / size[c] for c, e in entries.items()}
+
+    def prob(context, word):
+        if not context:
+            return (unigram[word] + 0.5) / norm
+        n = entries[context].get(word)
+        below = left[context] * prob(context[1:], word)
+        return below + ((n - suffix_tree.DISCOUNT) / size[context] if n else 0)
+
+    keep = set()
+    for c in contexts:
+        e = entries[c]
+        if not e:
+            continue
+        gain = sum(n / size[c] * math.log(n / size[c] / prob(c[1:], w)) for w, n in e.items())
+        rest, rest_q = 1 - sum(e.values()) / size[c], max(1 - sum(prob(c[1:], w) for w in e), 1e-12)
+        gain += rest * math.log(rest / rest_q) if rest > 0 else 0
+        if size[c] * gain > 0.5 * (len(e) + 1) * math.log(size[c]):
+            keep |= {c[k:] for k in range(len(c))}
+    out = []
+    for i, ws in texts:
+        score = 0.0
+        for k, w in enumerate(ws):
+            context = next((tuple(ws[k - n:k]) for n in range(min(depth, k), 0, -1) if tuple(ws[k - n:k]) in keep), ())
+            score += math.log10(prob(context, w))
+        out.append((i, score))
+    return out, keep
+
+
+def test_suffix_tree_agrees_with_brute_force(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(150):
+        ws = [0, 1]
+        for _ in range(rng.integers(5, 60)):
+            ws.append((3 * ws[-1] + 5 * ws[-2] + 1) % 8 if rng.random() < 0.7 else int(rng.integers(8)))
+        rows.append((i, " ".join(f"w{w}" for w in ws)))
+    want, keep = brute_tree(rows, 3, 0.002, suffix_tree.LEAST)
+    assert any(len(c) == 2 for c in keep)
+    got = suffix_tree.score_documents(cases.documents(spark, rows), least_share=0.002).collect()
+    check_base(got, rows)
+    found = {r.id: r.score for r in got}
+    assert all(found[i] == pytest.approx(s, rel=1e-9) for i, s in want)
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 10
+
+
+def test_small_table_queries_agree(spark, library):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    from comparo.llm.queries import QUERIES
+    check_base(suffix_tree.score_documents(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect(), rows)
+    got = {r.doc_id: r for r in QUERIES["op6_bpe_prefix"](spark, SF_SMALL).collect()}
+    for i, t in rows:
+        ids = np.array(library.encode_ordinary(t), dtype="<u4").tobytes()
+        assert got[i].ids_sha256 == hashlib.sha256(ids).hexdigest()
+        assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
+    check_limits(QUERIES["op10_length_hist"](spark, SF_SMALL).collect(),
+                 [len(library.encode_ordinary(t)) for _, t in rows])
+    check_packing(QUERIES["op7_best_fit"](spark, SF_SMALL).collect(), 4096)
