@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from comparo import session
 from comparo.sources.tables import read_table
 
-__all__ = ["Recent", "components", "documents", "first_by_hash", "labelled", "map_rows", "materialize", "remainder"]
+__all__ = ["Recent", "append_columns", "components", "documents", "first_by_hash", "labelled", "map_rows", "materialize", "remainder", "slices"]
 
 
 class Recent(dict):
@@ -67,7 +67,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, training, id_col: s
              .agg(F.max(F.col(label).cast("int")).alias("y")))
     rows = docs.where(training).select(F.col(id_col).cast("long").alias("id"),
                                        F.col(text_col).cast("string").alias("text"))
-    return rows.join(marks, "id").select("id", "y", "text")
+    # labels grow with the documents, so neither side is broadcast at any size
+    return rows.join(marks.hint("merge"), "id").select("id", "y", "text")
 
 
 def first_by_hash(rows: DataFrame, sample: int) -> DataFrame:
@@ -78,6 +79,13 @@ def first_by_hash(rows: DataFrame, sample: int) -> DataFrame:
     return rows if last[0] < sample else rows.where(order <= last[1])
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Parts of ``rows`` rows, so that a worker holds Python objects of few rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, Iterable]]],
              ) -> DataFrame:
     """Arrow map over the partitions: ``make()`` runs once per task and returns a function from the columns of
@@ -87,7 +95,7 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
+        for batch in slices(batches):
             out = fn({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays([pa.array(out[n], type=target.field(n).type) for n in names],
                                              schema=target)
@@ -95,6 +103,24 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str,
     return df.mapInArrow(run, schema)
 
 
+def append_columns(df: DataFrame, inputs: dict[str, str], schema: str,
+                   make: Callable[[], Callable[[dict[str, list]], dict[str, Iterable]]]) -> DataFrame:
+    """``df`` with the columns of ``schema`` added, one value per row, as ``make()`` works them out from the columns
+    named in ``inputs`` (its name for each -> column of ``df``). All columns of ``df`` pass through as they are."""
+    added = StructType.fromDDL(schema)
+    target = to_arrow_schema(added)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for batch in slices(batches):
+            out = fn({k: batch.column(batch.schema.get_field_index(c)).to_pylist() for k, c in inputs.items()})
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array(out[n], type=target.field(n).type) for n in target.names)],
+                names=[*batch.schema.names, *target.names])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, *added.fields]))
+
+
 def _edges(df: DataFrame) -> tuple[DataFrame, tuple]:
     """Distinct edges (u > v), written out, with their number and an order-free checksum."""
     e = (df.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
