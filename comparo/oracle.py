@@ -8,8 +8,31 @@ operator are spelled out as CTEs; nothing here calls into Spark.
 from __future__ import annotations
 
 from comparo import config
-from comparo.functions.text import _WS
-from comparo.sources.fixtures import ORDER_KEYS, PART_KEYS, TLD_CYCLE
+
+# Fixed values, written out here so that the SQL does not read them from the code that it checks.
+TLD_CYCLE = [".com", ".com", ".net", ".org", ".io", ".ai", ".co.uk", ".zz"]
+WHITE_SPACE = (r"[\t\n\x0B\f\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}"
+               r"\x{3000}]")
+CATEGORIES = ["Acronym", "Brandable", "Combination", "Descriptive", "Exact match", "Geo-specific", "Generic",
+              "Service-based", "Niche", "Keyword", "Product-based"]
+FAMILIES = {
+    "legacy_gold": ".com",
+    "legacy_standard": ".net .org .info",
+    "tech_modern": ".ai .io .co .app .dev .tech .cloud .software",
+    "corporate_id": ".inc .llc .ltd .biz .company .corp .holdings",
+    "ecommerce": ".shop .store .market .buy .deals .solutions .services",
+    "niche_premium": ".bet .gg .game .tv .casino .poker",
+    "creative": ".design .art .media .studio .agency .photography .news",
+    "finance_web3": ".finance .money .pay .crypto .cash .bank",
+    "geo_tier1": ".de .uk .ca .au .fr .nl .jp .us .eu",
+    "geo_tier2": ".in .cn .br .me .sg .hk .kr .it .es .ch",
+    "generic_modern": ".xyz .online .site .website .space .fun .life .world .live .digital",
+}
+FAMILY_ROWS = [(tld, family) for family, tlds in FAMILIES.items() for tld in tlds.split()]
+SUFFIXES = sorted({tld[1:] for tld, _ in FAMILY_ROWS} | {"co.uk", "com.au", "co.jp", "com.br", "co.in"})
+COMPATIBLE = [("Brandable", "Generic"), ("Descriptive", "Keyword"), ("Service-based", "Product-based"),
+              ("Niche", "Generic")]
+RECENCY = [(90, 1.0), (180, 0.9), (365, 0.8), (730, 0.6)]
 
 AS_OF = "TIMESTAMP '2001-08-01 00:00:00'"
 
@@ -24,7 +47,7 @@ def _values(rows, cols) -> str:
 
 
 def strip_sql(x: str) -> str:
-    return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
+    return f"regexp_replace({x}, '^{WHITE_SPACE}+|{WHITE_SPACE}+$', '', 'g')"
 
 
 def host_sql(x: str) -> str:
@@ -47,7 +70,7 @@ def _last_labels(host: str, k: int) -> str:
 
 def suffix_split_cte(name: str, src: str, key_cols: str, host_expr: str) -> str:
     """CTE ``name`` with key_cols, host, sfx, sld: the longest known suffix and the label before it."""
-    k_max = max(s.count(".") + 1 for s in config.suffix_rows())
+    k_max = max(s.count(".") + 1 for s in SUFFIXES)
     joins, case = [], "''"
     for k in range(1, k_max + 1):
         joins.append(f"LEFT JOIN suffixes s{k} ON s{k}.suffix = lower({_last_labels('h.host', k)})")
@@ -60,38 +83,42 @@ def suffix_split_cte(name: str, src: str, key_cols: str, host_expr: str) -> str:
 
 
 def base_ctes() -> str:
-    fam = _values(config.family_rows(), ["tld", "family"])
+    fam = _values(FAMILY_ROWS, ["tld", "family"])
     cyc = _values(list(enumerate(TLD_CYCLE)), ["i", "tld"])
-    cats = _values(list(enumerate(config.CATEGORIES)), ["i", "category"])
-    sfx = _values([(s.lower(),) for s in sorted(set(config.suffix_rows()))], ["suffix"])
+    cats = _values(list(enumerate(CATEGORIES)), ["i", "category"])
+    sfx = _values([(s,) for s in SUFFIXES], ["suffix"])
     return f"""tld_families AS ({fam}),
 suffixes AS ({sfx}),
 tld_cycle AS ({cyc}),
 categories AS ({cats}),
+counted AS (SELECT (SELECT count(*) FROM part) AS n_parts, (SELECT count(*) FROM documents) AS n_docs,
+    (SELECT count(*) FROM embeddings) AS n_vecs),
+copies AS (SELECT unnest(range(greatest(1, CAST(ceil(greatest(n_docs, n_vecs) / (2.0 * greatest(n_parts, 1)))
+    AS BIGINT)))) AS copy FROM counted),
+sold AS (SELECT l_partkey, min(CAST(o_orderdate AS DATE)) AS first_day, max(CAST(o_orderdate AS DATE)) AS last_day
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_partkey),
 domains AS (
-  SELECT d.dk, concat(d.sld, t.tld) AS domain, d.sld, t.tld, CAST(length(d.sld) AS INTEGER) AS length,
-    p.p_retailprice AS price, CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS sale_date,
-    c1.category AS primary_category, c2.category AS secondary_category, p.p_brand AS platform
-  FROM (SELECT k.dk, concat(split_part(q.p_name, ' ', 1),
-          chr(CAST(97 + k.dk % 26 AS INTEGER)),
-          chr(CAST(97 + CAST(floor(k.dk / 26) AS BIGINT) % 26 AS INTEGER)),
-          chr(CAST(97 + CAST(floor(k.dk / 676) AS BIGINT) % 26 AS INTEGER)),
-          CASE WHEN k.dk % 5 = 0 THEN CAST(10000 + k.dk AS VARCHAR) ELSE '' END) AS sld
-        FROM (SELECT DISTINCT CAST(floor(vec_id / 2) AS BIGINT) AS dk FROM embeddings) k
-        JOIN part q ON q.p_partkey = k.dk % {PART_KEYS}) d
+  SELECT d.dk, concat(d.sld, t.tld) AS domain, d.sld, t.tld, CAST(length(d.sld) AS INTEGER) AS length, d.price,
+    d.sale_date, c1.category AS primary_category, c2.category AS secondary_category, d.platform
+  FROM (SELECT k.dk, k.p_retailprice AS price, k.p_brand AS platform,
+          concat(split_part(k.p_name, ' ', 1), CASE WHEN k.dk % 5 = 0 THEN CAST(10000 + k.dk AS VARCHAR)
+            ELSE concat('z', translate(CAST(k.dk AS VARCHAR), '0123456789', 'abcdefghij')) END) AS sld,
+          CAST(CASE k.dk % 3 WHEN 0 THEN s.last_day WHEN 1 THEN s.first_day
+            ELSE s.first_day + CAST((s.last_day - s.first_day) // 2 AS INTEGER) END AS VARCHAR) AS sale_date
+        FROM (SELECT p.*, p.p_partkey + c.copy * n.n_parts AS dk FROM part p, copies c, counted n) k
+        LEFT JOIN sold s ON s.l_partkey = k.p_partkey) d
   JOIN tld_cycle t ON t.i = d.dk % 8
   JOIN categories c1 ON c1.i = d.dk % 11
-  JOIN categories c2 ON c2.i = (d.dk % 11 + 1 + d.dk % 3) % 11
-  JOIN part p ON p.p_partkey = d.dk % {PART_KEYS}
-  JOIN orders o ON o.o_orderkey = (d.dk * 11 + 1) % {ORDER_KEYS}),
+  JOIN categories c2 ON c2.i = (d.dk % 11 + 1 + d.dk % 3) % 11),
 corpus AS (
-  SELECT concat(d.domain, '__desc', CAST(e.vec_id % 2 + 1 AS VARCHAR)) AS id, d.*,
-    CAST(e.vec_id % 2 + 1 AS INTEGER) AS desc_index, regexp_matches(d.sld, '[0-9]') AS has_numbers,
+  SELECT concat(d.domain, '__desc', CAST(i.desc_index AS VARCHAR)) AS id, d.*, i.desc_index,
+    regexp_matches(d.sld, '[0-9]') AS has_numbers,
     concat('Domain: ', d.domain, '. Category: ', d.primary_category, ', ', d.secondary_category,
            '. Description: ', coalesce(x.text, '')) AS document,
     e.embedding
-  FROM embeddings e JOIN domains d ON d.dk = CAST(floor(e.vec_id / 2) AS BIGINT)
-  LEFT JOIN documents x ON x.doc_id = e.vec_id),
+  FROM domains d CROSS JOIN (SELECT 1 AS desc_index UNION ALL SELECT 2) i CROSS JOIN counted n
+  LEFT JOIN embeddings e ON e.vec_id = (d.dk * 2 + i.desc_index - 1) % n.n_vecs
+  LEFT JOIN documents x ON x.doc_id = (d.dk * 2 + i.desc_index - 1) % n.n_docs),
 queries_in AS (
   SELECT dk AS input_id, desc_index AS query_index, domain AS input_domain, sld, tld, length,
     primary_category, secondary_category, has_numbers, embedding FROM corpus),
@@ -104,7 +131,8 @@ sales_raw AS (
     CASE WHEN d.dk % 23 = 0 THEN '' ELSE x1.text END AS description_1,
     CASE WHEN d.dk % 3 = 0 THEN NULL WHEN d.dk % 5 = 0 THEN ' ' ELSE x2.text END AS description_2,
     d.primary_category, d.secondary_category, d.platform, d.sale_date AS date
-  FROM domains d LEFT JOIN documents x1 ON x1.doc_id = d.dk * 2 LEFT JOIN documents x2 ON x2.doc_id = d.dk * 2 + 1),
+  FROM domains d CROSS JOIN counted n LEFT JOIN documents x1 ON x1.doc_id = (d.dk * 2) % n.n_docs
+  LEFT JOIN documents x2 ON x2.doc_id = (d.dk * 2 + 1) % n.n_docs),
 pairs AS (
   SELECT a.id AS id_a, b.id AS id_b, a.tld AS in_tld, a.primary_category AS in_primary,
     a.secondary_category AS in_secondary, a.embedding AS emb_a, b.tld AS cand_tld,
@@ -136,7 +164,7 @@ corpus_gaps AS (
 
 def category_match_sql(cp, cs, ip, isec) -> str:
     compat = " OR ".join(f"({cp} = '{a}' AND {ip} = '{b}') OR ({cp} = '{b}' AND {ip} = '{a}')"
-                         for a, b in config.COMPATIBLE_CATEGORY_PAIRS)
+                         for a, b in COMPATIBLE)
     return (f"CAST(CASE WHEN {cp} IS NOT DISTINCT FROM {ip} THEN 1.0 "
             f"WHEN {cs} IS NOT DISTINCT FROM {ip} OR {cp} IS NOT DISTINCT FROM {isec} THEN 0.7 "
             f"WHEN coalesce({compat}, false) THEN 0.5 ELSE 0.0 END AS DOUBLE)")
@@ -147,7 +175,7 @@ def recency_sql(date: str, mode: str = "bands") -> str:
         return "CAST(0.5 AS DOUBLE)"
     ts = f"CASE WHEN regexp_matches({date}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN try_cast({date} AS TIMESTAMP) END"
     days = f"floor((epoch_us({AS_OF}) - epoch_us({ts})) / 86400000000)"
-    bands = " ".join(f"WHEN {days} < {lim} THEN {w}" for lim, w in config.RECENCY_BANDS)
+    bands = " ".join(f"WHEN {days} < {lim} THEN {w}" for lim, w in RECENCY)
     return f"CAST(CASE WHEN ({ts}) IS NULL THEN 0.5 {bands} ELSE 0.3 END AS DOUBLE)"
 
 

@@ -1,16 +1,21 @@
 """Comparable-sales shaped data derived from the driver tables.
 
-The driver tables carry no domain sales, so a corpus of sold domains is
-derived from them: two stored vectors make one sold domain (as two
-descriptions do), its name comes from a part name, its price and platform
-from the part, its sale date from an order, and its description text from a
-document. Every derived row comes from the given tables, so the work grows
-with them. The same derivation is written in SQL in ``comparo.oracle`` for
-the DuckDB check.
+The driver tables carry no domain sales, so a corpus of sold domains is derived from them, from whole tables:
+
+* Every ``part`` row is sold as one domain, or as several when there are more documents or vectors than two for
+  each part, so that every row of every table read has its place at any size. Price and platform are the part's.
+* The whole key is part of the name, so names and ids are unique at any size.
+* The sale date is the first, middle or last order date of the part's line items.
+* Each domain has two descriptions, numbered through: description ``r`` has the text of document ``r`` and vector ``r``,
+  both counted round when there are fewer.
+
+The same derivation is written in SQL in ``comparo.oracle`` for the DuckDB check.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +23,8 @@ from comparo import config
 from comparo.functions.domains import has_numbers
 from comparo.sources.tables import read_table
 
-# Fixed values of the derivation (shared with the SQL form).
+# Fixed values of the derivation (also in the SQL form).
 TLD_CYCLE = [".com", ".com", ".net", ".org", ".io", ".ai", ".co.uk", ".zz"]
-PART_KEYS = 200      # part rows used for names, prices and platforms (keys 0..199)
-ORDER_KEYS = 1000    # order rows used for sale dates (keys 0..999)
 
 
 def _pick(values: list[str], idx) -> F.Column:
@@ -30,24 +33,24 @@ def _pick(values: list[str], idx) -> F.Column:
 
 def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sold domain: dk, domain, sld, tld, length, price, sale_date, categories, platform."""
-    emb = read_table(spark, sf_dir, "embeddings")
-    # Lookups keyed by dk % 200 and (dk*11+1) % 1000: the key ranges bound these sides to 200 and 1000 rows
-    # (primary keys), so broadcasting them is safe at any scale.
-    part = (read_table(spark, sf_dir, "part").where(F.col("p_partkey") < PART_KEYS)
-            .select("p_partkey", "p_name", "p_brand", "p_retailprice"))
-    orders = (read_table(spark, sf_dir, "orders").where(F.col("o_orderkey") < ORDER_KEYS)
-              .select("o_orderkey", "o_orderdate"))
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
+    n_parts = part.count()
+    rows = max(read_table(spark, sf_dir, t).count() for t in ("documents", "embeddings"))
+    copies = max(1, math.ceil(rows / (2 * max(n_parts, 1))))
+    day = F.col("o_orderdate").cast("date")
+    sold = (read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+            .join(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"),
+                  F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy("l_partkey").agg(F.min(day).alias("first_day"), F.max(day).alias("last_day")))
+    middle = F.date_add("first_day", F.floor(F.datediff("last_day", "first_day") / 2).cast("int"))
     dk = F.col("dk")
-    keys = emb.select(F.floor(F.col("vec_id") / 2).cast("bigint").alias("dk")).distinct()
-    base = keys.withColumn("pk", dk % PART_KEYS).withColumn("ok", (dk * 11 + 1) % ORDER_KEYS)
-    d = (base.join(F.broadcast(part), F.col("pk") == F.col("p_partkey"))
-         .join(F.broadcast(orders), F.col("ok") == F.col("o_orderkey")))
-    letter = lambda e: F.chr((F.lit(97) + e % 26).cast("bigint"))
-    sld = F.concat(
-        F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)),
-        letter(dk), letter(F.floor(dk / 26)), letter(F.floor(dk / 676)),
-        F.when(dk % 5 == 0, (F.lit(10000) + dk).cast("string")).otherwise(F.lit("")),
-    )
+    d = (part.join(sold, F.col("p_partkey") == F.col("l_partkey"), "left")
+         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+         .withColumn("dk", F.col("p_partkey") + F.col("copy") * F.lit(n_parts).cast("bigint")))
+    # the key in letters (no z among them) after a z, or in digits: the name gives the key back
+    letters = F.concat(F.lit("z"), F.translate(dk.cast("string"), "0123456789", "abcdefghij"))
+    sld = F.concat(F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)),
+                   F.when(dk % 5 == 0, (F.lit(10000) + dk).cast("string")).otherwise(letters))
     cats = config.CATEGORIES
     return d.select(
         dk,
@@ -56,36 +59,43 @@ def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(TLD_CYCLE, dk % 8).alias("tld"),
         F.length(sld).cast("int").alias("length"),
         F.col("p_retailprice").alias("price"),
-        F.col("o_orderdate").cast("date").cast("string").alias("sale_date"),
+        F.when(dk % 3 == 0, F.col("last_day")).when(dk % 3 == 1, F.col("first_day")).otherwise(middle)
+        .cast("string").alias("sale_date"),
         _pick(cats, dk % 11).alias("primary_category"),
         _pick(cats, (dk % 11 + 1 + dk % 3) % 11).alias("secondary_category"),
         F.col("p_brand").alias("platform"),
     )
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (domain, description): id, metadata columns, document text, embedding.
+def _counted(table: DataFrame, key: str, value: str, alias: str, row) -> tuple[DataFrame, F.Column]:
+    """(lookup, its key of description ``row``): the rows of a table, counted round."""
+    lookup = table.select(F.col(key).alias(f"{alias}_key"), F.col(value).alias(alias))
+    return lookup, row % F.lit(max(table.count(), 1)).cast("bigint")
 
-    The description text of vector ``v`` is the whole text of document ``v``
-    (empty when there is none).
-    """
-    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
-    # keep only documents that have a vector before the join moves whole texts around (a semi join: the
-    # planner broadcasts the id list only when its size estimate is small)
-    docs = docs.join(emb.select("vec_id"), "vec_id", "left_semi")
-    d = domains(spark, sf_dir)
-    e = emb.withColumn("dk", F.floor(F.col("vec_id") / 2).cast("bigint"))
-    joined = e.join(d, "dk").join(docs, "vec_id", "left")
-    desc_index = (F.col("vec_id") % 2 + 1).cast("int")
+
+def _described(d: DataFrame, spark: SparkSession, sf_dir: str, vectors: bool) -> DataFrame:
+    """The two descriptions of each domain: desc_index, text and, with ``vectors``, embedding."""
+    rows = d.withColumn("desc_index", F.explode(F.array(F.lit(1), F.lit(2))))
+    row = F.col("dk") * 2 + F.col("desc_index") - 1
+    texts, text_key = _counted(read_table(spark, sf_dir, "documents"), "doc_id", "text", "text", row)
+    rows = rows.withColumn("text_key", text_key).join(texts, "text_key", "left").drop("text_key")
+    if vectors:
+        vecs, vec_key = _counted(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "embedding", row)
+        rows = rows.withColumn("embedding_key", vec_key).join(vecs, "embedding_key", "left").drop("embedding_key")
+    return rows
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (domain, description): id, metadata columns, document text, embedding."""
+    joined = _described(domains(spark, sf_dir), spark, sf_dir, vectors=True)
     document = F.concat(
         F.lit("Domain: "), F.col("domain"), F.lit(". Category: "), F.col("primary_category"), F.lit(", "),
         F.col("secondary_category"), F.lit(". Description: "), F.coalesce(F.col("text"), F.lit("")))
     return joined.select(
-        F.concat(F.col("domain"), F.lit("__desc"), desc_index.cast("string")).alias("id"),
+        F.concat(F.col("domain"), F.lit("__desc"), F.col("desc_index").cast("string")).alias("id"),
         "dk", "domain", "sld", "tld", "length", "price", "sale_date", "primary_category", "secondary_category",
-        "platform", desc_index.alias("desc_index"), has_numbers(F.col("sld")).alias("has_numbers"),
-        document.alias("document"), "embedding",
+        "platform", "desc_index", has_numbers(F.col("sld")).alias("has_numbers"), document.alias("document"),
+        "embedding",
     )
 
 
@@ -103,18 +113,13 @@ def queries_in(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = N
 
 
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw sales-file shape, with nulls, blanks, padding and bad prices.
-
-    description_1 is the whole text of document 2*dk and description_2 that of
-    document 2*dk+1 (NULL when the document does not exist).
-    """
-    d = domains(spark, sf_dir)
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    x1 = docs.select(F.col("doc_id").alias("d1"), F.col("text").alias("t1"))
-    x2 = docs.select(F.col("doc_id").alias("d2"), F.col("text").alias("t2"))
+    """The raw sales-file shape, with nulls, blanks, padding and bad prices."""
+    docs = read_table(spark, sf_dir, "documents")
     dk = F.col("dk")
-    j = (d.withColumn("d1", dk * 2).withColumn("d2", dk * 2 + 1)
-         .join(x1, "d1", "left").join(x2, "d2", "left"))
+    t1, k1 = _counted(docs, "doc_id", "text", "t1", dk * 2)
+    t2, k2 = _counted(docs, "doc_id", "text", "t2", dk * 2 + 1)
+    j = (domains(spark, sf_dir).withColumn("t1_key", k1).withColumn("t2_key", k2)
+         .join(t1, "t1_key", "left").join(t2, "t2_key", "left"))
     domain = (F.when(dk % 17 == 0, F.lit(None).cast("string")).when(dk % 19 == 0, F.lit("   "))
               .when(dk % 7 == 0, F.concat(F.lit(" "), F.col("domain"), F.lit(" "))).otherwise(F.col("domain")))
     price = (F.when(dk % 11 == 0, F.lit(None).cast("string")).when(dk % 13 == 0, F.lit("n/a"))
