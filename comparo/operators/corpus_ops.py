@@ -62,12 +62,13 @@ def with_metadata(df: DataFrame) -> DataFrame:
 def dedup_ids(rows: DataFrame, order_col: str = "line_no") -> DataFrame:
     """The first row (by ``order_col``, then description index) of every id wins.
 
-    An aggregation with ``min_by`` rather than a window: it combines partially before the shuffle, so an id
-    repeated across many files never gathers all its copies in one task.
-    """
-    cols = [c for c in rows.columns if c != "id"]
-    first = F.min_by(F.struct(*cols), F.struct(F.col(order_col), F.col("desc_index")))
-    return rows.groupBy("id").agg(first.alias("__r")).select("id", "__r.*").select(*rows.columns)
+    The winner is found on the keys alone, with partial minima before the shuffle, so an id repeated across many files
+    never gathers its copies in one task; the rows with their texts then meet the winning keys in one semi join.
+    ``order_col`` orders rows uniquely (a line number, or ``file_order`` of the sales reader)."""
+    order = F.struct(F.col(order_col), F.col("desc_index"))
+    winners = rows.groupBy("id").agg(F.min(order).alias("__first")).select(
+        F.col("id").alias("__id"), F.col(f"__first.{order_col}").alias("__order"))
+    return rows.join(winners, (rows["id"] == F.col("__id")) & rows[order_col].eqNullSafe(F.col("__order")), "left_semi")
 
 
 def incremental_new(rows: DataFrame, existing: DataFrame) -> DataFrame:

@@ -98,18 +98,27 @@ def restore(spark: SparkSession, backup_path: str, target_folder: str) -> str:
     return path
 
 
-def write_corpus(corpus: DataFrame, folder: str, partition_by_family: bool = True) -> str:
-    """Write the curated corpus to a new path under ``folder``; returns the path.
-
-    With ``partition_by_family`` the table is laid out by ``tld_key`` (TLD family, or the TLD itself when it
-    has no family). The neighbour search joins on that stored column, so when the query side is small,
-    dynamic partition pruning reads only the families the queries touch.
-    """
-    from comparo.operators.suffix import tld_key
-
-    path = f"{folder.rstrip('/')}/corpus_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%d_%H%M%S_%f')}"
-    writer = corpus.withColumn("tld_key", tld_key(F.col("tld"))).write.mode("errorifexists")
-    if partition_by_family:
-        writer = writer.partitionBy("tld_key")
-    writer.parquet(path)
+LAYOUT = "corpus_family"  # folder column of the stored corpus: the TLD family, "other" for unknown TLDs
+SPREAD = 16               # a family's rows are written by up to this many tasks
+
+
+def laid_out(corpus: DataFrame) -> DataFrame:
+    """``corpus`` with its folder column, dealt so that each folder gets a few files, however many tasks wrote before:
+    a hot family is spread by a hash of the id."""
+    from comparo.operators.suffix import tld_family
+
+    rows = corpus.withColumn(LAYOUT, tld_family(F.col("tld")))
+    return rows.repartition(LAYOUT, F.pmod(F.xxhash64("id"), F.lit(SPREAD)))
+
+
+def append_corpus(corpus: DataFrame, path: str) -> str:
+    """Add rows to the corpus table at ``path`` (made if there is none), one folder per TLD family. The build and the
+    stream both write by this layout; the neighbour search reads only the families that its inputs ask for."""
+    laid_out(corpus).write.mode("append").partitionBy(LAYOUT).parquet(path)
     return path
+
+
+def write_corpus(corpus: DataFrame, folder: str) -> str:
+    """Write the curated corpus to a new path under ``folder``; returns the path."""
+    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
+    return append_corpus(corpus, f"{folder.rstrip('/')}/corpus_{stamp}")
