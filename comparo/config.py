@@ -7,7 +7,7 @@ below, under "Fixed values". Everything else in the package reads from a
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # Fixed values (must stay as written for matching results)
@@ -60,9 +60,6 @@ RECENCY_UNPARSABLE = 0.5
 # Multi-label public suffixes shipped beside the family TLDs (users may pass a full list).
 EXTRA_SUFFIXES = ["co.uk", "com.au", "co.jp", "com.br", "co.in"]
 
-# Text of the document built per description.
-DOCUMENT_TEMPLATE = "Domain: {domain}. Category: {primary}, {secondary}. Description: {text}"
-
 # Fallback enrichment used when a provider response is invalid.
 FALLBACK_PRIMARY = "Brandable"
 FALLBACK_SECONDARY = "Service-based"
@@ -98,14 +95,12 @@ class Settings:
     # reference returns in practice, because its date lookup always fails).
     recency: str = "bands"
     high_confidence_min: int = 5
-    # kNN tiling: max corpus rows of one distance tile, and max query rows (None = same). A task holds
-    # query_rows x corpus_rows distances; corpus rows are copied once per query tile of their block, so for
-    # very large input batches a larger query tile means less corpus replication.
+    # kNN tiling: mean corpus rows and query rows of one group. Corpus rows are copied once per query tile of their
+    # block and queries once per corpus tile; a task works on a slice of the queries at a time.
     knn_tile_rows: int = 2048
-    knn_query_tile_rows: int | None = None
+    knn_query_tile_rows: int = 16384
     # extra candidates re-ranked with exact distances after the matmul pre-rank.
     knn_rerank_margin: int = 16
-    extra: dict = field(default_factory=dict)
 
 
 DEFAULT = Settings()
