@@ -15,11 +15,6 @@ def strip_ws(c: Column | str) -> Column:
     return F.regexp_replace(c, rf"^{_WS}+|{_WS}+$", "")
 
 
-def is_blank(c: Column | str) -> Column:
-    """True when null or only whitespace."""
-    return F.coalesce(strip_ws(c) == F.lit(""), F.lit(True))
-
-
 def extract_description(document: Column | str) -> Column:
     """Description text of a corpus document.
 
@@ -44,8 +39,3 @@ def extract_description(document: Column | str) -> Column:
     has_fb = (F.size(seg) > 1) & (p3 > 0)
     out = F.when(primary.isNotNull() & (primary != ""), primary).when(has_fb, fallback)
     return F.coalesce(out, F.lit(""))
-
-
-def truncate(c: Column | str, n: int) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.substring(c, 1, n)
