@@ -3,8 +3,8 @@
 A host is matched against its last 1..K labels (K = most labels of any
 suffix) and the longest match wins. The built-in list (family TLDs plus a
 few multi-label suffixes) is a literal inside the expression. A user list
-such as the full public suffix list (~10k rows, bounded) is broadcast, with
-one hash join per K. Nothing is shuffled, and rows are never grouped.
+such as the full public suffix list is one rule table, joined once per label count without a hint: the planner
+broadcasts it if its size allows (the full list is some 10k short rows), and splits a hot suffix otherwise.
 """
 
 from __future__ import annotations
@@ -33,20 +33,10 @@ def suffix_table(spark: SparkSession, suffixes: list[str] | None = None) -> Data
     return spark.createDataFrame(sorted(rows), "suffix string, kind string")
 
 
-def family_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(config.family_rows(), "tld string, family string")
-
-
-# A user suffix table is broadcast only up to this many rules (the full public suffix list has ~10k).
-BROADCAST_MAX_RULES = 1_000_000
-
-
-def _rule_stats(suffixes: DataFrame) -> tuple[int, int]:
-    """(most labels a rule covers, number of rules), one small aggregation over the rule table.
-    A wildcard rule covers one label more than it names."""
-    extra = F.when(F.col("kind") == "wildcard", 1).otherwise(0) if "kind" in suffixes.columns else F.lit(0)
-    row = suffixes.agg(F.max(F.size(F.split("suffix", r"\.")) + extra), F.count(F.lit(1))).first()
-    return int(row[0] or 1), int(row[1] or 0)
+def _most_labels(suffixes: DataFrame) -> int:
+    """Most labels that a rule covers; a wildcard rule covers one more than it names."""
+    extra = F.when(F.col("kind") == "wildcard", 1).otherwise(0)
+    return int(suffixes.agg(F.max(F.size(F.split("suffix", r"\.")) + extra)).first()[0] or 1)
 
 
 def _sql_str(x: str) -> str:
@@ -65,7 +55,7 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
     last label. Lookup is case-insensitive, output keeps the input case.
     The built-in suffix list (~80 entries) is a literal in the expression;
     a user list (e.g. the full public suffix list, with ``*.`` wildcard and
-    ``!`` exception rules) is broadcast-joined once per label count and rule kind.
+    ``!`` exception rules) is joined once per label count.
     """
     host = F.col(host_col)
     out = df
@@ -76,27 +66,22 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
         for k in range(1, k_max + 1):
             hits[k] = _known_suffix(F.lower(D.last_labels(host, k)), known)
     else:
-        k_max, n_rules = _rule_stats(suffixes)
-        small = n_rules <= BROADCAST_MAX_RULES  # checked size: broadcast, else a shuffled join
         table = suffixes if "kind" in suffixes.columns else suffixes.withColumn("kind", F.lit("normal"))
-        exceptions: dict[int, F.Column] = {}
-        for kind in ("normal", "wildcard", "exception"):
-            rules = table.where(F.col("kind") == kind).select("suffix")
-            for k in range(1, k_max + 1):
-                n_labels = k - 1 if kind == "wildcard" else k  # "*.ck" names 1 label, covers 2
-                if n_labels < 1:
-                    continue
-                cand, hit = f"__{kind}{k}", f"__{kind}_hit{k}"
-                lookup = rules.select(F.col("suffix").alias(cand), F.lit(True).alias(hit)).distinct()
-                lookup = F.broadcast(lookup) if small else lookup
-                out = out.withColumn(cand, F.lower(D.last_labels(host, n_labels))).join(lookup, cand, "left")
-                found = F.coalesce(F.col(hit), F.lit(False))
-                if kind == "wildcard":  # the covered label must exist
-                    found = found & (D.last_labels(host, k) != "")
-                if kind == "exception":
-                    exceptions[k] = found
-                else:
-                    hits[k] = (hits[k] | found) if k in hits else found
+        k_max = _most_labels(table)
+        kinds = [F.max(F.col("kind") == kind).alias(kind) for kind in ("normal", "wildcard", "exception")]
+        rules = table.groupBy("suffix").agg(*kinds)
+        found: dict[int, dict[str, F.Column]] = {}
+        for k in range(1, k_max + 1):  # rules of k labels; no hint: the planner knows or measures the table's size
+            lookup = rules.select(F.col("suffix").alias(f"__rule{k}"),
+                                  *[F.col(kind).alias(f"__{kind}{k}") for kind in ("normal", "wildcard", "exception")])
+            out = out.withColumn(f"__rule{k}", F.lower(D.last_labels(host, k))).join(lookup, f"__rule{k}", "left")
+            found[k] = {kind: F.coalesce(F.col(f"__{kind}{k}"), F.lit(False))
+                        for kind in ("normal", "wildcard", "exception")}
+        for k in range(1, k_max + 1):
+            hits[k] = found[k]["normal"]
+            if k > 1:  # "*.ck" names one label and covers two; the covered label must exist
+                hits[k] = hits[k] | (found[k - 1]["wildcard"] & (D.last_labels(host, k) != ""))
+        exceptions = {k: found[k]["exception"] for k in found}
         # an exception rule wins: the suffix is the rule without its leftmost label
         exc_suffix = F.lit(None).cast("string")
         for k in sorted(exceptions):
@@ -113,7 +98,7 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
     out = out.withColumn(f"{prefix}sld", D.last_labels(rest, 1))
     if suffixes is not None:
         out = out.drop(*[c for c in out.columns
-                         if c.startswith(("__normal", "__wildcard", "__exception"))])
+                         if c.startswith(("__rule", "__normal", "__wildcard", "__exception"))])
     return out
 
 

@@ -9,6 +9,7 @@ the case in local tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,22 +43,36 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only if unset."""
+    """Return the shared checkpoint folder. A scratch folder is made only if none is set, and only for a local master: on a
+    cluster a folder of one machine would not be seen by the others."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share (master {master})")
         conf = tempfile.mkdtemp(prefix="comparo-ckpt-", dir=os.environ.get("COMPARO_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf)
     spark.sparkContext.setCheckpointDir(conf)
     return spark.sparkContext.getCheckpointDir() or conf
 
 
+def _tables(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table, under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_tables(spark)}/kept/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the intermediate tables that :func:`materialize` has written in this application. Call it when no result
+    that reads them is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_tables(spark)}/stages")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -67,6 +82,6 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     checkpointed blocks) and lets later stages re-read it by name.
     """
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = f"{_tables(spark)}/stages/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
