@@ -134,7 +134,8 @@ sales_raw AS (
   FROM domains d CROSS JOIN counted n LEFT JOIN documents x1 ON x1.doc_id = (d.dk * 2) % n.n_docs
   LEFT JOIN documents x2 ON x2.doc_id = (d.dk * 2 + 1) % n.n_docs),
 pairs AS (
-  SELECT a.id AS id_a, b.id AS id_b, a.tld AS in_tld, a.primary_category AS in_primary,
+  SELECT a.id AS id_a, b.id AS id_b, a.tld AS in_tld, a.length AS in_length, b.length AS cand_length,
+    a.primary_category AS in_primary,
     a.secondary_category AS in_secondary, a.embedding AS emb_a, b.tld AS cand_tld,
     b.primary_category AS cand_primary, b.secondary_category AS cand_secondary, b.sale_date, b.embedding AS emb_b
   FROM corpus a JOIN corpus b ON b.dk = a.dk + 1 AND b.desc_index = a.desc_index),
@@ -146,6 +147,8 @@ responses AS (
          WHEN dk % 9 = 0 THEN concat(hd, pr, '", "secondary_category": "', pr, '"', gd, '}}')
          WHEN dk % 7 = 0 THEN concat(hd, pr, '", "secondary_category": "', secondary_category, '"',
                                      ', "descriptions": []', '}}')
+         WHEN dk % 23 = 0 THEN concat(hd, pr, '", "secondary_category": "', secondary_category, '"',
+                                     ', "descriptions": ["  ", ""]', '}}')
          WHEN dk % 5 = 0 THEN concat(hd, pr, '", "secondary_category": "', secondary_category, '"',
                                      ', "descriptions": "not a list"', '}}')
          ELSE concat(hd, pr, '", "secondary_category": "', secondary_category, '"', gd, '}}') END AS response
@@ -155,6 +158,10 @@ responses AS (
                  ' name for ', sld, '.", "Used by ', platform, ' buyers."',
                  CASE WHEN dk % 3 = 0 THEN ', "A third idea."' ELSE '' END, ']') AS gd
         FROM domains)),
+inputs_in AS (
+  SELECT c.dk AS input_id, c.domain AS input_domain, c.sld, c.tld, c.length, c.primary_category, c.secondary_category,
+    list(regexp_extract(document, '(?s)\\. Description: (.*)$', 1) ORDER BY desc_index) AS descriptions
+  FROM corpus c GROUP BY ALL),
 corpus_gaps AS (
   SELECT * REPLACE (CASE WHEN dk % 4 = 0 THEN NULL ELSE length END AS length,
                     CASE WHEN dk % 4 = 0 THEN NULL ELSE tld END AS tld,

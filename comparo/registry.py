@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,13 +28,14 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _inputs(spark: SparkSession, sf_dir: str, reuse: bool = True):
+def _inputs(spark: SparkSession, sf_dir: str, reuse: bool = True, without: tuple[str, ...] = ()):
     """The derived corpus and the inputs.
 
     ``reuse=True`` (queries that read the corpus several times) writes it once as a parquet table, which is how
-    a stored corpus is read; single-pass queries read the derivation directly.
+    a stored corpus is read, without the columns that the query has no use for; single-pass queries read the derivation
+    directly.
     """
-    corpus = fx.corpus(spark, sf_dir)
+    corpus = fx.corpus(spark, sf_dir).drop(*without)
     if reuse:
         corpus = materialize(corpus, "corpus")
     return corpus, fx.queries_in(spark, sf_dir, corpus)
@@ -57,7 +59,7 @@ def q_comparables(spark, sf_dir):
 @register("knn_filtered", O.with_(O.base_ctes(), O.knn_ctes("knn1", "queries_in", True))
           + "SELECT input_id, query_index, rank, id, round(distance, 6) AS distance FROM knn1")
 def q_knn_filtered(spark, sf_dir):
-    corpus, q = _inputs(spark, sf_dir)
+    corpus, q = _inputs(spark, sf_dir, without=("document",))
     out = knn_filtered(q, corpus)
     return out.select("input_id", "query_index", "rank", "id", F.round("distance", 6).alias("distance"))
 
@@ -65,7 +67,7 @@ def q_knn_filtered(spark, sf_dir):
 @register("knn_unfiltered_tld", O.with_(O.base_ctes(), O.knn_ctes("knn2", "queries_in", False))
           + "SELECT input_id, query_index, rank, id, round(distance, 6) AS distance FROM knn2")
 def q_knn_unfiltered_tld(spark, sf_dir):
-    corpus, q = _inputs(spark, sf_dir)
+    corpus, q = _inputs(spark, sf_dir, without=("document",))
     out = knn_filtered(q, corpus, use_tld=False)
     return out.select("input_id", "query_index", "rank", "id", F.round("distance", 6).alias("distance"))
 
@@ -73,7 +75,7 @@ def q_knn_unfiltered_tld(spark, sf_dir):
 @register("tiered_fallback", O.with_(O.base_ctes(), O.retrieval_ctes())
           + "SELECT input_id, query_index, rank, id, round(distance, 6) AS distance, tier FROM cands")
 def q_tiered_fallback(spark, sf_dir):
-    corpus, q = _inputs(spark, sf_dir)
+    corpus, q = _inputs(spark, sf_dir, without=("document",))
     out = retrieve(q, corpus)
     return out.select("input_id", "query_index", "rank", "id", F.round("distance", 6).alias("distance"), "tier")
 
@@ -99,17 +101,41 @@ def q_comparables_constant_recency(spark, sf_dir):
     return comparables(q, corpus, AS_OF, config.Settings(recency="constant"))
 
 
-@register("assemble_results", O.with_(O.base_ctes(), O.retrieval_ctes(), O.scoring_ctes())
-          + """SELECT i.input_id, i.input_domain, CAST(coalesce(r.n, 0) AS BIGINT) AS total_comparables,
-  CASE WHEN coalesce(r.n, 0) >= 5 THEN 'high' ELSE 'low' END AS confidence, r.top_domain
-FROM (SELECT DISTINCT input_id, input_domain FROM queries_in) i
-LEFT JOIN (SELECT input_id, count(*) AS n, max(CASE WHEN final_rank = 1 THEN domain END) AS top_domain
-           FROM ranked GROUP BY input_id) r ON r.input_id = i.input_id""")
+_RESULTS_CTE = """results AS (SELECT i.input_id, i.input_domain, i.sld, i.tld, i.length, i.primary_category AS in_primary,
+    i.descriptions, CAST(coalesce(r.n, 0) AS BIGINT) AS total_comparables,
+    CASE WHEN coalesce(r.n, 0) >= 5 THEN 'high' ELSE 'low' END AS confidence, r.top_domain
+  FROM inputs_in i
+  LEFT JOIN (SELECT input_id, count(*) AS n, max(CASE WHEN final_rank = 1 THEN domain END) AS top_domain
+             FROM ranked GROUP BY input_id) r ON r.input_id = i.input_id)"""
+
+
+@register("assemble_results", O.with_(O.base_ctes(), O.retrieval_ctes(), O.scoring_ctes(), _RESULTS_CTE)
+          + """SELECT s.input_id, s.input_domain, s.sld, s.tld, s.length, s.in_primary, s.total_comparables, s.confidence,
+  array_to_string(s.descriptions, '|') AS descriptions, r.final_rank AS rank, r.domain, r.price, r.date, r.platform,
+  r.description, r.semantic_sim, r.cat_match, r.recency, r.score, r.desc_index, r.query_index
+FROM results s LEFT JOIN ranked r ON r.input_id = s.input_id""")
 def q_assemble_results(spark, sf_dir):
+    """A10, the nested list spelt out as rows (one row with an empty comparable for an input without any)."""
     corpus, q = _inputs(spark, sf_dir)
-    res = assemble_results(q, comparables(q, corpus, AS_OF))
-    return res.select("input_id", "input_domain", "total_comparables", "confidence",
-                      F.get(F.col("comparables"), 0)["domain"].alias("top_domain"))
+    res = assemble_results(fx.inputs_in(spark, sf_dir, corpus), comparables(q, corpus, AS_OF))
+    flat = res.select("input_id", "input_domain", "sld", "tld", "length", F.col("primary_category").alias("in_primary"),
+                      "total_comparables", "confidence", F.array_join("descriptions", "|").alias("descriptions"),
+                      F.explode_outer("comparables").alias("c"))
+    return flat.select(*[c for c in flat.columns if c != "c"], *[F.col(f"c.{f}").alias(f) for f in [
+        "rank", "domain", "price", "date", "platform", "description", "semantic_sim", "cat_match", "recency", "score",
+        "desc_index", "query_index"]])
+
+
+@register("final_topk", O.with_(O.base_ctes(), O.retrieval_ctes(), O.scoring_ctes())
+          + "SELECT input_id, final_rank AS rank, domain, score FROM ranked")
+def q_final_topk(spark, sf_dir):
+    """W3 + W4: order and top 10 of the scored candidates, before any detail is fetched."""
+    from comparo.operators.ranking import rank_best, score_columns
+    from comparo.plans.comparables import as_of_literal
+    corpus, q = _inputs(spark, sf_dir, without=("document",))
+    cands = retrieve(with_input_categories(q), corpus, carry_q=["in_primary", "in_secondary"],
+                     carry_c=SCORING_COLUMNS)
+    return rank_best(score_columns(cands, as_of_literal(AS_OF))).select("input_id", "rank", "domain", "score")
 
 
 # --------------------------------------------------------------------------- corpus build side
@@ -228,14 +254,12 @@ def q_incremental_new(spark, sf_dir):
     return C.incremental_new(rows, existing).select("id", "domain", "desc_index")
 
 
-@register("upsert_corpus", O.with_(O.base_ctes(), *_BUILD_CTES) + """SELECT id, price, sale_date FROM (
-  SELECT id, price, sale_date FROM corpus WHERE id NOT IN (SELECT id FROM built)
-  UNION ALL SELECT id, price, sale_date FROM built)""")
+@register("upsert_corpus", O.with_(O.base_ctes(), *_BUILD_CTES)
+          + f"SELECT {_BUILT_COLS} FROM corpus WHERE id NOT IN (SELECT id FROM built) UNION ALL SELECT {_BUILT_COLS} FROM built")
 def q_upsert_corpus(spark, sf_dir):
-    """The built rows replace stored rows with the same id."""
+    """The built rows replace stored rows with the same id, all columns."""
     corpus, _ = _inputs(spark, sf_dir, reuse=False)
-    new = prepare_rows(fx.sales_raw(spark, sf_dir))
-    return C.upsert(corpus.select("id", "price", "sale_date"), new.select("id", "price", "sale_date"))
+    return C.upsert(corpus.select(*C.CORPUS_COLUMNS), prepare_rows(fx.sales_raw(spark, sf_dir)))
 
 
 @register("backfill_metadata", O.with_(O.base_ctes(), O.suffix_split_cte("gsx", "corpus_gaps", "id",
@@ -280,16 +304,16 @@ def q_corpus_count(spark, sf_dir):
 
 
 _FLAT_SQL = ("SELECT id, document, domain, tld, length, price, platform, sale_date AS date, primary_category, "
-             "secondary_category, desc_index, has_numbers FROM corpus")
+             "secondary_category, desc_index, has_numbers, CAST(embedding AS DOUBLE[]) AS embedding FROM corpus")
 
 
 @register("export_flat", O.with_(O.base_ctes()) + _FLAT_SQL)
 def q_export_flat(spark, sf_dir):
-    """Written as flat parquet and read back (vector column left out of the comparison)."""
+    """Written as flat parquet and read back, vectors included."""
     from comparo.session import shared_path
     corpus, _ = _inputs(spark, sf_dir, reuse=False)
     path = CS.export_flat(corpus, shared_path(spark, "export"))
-    return spark.read.parquet(path).drop("embedding")
+    return spark.read.parquet(path).withColumn("embedding", V.as_double("embedding"))
 
 
 @register("restore_roundtrip", O.with_(O.base_ctes())
@@ -320,13 +344,19 @@ def q_backup_json(spark, sf_dir):
                        F.round(vsum, 6).alias("vsum"))
 
 
-@register("read_sales_csv")
+@register("read_sales_csv", O.with_(O.base_ctes()) + """SELECT CAST(line_no AS VARCHAR) AS line_no, domain, price,
+  nullif(description_1, '') AS description_1, description_2, primary_category, secondary_category,
+  CASE WHEN line_no % 2 = 0 THEN platform END AS platform, date FROM sales_raw""")
 def q_read_sales_csv(spark, sf_dir):
-    """The sales rows written as CSV (quoted, multi-line texts) and read back with a text schema."""
+    """The sales rows written as CSV (quoted, multi-line texts) in two layouts, and read back by name: one as it is,
+    one with the columns in reverse order, an unknown column more and the platform missing."""
     from comparo.session import shared_path
     from comparo.sources.sales_csv import read_sales_csv, write_sales_csv
-    path = write_sales_csv(fx.sales_raw(spark, sf_dir), shared_path(spark, "sales_csv"))
-    return read_sales_csv(spark, path, extra=["line_no"])
+    raw, folder = fx.sales_raw(spark, sf_dir), shared_path(spark, "sales_csv")
+    write_sales_csv(raw.where(F.col("line_no") % 2 == 0), f"{folder}/as_is")
+    odd = raw.where(F.col("line_no") % 2 == 1).withColumn("remark", F.lit("x")).drop("platform")
+    write_sales_csv(odd.select(*odd.columns[::-1]), f"{folder}/reversed")
+    return read_sales_csv(spark, f"{folder}/*", extra=["line_no"])
 
 
 # --------------------------------------------------------------------------- profile (E5)
@@ -438,7 +468,7 @@ _PAIRS_FAM = """pf AS (SELECT p.*, coalesce(fa.family, 'other') AS in_family, co
 
 
 def _pairs(spark, sf_dir):
-    corpus, _ = _inputs(spark, sf_dir)
+    corpus, _ = _inputs(spark, sf_dir, without=("document",))
     return fx.pairs(spark, sf_dir, corpus)
 
 
@@ -520,13 +550,11 @@ def q_normalize_vectors(spark, sf_dir):
         "vec_id", "pos", F.round(F.col("v").cast("double"), 6).alias("value"))
 
 
-@register("vector_text")
+@register("vector_text", O.with_(O.base_ctes()) + "SELECT vec_id, true AS exact FROM embeddings")
 def q_vector_text(spark, sf_dir):
-    """Vector -> text -> vector round trip; rows where it is exact (rows-only check)."""
+    """Vector -> text -> vector gives the vector back."""
     e = read_table(spark, sf_dir, "embeddings")
-    back = e.select("vec_id", "embedding", V.from_text(V.to_text("embedding")).alias("back"))
-    return back.select("vec_id", (F.col("embedding") == F.col("back")).alias("exact"), V.to_text("embedding")
-                       .alias("text"))
+    return e.select("vec_id", (V.from_text(V.to_text("embedding")) == F.col("embedding")).alias("exact"))
 
 
 @register("json_metadata", O.with_(O.base_ctes()) + """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
@@ -550,6 +578,25 @@ def q_split_suffix(spark, sf_dir):
     return split_suffix(p, "host").select("page_id", "host", "suffix", "sld")
 
 
+USER_RULES = ["net", "com", "org", "*.org", "!example.org", "example.net", "// a comment"]
+
+
+@register("split_suffix_rules", O.with_(O.base_ctes(), f"pr AS (SELECT page_id, {O.host_sql('url')} AS host FROM pages)",
+          r"""px AS (SELECT page_id, host, CASE
+    WHEN regexp_matches(lower(host), '(^|\.)example\.org$') THEN right(host, 3)
+    WHEN regexp_matches(lower(host), '[^.]+\.org$') THEN regexp_extract(host, '([^.]+\.[^.]+)$', 1)
+    WHEN regexp_matches(lower(host), '(^|\.)example\.net$') THEN right(host, 11)
+    WHEN regexp_matches(lower(host), '(^|\.)(net|com|org)$') THEN right(host, 3) ELSE '' END AS suffix FROM pr)""")
+          + """SELECT page_id, host, suffix, regexp_extract(CASE WHEN suffix = '' THEN host
+  ELSE left(host, greatest(length(host) - length(suffix) - 1, 0)) END, '([^.]*)$', 1) AS sld FROM px""")
+def q_split_suffix_rules(spark, sf_dir):
+    """J3 with a user table of normal, wildcard and exception rules."""
+    from comparo.functions.domains import host_of
+    from comparo.operators.suffix import suffix_table
+    p = read_table(spark, sf_dir, "pages").select("page_id", host_of(F.col("url")).alias("host"))
+    return split_suffix(p, "host", suffix_table(spark, USER_RULES)).select("page_id", "host", "suffix", "sld")
+
+
 @register("parse_domain", O.with_(O.base_ctes(), _PAGES_SPLIT) + f"""SELECT page_id, sld,
   CASE WHEN sfx = '' THEN '.com' ELSE concat('.', sfx) END AS tld, CAST(length(sld) AS INTEGER) AS length,
   coalesce(contains(sld, '-') OR regexp_matches(sld, '[a-z][A-Z]'), false) AS is_multi_word,
@@ -617,7 +664,7 @@ _CAT_PRED = ("(c.primary_category IN (q.primary_category, q.secondary_category)
 
 def _filter_query(use_tld, use_length, use_category):
     def run(spark, sf_dir):
-        corpus, q = _inputs(spark, sf_dir)
+        corpus, q = _inputs(spark, sf_dir, without=("document", "embedding"))
         inputs = q.select("input_id", "tld", "length", "primary_category", "secondary_category").dropDuplicates(
             ["input_id"])
         return filter_counts(inputs, corpus, use_tld=use_tld, use_length=use_length, use_category=use_category)
@@ -629,6 +676,27 @@ register("filter_tld_family", _filter_sql(_TLD_PRED))(_filter_query(True, False,
 register("filter_category_overlap", _filter_sql(_CAT_PRED))(_filter_query(False, False, True))
 register("hard_filter", _filter_sql(f"{_TLD_PRED} AND {_LEN_PRED} AND {_CAT_PRED}"))(_filter_query(True, True, True))
 
+@register("filter_predicates", O.with_(O.base_ctes(), _PAIRS_FAM, """pk AS (SELECT *,
+    CASE WHEN in_family = 'other' THEN in_tld ELSE in_family END AS in_key,
+    CASE WHEN cand_family = 'other' THEN cand_tld ELSE cand_family END AS cand_key FROM pf),
+pp AS (SELECT id_a, id_b, abs(cand_length - in_length) <= 2 AS length_ok, in_key = cand_key AS tld_ok,
+    (cand_primary IN (in_primary, in_secondary) OR cand_secondary IN (in_primary, in_secondary)) AS category_ok FROM pk)""")
+          + """SELECT id_a, id_b, length_ok, tld_ok, category_ok, length_ok AND tld_ok AND category_ok AS all_ok,
+  length_ok AND category_ok AS all_but_tld FROM pp""")
+def q_filter_predicates(spark, sf_dir):
+    """The predicates themselves, row by row over the scoring pairs."""
+    from comparo.operators import filters as FI
+    from comparo.operators.suffix import with_tld_key
+    p = with_tld_key(with_tld_key(_pairs(spark, sf_dir), "in_tld", "in_key"), "cand_tld", "cand_key")
+    sides = [F.col(c) for c in ("cand_length", "cand_key", "cand_primary", "cand_secondary", "in_length", "in_key",
+                                "in_primary", "in_secondary")]
+    c_len, c_key, cp, cs, i_len, i_key, ip, isec = sides
+    return p.select("id_a", "id_b", FI.length_band(c_len, i_len).alias("length_ok"),
+                    FI.tld_family_match(c_key, i_key).alias("tld_ok"),
+                    FI.category_overlap(cp, cs, ip, isec).alias("category_ok"),
+                    FI.hard_filter(*sides).alias("all_ok"), FI.hard_filter(*sides, include_tld=False).alias("all_but_tld"))
+
+
 FILTER_SPEC = {"$and": [{"length": {"$gte": 8, "$lte": 12}},
                         {"$or": [{"tld": {"$in": [".com", ".io"]}}, {"primary_category": {"$eq": "Brandable"}}]}]}
 
@@ -647,7 +715,7 @@ def q_filter_spec(spark, sf_dir):
     + "SELECT input_id, query_index, rank, id, round(distance, 6) AS distance FROM knnc")
 def q_knn_cosine(spark, sf_dir):
     """The filtered search with cosine distance."""
-    corpus, q = _inputs(spark, sf_dir)
+    corpus, q = _inputs(spark, sf_dir, without=("document",))
     out = knn_filtered(q, corpus, metric="cosine")
     return out.select("input_id", "query_index", "rank", "id", F.round("distance", 6).alias("distance"))
 
@@ -656,7 +724,7 @@ def q_knn_cosine(spark, sf_dir):
           + "SELECT input_id, query_index, rank, id FROM t1")
 def q_numeric_filter(spark, sf_dir):
     """P17 on the tier-1 neighbours (no fallback)."""
-    corpus, q = _inputs(spark, sf_dir)
+    corpus, q = _inputs(spark, sf_dir, without=("document",))
     return retrieve(q, corpus, config.Settings(tld_fallback=False)).select("input_id", "query_index", "rank", "id")
 
 
@@ -667,10 +735,10 @@ def q_dedup_best(spark, sf_dir):
     """Best row per (input, domain) above the threshold, with its first position."""
     from comparo.operators.ranking import dedup_best, score_columns
     from comparo.plans.comparables import as_of_literal
-    corpus, q = _inputs(spark, sf_dir)
+    corpus, q = _inputs(spark, sf_dir, without=("document",))
     cands = retrieve(with_input_categories(q), corpus, carry_q=["in_primary", "in_secondary"],
                      carry_c=SCORING_COLUMNS)
-    best = dedup_best(score_columns(cands, as_of_literal(AS_OF), describe=False))
+    best = dedup_best(score_columns(cands, as_of_literal(AS_OF)))
     return best.select("input_id", "domain", "score", "query_index", "rank", "first_query_index", "first_rank")
 
 
@@ -775,36 +843,51 @@ def q_enrichment_fallback(spark, sf_dir):
 
 
 @register("report_rows", O.with_(O.base_ctes(), O.retrieval_ctes(), O.scoring_ctes())
-          + "SELECT input_id, final_rank AS rank, domain, substring(description, 1, 100) AS description_100 FROM ranked")
+          + """SELECT input_id, final_rank AS rank, domain, format('{:,.0f}', price) AS price_text,
+  printf('%.4f', score) AS score_text, printf('%.4f', semantic_sim) AS semantic_text,
+  printf('%.2f', cat_match) AS category_text, printf('%.2f', recency) AS recency_text,
+  concat(primary_category, ', ', secondary_category) AS categories, date, platform, query_index, desc_index,
+  substring(description, 1, 100) AS description_100 FROM ranked""")
 def q_report_rows(spark, sf_dir):
-    """P26 + W7: numbered report lines with the description cut to 100 characters."""
+    """P26 + W7: numbered report lines with all their fields."""
     from comparo.plans.comparables import report_rows
     corpus, q = _inputs(spark, sf_dir)
-    return report_rows(comparables(q, corpus, AS_OF)).select("input_id", "rank", "domain", "description_100")
+    return report_rows(comparables(q, corpus, AS_OF))
 
 
-@register("result_json")
+@register("result_json", O.with_(O.base_ctes(), O.retrieval_ctes(), O.scoring_ctes(), _RESULTS_CTE)
+          + """SELECT input_id, input_domain, total_comparables, confidence,
+  CAST(len(descriptions) AS INTEGER) AS n_descriptions, top_domain FROM results""")
 def q_result_json(spark, sf_dir):
-    """One JSON result record per input (rows-only check)."""
+    """One JSON result record per input, its fields parsed back."""
     from comparo.plans.comparables import results_json
     corpus, q = _inputs(spark, sf_dir)
-    return results_json(assemble_results(q, comparables(q, corpus, AS_OF)))
+    out = results_json(assemble_results(fx.inputs_in(spark, sf_dir, corpus), comparables(q, corpus, AS_OF)))
+    fields = F.from_json("json", "input_domain string, total_comparables bigint, confidence string, "
+                                 "descriptions array<string>, comparables array<struct<rank:int,domain:string>>")
+    return out.select("input_id", fields.alias("r")).select(
+        "input_id", "r.input_domain", "r.total_comparables", "r.confidence",
+        F.size("r.descriptions").alias("n_descriptions"), F.get(F.col("r.comparables"), 0)["domain"].alias("top_domain"))
+
+
+def _ingest_sql() -> str:
+    return O.with_(O.base_ctes(), *_BUILD_CTES, _hash_vec_ctes("bvec", "built", "id", "document")) + \
+        "SELECT b.*, v.embedding FROM built b LEFT JOIN bvec v ON v.id = b.id"
 
 
-@register("ingest_stream", O.with_(O.base_ctes(), *_BUILD_CTES)
-          + "SELECT id, domain, desc_index, price, sale_date, document FROM built")
+@register("ingest_stream")
 def q_ingest_stream(spark, sf_dir):
-    """The sales file arrives as two CSV drops; a file stream appends unseen ids to the corpus."""
+    """The sales file arrives as two plain CSV drops; a file stream appends unseen ids to the corpus, all columns."""
     from comparo.session import shared_path
     from comparo.sources.sales_csv import write_sales_csv
     from comparo.streaming.ingest import run_ingest
     raw = fx.sales_raw(spark, sf_dir)
     src = shared_path(spark, "incoming")
-    write_sales_csv(raw.where(F.col("line_no") % 2 == 0), f"{src}/drop1")
-    write_sales_csv(raw.where(F.col("line_no") % 2 == 1), f"{src}/drop2")
+    write_sales_csv(raw.where(F.col("line_no") % 2 == 0).drop("line_no"), f"{src}/drop1")
+    write_sales_csv(raw.where(F.col("line_no") % 2 == 1).drop("line_no"), f"{src}/drop2")
     corpus_dir = shared_path(spark, "stream_corpus")
     run_ingest(spark, f"{src}/*", corpus_dir, shared_path(spark, "stream_ckpt"))
-    return spark.read.parquet(corpus_dir).select("id", "domain", "desc_index", "price", "sale_date", "document")
+    return spark.read.parquet(corpus_dir).select(*C.CORPUS_COLUMNS, "embedding")
 
 
 # --------------------------------------------------------------------------- E3 from names (text path)
@@ -829,11 +912,19 @@ _SEARCH_SQL = O.with_(
     "acc AS (SELECT * FROM sinp WHERE domain IS NOT NULL AND domain <> '')",
     """rej AS (SELECT input_id, domain, CASE WHEN domain IS NULL THEN 'missing domain' ELSE 'empty domain' END AS reason
   FROM sinp WHERE domain IS NULL OR domain = '')""",
+    re.sub(r"\b(vj|ve|vv)\b", r"r\1", _VALID_CTE).replace("SELECT input_id, domain, reject_reason,",
+                                                         "SELECT input_id, domain, response, reject_reason,"),
     O.suffix_split_cte("isx", "acc", "input_id, domain", O.host_sql("domain")),
     """par AS (SELECT input_id, domain, sld, CASE WHEN sfx = '' THEN '.com' ELSE concat('.', sfx) END AS tld,
     CAST(length(sld) AS INTEGER) AS length, coalesce(regexp_matches(sld, '[0-9]'), false) AS has_numbers FROM isx)""",
-    """resp AS (SELECT p.input_id, p.domain, r.response FROM par p
-    LEFT JOIN (SELECT domain, response FROM responses) r ON r.domain = p.domain)""",
+    # a broken second answer for every sixth domain sorts before the good one and must not displace it
+    """answers AS (SELECT domain, response FROM responses
+  UNION ALL SELECT domain, '[bad' FROM responses WHERE input_id % 6 = 0),
+best AS (SELECT domain, response FROM (SELECT a.*, row_number() OVER (PARTITION BY a.domain
+    ORDER BY coalesce(v.is_valid, false) DESC, a.response) AS rn
+  FROM answers a LEFT JOIN (SELECT domain, response, is_valid FROM rvv) v
+    ON v.domain = a.domain AND v.response = a.response) WHERE rn = 1),
+resp AS (SELECT p.input_id, p.domain, r.response FROM par p LEFT JOIN best r ON r.domain = p.domain)""",
     _VALID_CTE.replace("FROM responses r)", "FROM resp r)").replace(
         "vv AS (SELECT input_id, domain, reject_reason,", "vv AS (SELECT input_id, domain, rj, reject_reason,"),
     f"""en AS (SELECT v.input_id, v.domain, p.sld, p.tld, p.length, p.has_numbers,
@@ -858,8 +949,7 @@ _SEARCH_SQL = O.with_(
     O.scoring_ctes(corpus="corpus2", queries="queries2"),
 ) + """SELECT e.input_id, e.domain AS input_domain, e.status, CAST(coalesce(r.n, 0) AS BIGINT) AS total_comparables,
   CASE WHEN coalesce(r.n, 0) >= 5 THEN 'high' ELSE 'low' END AS confidence, r.top_domain, e.error
-FROM en e JOIN (SELECT DISTINCT input_id FROM queries2) qi ON qi.input_id = e.input_id
-LEFT JOIN (SELECT input_id, count(*) AS n, max(CASE WHEN final_rank = 1 THEN domain END) AS top_domain
+FROM en e LEFT JOIN (SELECT input_id, count(*) AS n, max(CASE WHEN final_rank = 1 THEN domain END) AS top_domain
            FROM ranked GROUP BY input_id) r ON r.input_id = e.input_id
 UNION ALL
 SELECT input_id, domain AS input_domain, 'error' AS status, NULL AS total_comparables, NULL AS confidence,
@@ -870,16 +960,16 @@ SELECT input_id, domain AS input_domain, 'error' AS status, NULL AS total_compar
 def q_search_domains(spark, sf_dir):
     """E3 end to end from names: every sales-file name is an input, enriched from the stored responses
     (fallback when invalid), its descriptions embedded with the hashing encoder, and searched against the
-    corpus built from the sales file (rows-only check)."""
+    corpus built from the sales file."""
     from comparo.plans.build_corpus import build_corpus
     from comparo.plans.search import search_domains
     raw = fx.sales_raw(spark, sf_dir)
     corpus = materialize(build_corpus(raw), "built_corpus")
     inputs = raw.select(F.col("line_no").alias("input_id"), "domain")
-    responses = fx.responses(spark, sf_dir).select(F.col("domain"), "response")
-    out = search_domains(inputs, responses, corpus, AS_OF)
+    out = search_domains(inputs, fx.repeated_responses(spark, sf_dir), corpus, AS_OF)
     return out.select("input_id", "input_domain", "status", "total_comparables", "confidence",
                       F.get(F.col("comparables"), 0)["domain"].alias("top_domain"), "error")
 
 
 ORACLE["build_corpus_vectors"] = _build_vectors_sql()
+ORACLE["ingest_stream"] = _ingest_sql()

@@ -108,10 +108,19 @@ def queries_in(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = N
     return c.select(
         F.col("dk").alias("input_id"), F.col("desc_index").alias("query_index"),
         F.col("domain").alias("input_domain"), "sld", "tld", "length", "primary_category", "secondary_category",
-        has_numbers(F.col("sld")).alias("has_numbers"), "embedding",
+        has_numbers(F.col("sld")).alias("has_numbers"), *[x for x in ("embedding",) if x in c.columns],
     )
 
 
+def inputs_in(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = None) -> DataFrame:
+    """The search inputs as one row each, with their two descriptions (the document texts) in order."""
+    c = corpus_df if corpus_df is not None else corpus(spark, sf_dir)
+    text = F.struct("desc_index", F.regexp_extract("document", r"(?s)\. Description: (.*)$", 1).alias("text"))
+    return c.groupBy(F.col("dk").alias("input_id"), F.col("domain").alias("input_domain"), "sld", "tld", "length",
+                     "primary_category", "secondary_category").agg(
+        F.transform(F.array_sort(F.collect_list(text)), lambda x: x["text"]).alias("descriptions"))
+
+
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw sales-file shape, with nulls, blanks, padding and bad prices."""
     docs = read_table(spark, sf_dir, "documents")
@@ -139,10 +148,12 @@ def pairs(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = None)
     the same description index (the candidate side, ``b``)."""
     c = corpus_df if corpus_df is not None else corpus(spark, sf_dir)
     a = c.select(F.col("dk").alias("a_dk"), F.col("id").alias("id_a"), F.col("desc_index").alias("a_desc"),
-                 F.col("tld").alias("in_tld"), F.col("primary_category").alias("in_primary"),
+                 F.col("tld").alias("in_tld"), F.col("length").alias("in_length"),
+                 F.col("primary_category").alias("in_primary"),
                  F.col("secondary_category").alias("in_secondary"), F.col("embedding").alias("emb_a"))
     b = c.select(F.col("dk").alias("b_dk"), F.col("id").alias("id_b"), F.col("desc_index").alias("b_desc"),
-                 F.col("tld").alias("cand_tld"), F.col("primary_category").alias("cand_primary"),
+                 F.col("tld").alias("cand_tld"), F.col("length").alias("cand_length"),
+                 F.col("primary_category").alias("cand_primary"),
                  F.col("secondary_category").alias("cand_secondary"), F.col("sale_date"),
                  F.col("embedding").alias("emb_b"))
     return a.join(b, (F.col("b_dk") == F.col("a_dk") + 1) & (F.col("b_desc") == F.col("a_desc")))
@@ -166,11 +177,19 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(dk % 11 == 0, obj(sec, F.lit("")))
             .when(dk % 9 == 0, obj(prim, good_desc))
             .when(dk % 7 == 0, obj(sec, F.lit(', "descriptions": []')))
+            .when(dk % 23 == 0, obj(sec, F.lit(', "descriptions": ["  ", ""]')))
             .when(dk % 5 == 0, obj(sec, F.lit(', "descriptions": "not a list"')))
             .otherwise(obj(sec, good_desc)))
     return d.select(dk.alias("input_id"), "domain", resp.alias("response"))
 
 
+def repeated_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored responses with a broken second answer for every sixth domain, whose text sorts before the good one."""
+    r = responses(spark, sf_dir).select("domain", "response", "input_id")
+    broken = r.where(F.col("input_id") % 6 == 0).withColumn("response", F.lit("[bad"))
+    return r.unionByName(broken).drop("input_id")
+
+
 def corpus_with_gaps(spark: SparkSession, sf_dir: str, corpus_df: DataFrame | None = None) -> DataFrame:
     """The corpus as stored before the metadata backfill: every fourth domain lacks length, tld and
     has_numbers (one in eight lacks only has_numbers)."""

@@ -1,6 +1,5 @@
 """Operator tests: suffix split, filter spec, kNN exactness and tiling, ranking rules, corpus ops."""
 
-import itertools
 import math
 
 import numpy as np
@@ -9,7 +8,7 @@ from pyspark.sql import functions as F
 
 from comparo import config
 from comparo.operators import corpus_ops as C
-from comparo.operators.filters import spec_for_input, spec_to_column
+from comparo.operators.filters import spec_to_column
 from comparo.operators.knn import knn_filtered
 from comparo.operators.ranking import rank_best
 from comparo.operators.suffix import parse_domain, suffix_table
@@ -48,9 +47,6 @@ def test_filter_spec(spark):
         spec_to_column({"length": {"$like": 3}})
     with pytest.raises(ValueError):
         spec_to_column({"$nor": []})
-    s = spec_for_input(".io", 7, "Brandable", "Generic")
-    assert {"tld": {"$in": config.TLD_FAMILIES["tech_modern"]}} in s["$and"]
-    assert spec_for_input(".zz", 7, "A", "B")["$and"][2] == {"tld": {"$in": [".zz"]}}
 
 
 def _random_fixture(spark, n_corpus=400, n_queries=40, dim=8, seed=7):
@@ -89,7 +85,7 @@ def _brute(corpus, queries, k, use_tld):
     return sorted(out)
 
 
-@pytest.mark.parametrize("tile_rows,q_tile_rows,use_tld", [(2048, None, True), (7, None, True), (3, None, False),
+@pytest.mark.parametrize("tile_rows,q_tile_rows,use_tld", [(2048, 2048, True), (7, 7, True), (3, 3, False),
                                                             (5, 64, True)])
 def test_knn_matches_brute_force_under_any_tiling(spark, tile_rows, q_tile_rows, use_tld):
     corpus, queries, c, q = _random_fixture(spark)
@@ -149,10 +145,6 @@ def test_backfill(spark):
     assert got == {"a": (6, ".io", True, True), "b": (1, ".com", False, False), "c": (5, "", False, True)}
 
 
-def test_combinations_helper():
-    assert len(list(itertools.product(range(11), repeat=2))) == 121
-
-
 def test_knn_skips_rows_without_vectors(spark):
     corpus, queries, c, q = _random_fixture(spark, n_corpus=60, n_queries=6)
     c2 = c.unionByName(spark.createDataFrame([("nullvec", ".com", 5, "Acronym", "Acronym", None)], c.schema))
@@ -170,3 +162,30 @@ def test_suffix_wildcard_and_exception_rules(spark):
     assert got == {"foo.bar.ck": ("foo", ".bar.ck"), "www.ck": ("www", ".ck"), "a.www.ck": ("www", ".ck"),
                    "ck": ("ck", ""), "a.b.co.uk": ("b", ".co.uk"), "x.uk": ("x", ".uk"),
                    "shop.example.com": ("example", ".com")}
+
+
+def test_knn_vectors_are_shuffled_once(spark):
+    """The tile is attached before the shuffle: no exchange on the block alone carries vectors."""
+    import contextlib
+    import io
+    _, _, c, q = _random_fixture(spark, n_corpus=60, n_queries=6)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        knn_filtered(q, c, k=5).explain()
+    exchanges = [x for x in out.getvalue().splitlines() if "Exchange hashpartitioning" in x and "tld_key" in x]
+    assert exchanges and all("q_tile" in x and "c_tile" in x for x in exchanges)
+
+
+def test_knn_slices_do_not_change_results(spark, monkeypatch):
+    from comparo.operators import knn
+    corpus, queries, c, q = _random_fixture(spark)
+    Q = np.array([x[6] for x in queries], dtype=float)
+    C = np.array([x[5] for x in corpus], dtype=float)
+    rank = np.argsort(np.argsort([x[0] for x in corpus]))
+    allowed = np.random.default_rng(0).random((len(Q), len(C))) < 0.5
+    i, j, d = knn._rank_slice(Q, C, allowed, rank, 5, 2, "l2")
+    for k in range(len(Q)):
+        every = np.flatnonzero(allowed[k])
+        dist = np.sqrt(((Q[k] - C[every]) ** 2).sum(1))
+        best = np.lexsort((rank[every], dist))[:5]
+        assert j[i == k].tolist() == every[best].tolist()
