@@ -26,14 +26,13 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import Recent, map_rows
+from comparo.llm.common import Recent, append_columns, map_rows
 
-CACHE = 1 << 18  # entries of a worker's table of pieces, pairs or prefixes
-SHORT = 8         # prefixes of at most so many bytes are kept
+CACHE = 1 << 18  # entries of a worker's table of runs, pieces, pairs or prefixes
+SHORT = 10        # prefixes of at most so many bytes are kept
 # White space as the splitting pattern of the vocabulary means it (fixed value, Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0  -     　"
 
@@ -45,11 +44,16 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        self.longest = max(map(len, ranks))
+        self.size = {r: len(t) for t, r in ranks.items()}
+        self.longest = max(self.size.values())
         self.starts: dict[bytes, int] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._pairs: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.merged = {t: r for t, r in ranks.items() if self.halves(r)}
+        self.reach: dict[bytes, int] = {}  # longest token that ends in three bytes
+        for t in self.merged:
+            if len(t) > 2:
+                self.reach[t[-3:]] = max(len(t), self.reach.get(t[-3:], 0))
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -85,27 +89,13 @@ class Vocabulary:
     def adjacent(self, a: int, b: int) -> bool:
         """Whether b can follow a in an encoding."""
         key = a << 32 | b
-        found = self._pairs.get(key)
+        found = self.pairs.get(key)
         if found is None:
-            if len(self._pairs) > CACHE:
-                self._pairs.clear()
-            found = self._pairs[key] = self._apart(a, b, 1 << 62)
+            if len(self.pairs) > CACHE:
+                self.pairs.clear()
+            found = self.pairs[key] = self._apart(a, b, 1 << 62)
         return found
 
-    def ending(self, data: bytes, end: int, last: list[int]) -> int:
-        """The last token of the first ``end`` bytes; ``last`` has those of the shorter prefixes."""
-        find, pairs = self.merged.get, self._pairs
-        for start in range(max(0, end - self.longest), end):
-            token = find(data[start:end])
-            if token is not None:
-                if not start:
-                    return token
-                before = last[start - 1]
-                fits = pairs.get(before << 32 | token)
-                if fits or fits is None and self.adjacent(before, token):
-                    return token
-        raise ValueError("a byte has no token")
-
 
 class PrefixTable:
     """Last token of each prefix of one piece. The start of a piece is looked up among the short prefixes of pieces
@@ -120,17 +110,26 @@ class PrefixTable:
         self._extend(len(self.data))
 
     def _extend(self, stop: int) -> None:
-        data, last, ending, starts = self.data, self.last, self.vocabulary.ending, self.vocabulary.starts
+        v, data, last = self.vocabulary, self.data, self.last
+        find, reach, pairs, starts = v.merged.get, v.reach.get, v.pairs, v.starts
         for end in range(len(last) + 1, stop + 1):
-            if end > SHORT:
-                last.append(ending(data, end, last))
-                continue
-            prefix = data[:end]
-            token = starts.get(prefix)
+            token = starts.get(data[:end]) if end <= SHORT else None
             if token is None:
-                if len(starts) > CACHE:
-                    starts.clear()
-                token = starts[prefix] = ending(data, end, last)
+                for start in range(max(0, end - reach(data[end - 3:end], 2)) if end > 3 else 0, end):
+                    token = find(data[start:end])
+                    if token is not None:
+                        if not start:
+                            break
+                        key = last[start - 1] << 32 | token
+                        fits = pairs.get(key)
+                        if fits or fits is None and v.adjacent(key >> 32, token):
+                            break
+                else:
+                    raise ValueError("a byte has no token")
+                if end <= SHORT:
+                    if len(starts) > CACHE:
+                        starts.clear()
+                    starts[data[:end]] = token
             last.append(token)
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
@@ -150,10 +149,10 @@ class PrefixTable:
         return len(self.last) - start
 
     def ids(self) -> list[int]:
-        out, end = [], len(self.data)
+        out, end, size = [], len(self.data), self.vocabulary.size
         while end:
             out.append(self.last[end - 1])
-            end -= len(self.vocabulary.tokens[out[-1]])
+            end -= size[out[-1]]
         return out[::-1]
 
 
@@ -179,11 +178,13 @@ def encoder(path: str, pattern: str) -> tuple[Callable[[str], bytes], Vocabulary
 
     def ids(part: str) -> bytes:
         letters = part.isascii() and part.removeprefix(" ").isalpha()  # is one match as it stands
-        found = [i for m in ((part,) if letters else fine.findall(part))
-                 for i in encode_piece(vocabulary, m.encode("utf-8"))]
+        return pieces[part] if letters else b"".join([pieces[m] for m in fine.findall(part)])
+
+    def piece_ids(piece: str) -> bytes:
+        found = encode_piece(vocabulary, piece.encode("utf-8"))
         return struct.pack(f"<{len(found)}I", *found)
 
-    known = Recent(ids, CACHE)
+    known, pieces = Recent(ids, CACHE), Recent(piece_ids, CACHE)
 
     def encode(text: str) -> bytes:
         return b"".join(map(known.__getitem__, coarse.findall(text)))
@@ -202,35 +203,38 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids): ids as the bytes of little-endian unsigned 32-bit integers."""
+def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+                     decode: bool = False) -> DataFrame:
+    """(id, n_tokens, ids[, decoded]): ids as the bytes of little-endian unsigned 32-bit integers; with ``decode``, the
+    bytes that these ids stand for, from the ids alone."""
+    schema = "id long, n_tokens long, ids binary" + ", decoded binary" * decode
+
     def make():
-        encode, _ = encoder(path, pattern)
+        encode, vocabulary = encoder(path, pattern)
+        decoded = decoder(vocabulary)
 
         def run(cols):
             ids = [encode(t) for t in cols["text"]]
-            return {"id": cols["id"], "n_tokens": [len(i) // 4 for i in ids], "ids": ids}
+            out = {"id": cols["id"], "n_tokens": [len(i) // 4 for i in ids], "ids": ids}
+            return out | {"decoded": list(map(decoded, ids))} if decode else out
         return run
 
-    return map_rows(_rows(docs, id_col, text_col), "id long, n_tokens long, ids binary", make)
+    return map_rows(_rows(docs, id_col, text_col), schema, make)
+
+
+def decoder(vocabulary: Vocabulary) -> Callable[[bytes], bytes]:
+    """A function from ids (bytes of 32-bit integers) to the bytes they stand for."""
+    table = [vocabulary.tokens.get(i, b"") for i in range(max(vocabulary.tokens) + 1)]
+    return lambda ids: b"".join(map(table.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
 def decode_documents(encoded: DataFrame, path: str, column: str = "ids") -> DataFrame:
-    """``encoded`` with a column ``decoded``: the bytes of the ids in ``column``. The map runs in the same stage as
-    the encoding."""
-    def run(batches):
-        vocabulary = Vocabulary.load(path)
-        table = [vocabulary.tokens.get(i, b"") for i in range(max(vocabulary.tokens) + 1)]
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(column))
-            data = [b"".join(map(table.__getitem__, np.frombuffer(x, dtype="<u4").tolist()))
-                    for x in ids.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, type=pa.binary())],
-                                             names=[*batch.schema.names, "decoded"])
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)
-    return encoded.mapInArrow(run, f"{schema}, decoded binary")
+    """``encoded`` with a column ``decoded``: the bytes of the ids in ``column``."""
+    def make():
+        decoded = decoder(Vocabulary.load(path))
+        return lambda cols: {"decoded": list(map(decoded, cols["ids"]))}
+
+    return append_columns(encoded, {"ids": column}, "decoded binary", make)
 
 
 def token_counts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",

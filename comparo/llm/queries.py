@@ -57,8 +57,7 @@ def op5(spark, sf_dir):
 @register("op6_bpe_prefix")
 def op6(spark, sf_dir):
     path, pattern = bpe_prefix.public_vocabulary()
-    encoded = bpe_prefix.encode_documents(documents(spark, sf_dir), path, pattern)
-    decoded = bpe_prefix.decode_documents(encoded, path)
+    decoded = bpe_prefix.encode_documents(documents(spark, sf_dir), path, pattern, decode=True)
     return decoded.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
