@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from comparo.llm.common import Recent, append_columns
 
-CACHE = 1 << 18
+CACHE = 1 << 17
 SYMBOLS = "#*$%&|<>"
 
 # A text's entropy grows with its length: the least entropy is the band's floor plus GROWTH bits for each doubling of its
