@@ -75,13 +75,13 @@ def drop_tables(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", **options) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet to the shared folder and reading it back.
 
     A written table survives the loss of executors (unlike cached or locally
-    checkpointed blocks) and lets later stages re-read it by name.
+    checkpointed blocks) and lets later stages re-read it by name. ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = f"{_tables(spark)}/stages/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.parquet(path)
