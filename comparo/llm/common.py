@@ -38,15 +38,19 @@ class Recent(dict):
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back; the shuffle files of the job go when it has ended."""
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
+def materialize(df: DataFrame, name: str, conf: dict[str, str] | None = None, **options) -> DataFrame:
+    """``df`` written to the shared folder and read back; the shuffle files of the job go when it has ended. ``conf`` holds
+    for this job alone, ``options`` go to the writer."""
+    session_conf = df.sparkSession.conf
+    wanted = {CLEANUP: "true"} | (conf or {})
+    before = {k: session_conf.get(k, None) for k in wanted}
     try:
-        return session.materialize(df, name)
+        for k, v in wanted.items():
+            session_conf.set(k, v)
+        return session.materialize(df, name, **options)
     finally:
-        conf.set(CLEANUP, before)
+        for k, v in before.items():
+            session_conf.unset(k) if v is None else session_conf.set(k, v)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,11 @@ words. It is grown level by level:
 * A context is a candidate if its share of the training tokens is at least ``least_share`` (and it was seen
   ``LEAST`` times), so there are at most 1 / least_share candidates a level, whatever the corpus; they are what the
   driver and the closures hold. The counts behind them cover all training tokens.
-* The next tokens of each candidate are counted. A candidate is retained if its next-token distribution diverges from that
-  of its suffix: count * KL must exceed the cost of its parameters, ln(count) / 2 for each next token seen twice or more
-  and one for the rest, which is pooled. Suffixes of retained contexts stay in the tree.
-* Distributions are smoothed: counts of two or more less ``DISCOUNT``, the mass left goes to the distribution of the
+* The next tokens of each candidate are counted. A next token has an entry if its count diverges from what the suffix's
+  distribution q expects: c * ln((c / n) / q) must exceed ln(n) / 2, n being the context's count. A candidate is
+  retained if its whole distribution diverges: n * KL must exceed ln(n) / 2 for each entry and one for the rest, which is
+  pooled. Suffixes of retained contexts stay in the tree.
+* Distributions are smoothed: entries are counts less ``DISCOUNT``, the mass left goes to the distribution of the
   suffix, down to the root, which has (c + 0.5) / (N + 0.5 (V + 1)).
 
 A text is scored token by token with the longest suffix of its past that is a state; contexts do not cross texts.
@@ -28,6 +29,7 @@ N = V = 0. Other columns are ignored. Two different words are taken for one if t
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,17 +37,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import materialize, remainder
+from comparo.llm.common import materialize, remainder, slices
 
-BLOCK = 8 << 20
+BLOCK = 6 << 20
 DEPTH = 3
-LEAST_SHARE = 1e-4
+LEAST_SHARE = 1e-3
 LEAST = 8
 DISCOUNT = 0.75
 END = 0x7E4D
 BLOCKS = "block long, ids array<long>, held binary, stops binary, codes binary, hashes binary, counts binary"
 
 
+# blocks are large rows: a batch of Arrow's default size would hold many
+FEW_BLOCKS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BLOCK // 2)}
+
+
+def packed(x: np.ndarray) -> bytes:
+    """An array compressed, all first bytes of its items before all second ones and so on."""
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
+
+
+def unpacked(data: bytes, kind) -> np.ndarray:
+    import zstandard
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
+
+
 class Codes(dict):
     """Numbers for tokens, in the order in which they are met."""
 
@@ -58,9 +77,9 @@ def _block(number: int, rows: list[tuple]) -> pa.RecordBatch:
     from xxhash import xxh3_64_intdigest as digest
     codes = Codes()
     codes[b"\n"]  # the end; no word holds a line break
-    stream, stops, ids, held = [], [], [], []
+    stream, stops, ids, held = array("i"), [], [], []
     for key, out, text in rows:
-        stream += map(codes.__getitem__, (text or "").encode("utf-8", "replace").lower().split())
+        stream.extend(map(codes.__getitem__, (text or "").encode("utf-8", "replace").lower().split()))
         stream.append(0)
         stops.append(len(stream))
         ids.append(key)
@@ -73,7 +92,7 @@ def _block(number: int, rows: list[tuple]) -> pa.RecordBatch:
     held, stops = np.array(held, dtype=np.uint8), np.array(stops, dtype=np.int64)
     return pa.RecordBatch.from_arrays(
         [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-         *(pa.array([x.tobytes()], pa.binary()) for x in (held, stops, stream, hashes, counts.astype(np.int64)))],
+         *(pa.array([packed(x)], pa.binary()) for x in (held, stops, stream, hashes, counts.astype(np.int32)))],
         names=["block", "ids", "held", "stops", "codes", "hashes", "counts"])
 
 
@@ -85,7 +104,7 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         number, size, kept = TaskContext.get().partitionId() << 32, 0, []
-        for batch in batches:
+        for batch in slices(batches):
             for row in zip(*(batch.column(n).to_pylist() for n in ("id", "held", "text"))):
                 kept.append(row)
                 size += len(row[2] or "")
@@ -95,17 +114,19 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         if kept:
             yield _block(number, kept)
 
-    return materialize(rows.mapInArrow(run, BLOCKS), "token_blocks")
+    # row groups of about a block, so that readers hold one at a time
+    return materialize(rows.mapInArrow(run, BLOCKS), "token_blocks", FEW_BLOCKS, **{"parquet.block.size": str(BLOCK // 2)})
 
 
 class Block:
     """One row of :func:`blocks` as arrays."""
 
-    def __init__(self, row: dict):
-        read = lambda name, kind: np.frombuffer(row[name], dtype=kind)
-        self.number, self.ids = row["block"], row["ids"]
+    def __init__(self, batch: pa.RecordBatch, at: int):
+        value = lambda name: batch.column(batch.schema.get_field_index(name))[at]
+        read = lambda name, kind: unpacked(value(name).as_buffer(), kind)
+        self.number, self.ids = value("block").as_py(), value("ids")
         self.held, self.stops = read("held", np.uint8).astype(bool), read("stops", np.int64)
-        self.codes, self.hashes, self.counts = read("codes", np.int32), read("hashes", np.int64), read("counts", np.int64)
+        self.codes, self.hashes, self.counts = read("codes", np.int32), read("hashes", np.int64), read("counts", np.int32)
         self.starts = np.concatenate([[0], self.stops[:-1]])
         self.training = np.repeat(~self.held, self.stops - self.starts)
 
@@ -114,13 +135,18 @@ def _over_blocks(table: DataFrame, make, schema: str, columns: list[str]) -> Dat
     """mapInArrow over blocks: ``make(block)`` returns int64 arrays of the columns of ``schema``."""
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                arrays = make(Block(row))
+            for at in range(batch.num_rows):
+                arrays = make(Block(batch, at))
                 yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)) for a in arrays], names=columns)
 
     return table.mapInArrow(run, schema)
 
 
+def _shifted(states: np.ndarray) -> np.ndarray:
+    """At each token, what ``states`` has at the token before it."""
+    return np.concatenate([np.array([-1], dtype=states.dtype), states[:-1]])
+
+
 class Tree:
     """Candidate contexts. Level 1 holds token hashes; level L pairs (context of level L - 1, level-1 number of the word
     after it). ``first[L]`` is the number of the first state of a level; states are numbered through all levels."""
@@ -143,8 +169,10 @@ class Tree:
 
     def _step(self, level: int, before: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Number within ``level`` of the contexts made of a context of the level below and a word (-1: none)."""
-        found = self._find(self.levels[level - 2], before * len(self.words) + word)
-        return np.where((before >= 0) & (word >= 0), found, -1)
+        at = np.flatnonzero((before >= 0) & (word >= 0))
+        out = np.full(len(word), -1, dtype=np.int32)
+        out[at] = self._find(self.levels[level - 2], before[at].astype(np.int64) * len(self.words) + word[at])
+        return out
 
     def grow(self, before: np.ndarray, word: np.ndarray) -> None:
         """Add a level: contexts of (number within the last level, word number)."""
@@ -158,13 +186,13 @@ class Tree:
 
     def states(self, block: Block) -> list[np.ndarray]:
         """Per level, the state that ends at each token of a block (-1: none)."""
-        word = self.word_numbers(block.hashes)
+        word = self.word_numbers(block.hashes).astype(np.int32)
         word[0] = -1
         word = word[block.codes]
         inside, out = word, [word]
         for level in range(2, len(self.levels) + 2):
-            inside = self._step(level, np.concatenate([[-1], inside[:-1]]), word)
-            out.append(np.where(inside >= 0, inside + self.first[level], -1))
+            inside = self._step(level, _shifted(inside), word)
+            out.append(np.where(inside >= 0, inside + np.int32(self.first[level]), np.int32(-1)))
         return out
 
 
@@ -173,11 +201,12 @@ def _next_counts(table: DataFrame, tree: Tree) -> DataFrame:
     def make(block: Block):
         state = tree.states(block)[-1][:-1]
         at = np.flatnonzero((state >= 0) & block.training[:-1])
-        key, c = np.unique(state[at] * len(block.hashes) + block.codes[at + 1], return_counts=True)
+        key, c = np.unique(state[at].astype(np.int64) * len(block.hashes) + block.codes[at + 1], return_counts=True)
         return key // len(block.hashes), block.hashes[key % len(block.hashes)], c
 
     rows = _over_blocks(table, make, "state long, token long, c long", ["state", "token", "c"])
-    return rows.groupBy("state", "token").agg(F.sum("c").alias("c")).where("c > 1")
+    counts = rows.groupBy("state", "token").agg(F.sum("c").alias("c")).where("c > 1")
+    return materialize(counts, "next_counts", FEW_BLOCKS)
 
 
 def _level(counts: DataFrame, below: DataFrame, tree: Tree, sizes: dict[int, int]) -> tuple[DataFrame, dict]:
@@ -193,7 +222,8 @@ def _level(counts: DataFrame, below: DataFrame, tree: Tree, sizes: dict[int, int
     rows = (counts.join(F.broadcast(info), "state")
             .join(below.select(F.col("state").alias("parent"), "token", F.col("prob").alias("q")), ["parent", "token"]))
     p = F.col("c") / F.col("size")
-    seen = rows.groupBy("state", "size").agg(
+    diverges = F.col("c") * F.log(p / F.col("q")) > 0.5 * F.log("size")
+    seen = rows.where(diverges).groupBy("state", "size").agg(
         F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("c"), F.sum("q").alias("q"),
         F.sum(p * F.log(p / F.col("q"))).alias("gain"))
     found = {}
@@ -203,7 +233,7 @@ def _level(counts: DataFrame, below: DataFrame, tree: Tree, sizes: dict[int, int
         found[r.state] = (r["size"] * gain > 0.5 * (r.kinds + 1) * math.log(r["size"]),
                           1 - (r.c - DISCOUNT * r.kinds) / r["size"])
     left = spark.createDataFrame([(s, found.get(s, (False, 1.0))[1]) for s in numbers], "state long, rest double")
-    entry = (F.col("c") - DISCOUNT) / F.col("size")
+    entry = F.when(diverges, (F.col("c") - DISCOUNT) / F.col("size")).otherwise(0.0)
     out = (rows.join(F.broadcast(left), "state").withColumn("entry", entry)
            .withColumn("prob", F.col("entry") + F.col("rest") * F.col("q")))
     return out.select("state", "token", "c", "entry", "prob"), found
@@ -217,7 +247,7 @@ def learn(table: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE
         return block.hashes[at], block.counts[at]
 
     counts = _over_blocks(table, pairs, "token long, c long", ["token", "c"])
-    counts = materialize(counts.groupBy("token").agg(F.sum("c").alias("c")), "token_counts")
+    counts = materialize(counts.groupBy("token").agg(F.sum("c").alias("c")), "token_counts", FEW_BLOCKS)
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     least = max(LEAST, math.ceil(least_share * total))
     words = counts.where((F.col("c") >= least) & (F.col("token") != END)).collect()  # at most 1 / least_share
@@ -234,7 +264,7 @@ def learn(table: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE
         grown, found = _level(_next_counts(table, tree), below, tree, sizes)
         grown = materialize(grown, "next_tokens")
         states |= found
-        entries = entries.unionByName(grown.select("state", "token", F.col("entry").alias("value")))
+        entries = entries.unionByName(grown.where("entry > 0").select("state", "token", F.col("entry").alias("value")))
         below = grown.select("state", "token", "prob")
         if level < depth:
             longer = grown.where(F.col("c") >= least).select("state", "token", "c").collect()  # at most 1 / least_share
@@ -259,7 +289,7 @@ def learn(table: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE
 
 def _asked(block: Block, tree: Tree, retained: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per level of the tree: the retained state before each token (-1: none)."""
-    return [np.concatenate([[-1], np.where((s >= 0) & retained[s], s, -1)[:-1]]) for s in tree.states(block)]
+    return [_shifted(np.where((s >= 0) & retained[s], s, np.int32(-1))) for s in tree.states(block)]
 
 
 def score(table: DataFrame, model: dict) -> DataFrame:
@@ -274,29 +304,32 @@ def score(table: DataFrame, model: dict) -> DataFrame:
         keys = [np.arange(width) - width]            # state -1: the counts of all tokens
         for state in _asked(block, tree, retained):
             at = np.flatnonzero(state >= 0)
-            keys.append(np.unique(state[at] * width + block.codes[at]))
+            keys.append(np.unique(state[at].astype(np.int64) * width + block.codes[at]))
         keys = np.concatenate(keys)
         state = keys // width
-        return np.full(len(keys), block.number), state, block.hashes[keys - state * width]
+        code = keys - state * width
+        return np.full(len(keys), block.number), state, block.hashes[code], code
 
-    asked = _over_blocks(table, wanted, "block long, state long, token long", ["block", "state", "token"])
-    answers = asked.join(model["entries"], ["state", "token"]).select("block", "state", "token", "value")
+    columns = ["block", "state", "token", "code"]
+    asked = _over_blocks(table, wanted, "block long, state long, token long, code long", columns)
+    # an answer names the token by its number in the block
+    answers = asked.join(model["entries"], ["state", "token"]).select(
+        "block", F.col("state").cast("int"), F.col("code").cast("int"), F.col("value"))
+    answers = materialize(answers, "answers", FEW_BLOCKS)  # the shuffles behind it go before the blocks are dealt
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {n: [] for n in ("id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")}
-        state, token, value = (right.column(n).to_numpy() for n in ("state", "token", "value"))
-        for row in left.to_pylist():
-            block = Block(row)
-            order = np.argsort(block.hashes)
-            code = order[np.searchsorted(block.hashes[order], token)]
-            key = state * len(block.hashes) + code
+        state, code, value = (right.column(n).to_numpy() for n in ("state", "code", "value"))
+        for at in range(left.num_rows):
+            block = Block(left, at)
+            key = state.astype(np.int64) * len(block.hashes) + code
             place = np.argsort(key)
             key, found = key[place], value[place]
 
             def answer(which: np.ndarray, codes: np.ndarray) -> np.ndarray:
                 if not len(key):
                     return np.zeros(len(codes))
-                ask = which * len(block.hashes) + codes
+                ask = which.astype(np.int64) * len(block.hashes) + codes
                 at = np.minimum(np.searchsorted(key, ask), len(key) - 1)
                 return np.where(key[at] == ask, found[at], 0.0)
 
@@ -309,11 +342,12 @@ def score(table: DataFrame, model: dict) -> DataFrame:
                 at = np.flatnonzero(states >= 0)
                 prob[at] = answer(states[at], block.codes[at]) + rest[states[at]] * prob[at]
             sums = lambda x: np.add.reduceat(x, block.starts).tolist()
-            out["id"] += block.ids
+            ids = block.ids.as_py()
+            out["id"] += ids
             out["held_out"] += block.held.tolist()
             out["n_tokens"] += (block.stops - block.starts).tolist()
             out["n_known"] += sums((seen > 0)[block.codes].astype(np.int64))
-            out["train_tokens"] += [total] * len(block.ids)
+            out["train_tokens"] += [total] * len(ids)
             out["base_score"] += sums(base)
             out["score"] += sums(np.log10(prob))
         return pa.table(out, schema=pa.schema([

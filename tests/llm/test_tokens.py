@@ -239,8 +239,7 @@ def brute_tree(rows, depth, share, least):
                     size[context] += 1
                     nexts[context][ws[k + 1]] += 1
     contexts = [c for c in size if size[c] >= least]
-    entries = {c: {w: n for w, n in nexts[c].items() if n > 1} for c in contexts}
-    left = {c: 1 - (sum(e.values()) - suffix_tree.DISCOUNT * len(e)) / size[c] for c, e in entries.items()}
+    entries, left = {}, {}
 
     def prob(context, word):
         if not context:
@@ -250,14 +249,17 @@ def brute_tree(rows, depth, share, least):
         return below + ((n - suffix_tree.DISCOUNT) / size[context] if n else 0)
 
     keep = set()
-    for c in contexts:
-        e = entries[c]
+    for c in sorted(contexts, key=len):
+        bar = 0.5 * math.log(size[c])
+        entries[c] = e = {w: n for w, n in nexts[c].items()
+                          if n > 1 and n * math.log(n / size[c] / prob(c[1:], w)) > bar}
+        left[c] = 1 - (sum(e.values()) - suffix_tree.DISCOUNT * len(e)) / size[c]
         if not e:
             continue
         gain = sum(n / size[c] * math.log(n / size[c] / prob(c[1:], w)) for w, n in e.items())
         rest, rest_q = 1 - sum(e.values()) / size[c], max(1 - sum(prob(c[1:], w) for w in e), 1e-12)
         gain += rest * math.log(rest / rest_q) if rest > 0 else 0
-        if size[c] * gain > 0.5 * (len(e) + 1) * math.log(size[c]):
+        if size[c] * gain > bar * (len(e) + 1):
             keep |= {c[k:] for k in range(len(c))}
     out = []
     for i, ws in texts:
