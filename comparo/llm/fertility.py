@@ -10,7 +10,7 @@ given per language, else per script (the script of most letters), and a text out
 Beside the verdict there are counts by plain rules (words, symbols, repeated lines and words) and the base rule over
 them. :func:`rules` returns all columns and the verdict, :func:`keep_good` filters.
 
-The word's ids depend on the word alone, so a worker keeps those it met last in a table of bounded size. Every row is
+The word's ids depend on the word alone, so a task keeps those it met last in a table of bounded size. Every row is
 judged by itself: there is no shuffle.
 
 Defined results: a null text has no words; a text without words has null measures, fails the base rule and is
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from comparo.llm.common import Recent, append_columns
 
-CACHE = 1 << 17
+CACHE = 1 << 18
 SYMBOLS = "#*$%&|<>"
 
 # A text's entropy grows with its length: the least entropy is the band's floor plus GROWTH bits for each doubling of its
@@ -68,11 +68,16 @@ def public_vocabulary() -> str:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> tuple[Recent, np.ndarray]:
-    """Table from a word to its ids (bytes of 32-bit integers), and for each id whether it is a byte."""
+def model_of(path: str):
+    """The vocabulary's model, and for each id whether it is a byte."""
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    is_byte = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
+    return model, np.array([model.is_byte(i) for i in range(model.get_piece_size())])
+
+
+def word_table(path: str) -> tuple[Recent, np.ndarray]:
+    """Table from a word to its ids (bytes of 32-bit integers), and for each id whether it is a byte."""
+    model, is_byte = model_of(path)
     return Recent(lambda word: np.array(model.encode(word), dtype="<u4").tobytes(), CACHE), is_byte
 
 
@@ -120,7 +125,7 @@ def measured(docs: DataFrame, path: str, text_col: str = "text", prefix: str = "
     def make():
         import re
         find = re.compile(r"[^ \t-\r]+").findall
-        table, is_byte = encoder(path)
+        table, is_byte = word_table(path)
 
         def run(cols):
             found = []

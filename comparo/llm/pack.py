@@ -35,7 +35,7 @@ from comparo.llm.common import Recent, map_rows, materialize
 LIMIT = 4096
 OPEN_BINS = 256
 GROUP = 100_000
-CACHE = 3 << 17
+CACHE = 1 << 19
 
 
 def public_vocabulary() -> str:
