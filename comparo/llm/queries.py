@@ -22,7 +22,20 @@ def register(name, sql=None):
     return keep
 
 
-@register("op1_embed_lsh")
+_LINKS_SQL = """WITH RECURSIVE unit AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reached(node, root) AS (SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT l.a, r.root FROM reached r JOIN links l ON l.b = r.node)
+SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM embeddings v JOIN (SELECT node, min(root) AS component_id FROM reached GROUP BY node) c ON c.node = v.vec_id
+LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = v.vec_id"""
+
+
+@register("op1_embed_lsh", _LINKS_SQL)
 def op1(spark, sf_dir):
     return embed_lsh.near_duplicates(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 

@@ -191,3 +191,11 @@ def test_small_table_queries_agree(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     check_removed(spark, rows)
     check_simhash(spark, rows)
+
+
+def test_links_agree_with_sql(spark):
+    from comparo.llm.queries import ORACLE, QUERIES
+    from oracle_check import compare, duck
+    for name, sql in ORACLE.items():
+        found = compare(spark, duck(SF_SMALL), name, QUERIES[name], sql, SF_SMALL)
+        assert found["hash_match"] and found["spark_rows"] == found["oracle_rows"], found
