@@ -37,10 +37,10 @@ SYMBOLS = "#*$%&|<>"
 GROWTH, FULL = 0.28, 3000
 # Bands of (least, most characters per token), most byte share, floor of the entropy in bits.
 BANDS = {
-    "en": (1.70, 8.0, 0.05, 3.5),
-    "de": (1.55, 8.0, 0.05, 3.3),
-    "fr": (1.45, 8.0, 0.05, 3.25),
-    "es": (1.45, 8.0, 0.05, 3.35),
+    "en": (1.70, 8.0, 0.05, 3.4),
+    "de": (1.55, 8.0, 0.05, 3.25),
+    "fr": (1.45, 8.0, 0.05, 3.15),
+    "es": (1.45, 8.0, 0.05, 3.25),
     "Latin": (1.30, 8.0, 0.15, 3.0),
     "Cyrillic": (1.00, 8.0, 0.15, 3.0),
     "Greek": (0.60, 6.0, 0.30, 2.8),
