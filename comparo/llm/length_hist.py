@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from comparo.llm.common import materialize
 
-BLOCK = 4096
+BLOCK = 64
 
 
 def histogram(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
