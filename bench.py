@@ -3,7 +3,7 @@
 Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]``. One warm-up pass runs every query once (so the JVM's JIT
 and the Python workers are warm for all of them), then each query gets the median of
-``$BENCH_RUNS`` (default 3) timed runs. Each run executes the whole plan into
+``$BENCH_RUNS`` (default 2) timed runs. Each run executes the whole plan into
 Spark's ``noop`` sink, so no rows pass through the driver. Prints one JSON line.
 """
 
@@ -24,7 +24,7 @@ HEADLINE = ["comparables", "knn_filtered", "tiered_fallback", "build_corpus", "e
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
 
     from comparo.registry import QUERIES
