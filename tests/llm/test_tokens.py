@@ -6,7 +6,6 @@ import hashlib
 import zlib
 
 import numpy as np
-import public_tokenizers
 import pytest
 import tiktoken
 from hypothesis import given, settings
