@@ -34,7 +34,7 @@ from comparo.llm.common import Recent, append_columns, map_rows
 CACHE = 1 << 18  # entries of a worker's table of runs, pieces, pairs or prefixes
 SHORT = 10        # prefixes of at most so many bytes are kept
 # White space as the splitting pattern of the vocabulary means it (fixed value, Unicode White_Space).
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class Vocabulary:
