@@ -41,7 +41,7 @@ from comparo.llm.common import materialize, remainder, slices
 
 BLOCK = 6 << 20
 DEPTH = 3
-LEAST_SHARE = 1e-3
+LEAST_SHARE = 1e-4
 LEAST = 8
 DISCOUNT = 0.75
 END = 0x7E4D

@@ -288,6 +288,28 @@ def test_suffix_tree_agrees_with_brute_force(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 10
 
 
+def sure_after(n_words, times):
+    """Texts of about ``n_words`` training words in which a word seen ``times`` times has a sure successor, and the score of
+    that pair beside its base score."""
+    rng = np.random.default_rng(9)
+    training = [i for i in range(200) if not cases.held_out(i, 5)]
+    out = next(i for i in range(200) if cases.held_out(i, 5))
+    rows = []
+    for at, i in enumerate(training):
+        ws = [f"w{w}" for w in rng.integers(0, 300, n_words // len(training))]
+        for k in range(times * at // len(training), times * (at + 1) // len(training)):
+            ws += ["kith", "kin", f"w{k}"]
+        rows.append((i, " ".join(ws)))
+    return rows + [(out, "kith kin")], out
+
+
+def test_rarer_contexts_are_states(spark):
+    """A context of 0.05% of the training words."""
+    rows, out = sure_after(40_000, 20)
+    got = next(r for r in suffix_tree.score_documents(cases.documents(spark, rows)).collect() if r.id == out)
+    assert got.score > got.base_score + 2
+
+
 def test_small_table_queries_agree(spark, library):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     from comparo.llm.queries import QUERIES
