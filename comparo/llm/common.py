@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from comparo import session
 from comparo.sources.tables import read_table
 
-__all__ = ["Recent", "append_columns", "components", "documents", "first_by_hash", "labelled", "map_rows", "materialize", "remainder", "slices"]
+__all__ = ["Recent", "append_columns", "components", "documents", "drop", "first_by_hash", "labelled", "map_rows", "materialize", "remainder", "slices"]
 
 
 class Recent(dict):
@@ -53,6 +53,15 @@ def materialize(df: DataFrame, name: str, conf: dict[str, str] | None = None, **
             session_conf.unset(k) if v is None else session_conf.set(k, v)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialize` has written, when nothing reads them any more."""
+    for table in tables:
+        jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 

@@ -3,9 +3,8 @@
 Tokens are the words of the A-Z lower-cased text and one end per text. The tree's states are contexts of up to ``depth``
 words. It is grown level by level:
 
-* A context is a candidate if its share of the training tokens is at least ``least_share`` (and it was seen
-  ``LEAST`` times), so there are at most 1 / least_share candidates a level, whatever the corpus; they are what the
-  driver and the closures hold. The counts behind them cover all training tokens.
+* A context is a candidate if it was seen ``LEAST`` times in training, whatever the size of the corpus, so candidates and
+  states grow with it. ``least_share`` asks for a share of the training tokens on top; by default there is none.
 * The next tokens of each candidate are counted. A next token has an entry if its count diverges from what the suffix's
   distribution q expects: c * ln((c / n) / q) must exceed ln(n) / 2, n being the context's count. A candidate is
   retained if its whole distribution diverges: n * KL must exceed ln(n) / 2 for each entry and one for the rest, which is
@@ -17,13 +16,19 @@ A text is scored token by token with the longest suffix of its past that is a st
 
 Texts are read once: a task packs them into blocks of about ``BLOCK`` bytes, each one row with its distinct
 tokens (as 64-bit hashes), their training counts and the texts as numbers into them. All later passes work on blocks with
-whole-array operations. The next-token table grows with the corpus and is never broadcast: a block asks for
-the (state, token) pairs it has, each once, a join answers, and the answers meet the block again by its number.
-The same join brings the counts of all its tokens.
+whole-array operations. A context is a 64-bit hash of its words, which a block works out by itself, so states are rows of
+tables like their next tokens: they are never broadcast and never pass through the driver. A block asks for the states
+and the pairs of state and token that it has, each once and by one hash, a join answers, and the answers meet the block
+again by their place among what it asked. The same join brings the counts of all its tokens.
+
+So that blocks do not send every context they have, they look it up in a Bloom filter of the candidates, states or entries
+first. It has at most ``FILTER_BITS`` bits (32 MB) on any corpus. It loses nothing: what it lets through by mistake goes in
+the join behind it, so on a larger corpus more is moved and the results are the same.
 
 Defined results: a null text is empty and has its end only; a null id counts as the empty text for the split and its
 row is returned; repeated rows each get a row. Without training texts every probability is the root's with
-N = V = 0. Other columns are ignored. Two different words are taken for one if their 64-bit hashes are equal.
+N = V = 0. Other columns are ignored. Two different words, or
+contexts, are taken for one if their 64-bit hashes are equal.
 """
 
 from __future__ import annotations
@@ -34,17 +39,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import materialize, remainder, slices
+from comparo.llm.common import drop, materialize, remainder, slices
 
 BLOCK = 6 << 20
 DEPTH = 3
-LEAST_SHARE = 1e-4
+LEAST_SHARE = 0.0
 LEAST = 8
 DISCOUNT = 0.75
 END = 0x7E4D
+ROOT = 0       # the empty context
+REST = 0x7E57  # stands for a token in the row that has a state's mass left
+FILTER_BITS, SEGMENT_BITS, KEY_BITS, PROBES = 1 << 28, 1 << 20, 12, 4
 BLOCKS = "block long, ids array<long>, held binary, stops binary, codes binary, hashes binary, counts binary"
 
 
@@ -142,106 +150,141 @@ def _over_blocks(table: DataFrame, make, schema: str, columns: list[str]) -> Dat
     return table.mapInArrow(run, schema)
 
 
-def _shifted(states: np.ndarray) -> np.ndarray:
-    """At each token, what ``states`` has at the token before it."""
-    return np.concatenate([np.array([-1], dtype=states.dtype), states[:-1]])
-
-
-class Tree:
-    """Candidate contexts. Level 1 holds token hashes; level L pairs (context of level L - 1, level-1 number of the word
-    after it). ``first[L]`` is the number of the first state of a level; states are numbered through all levels."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = np.sort(words)
-        self.levels: list[np.ndarray] = []           # sorted pair keys of levels 2, 3, ...
-        self.first = [0, 0, len(self.words)]         # by level
-        self.parent: list[np.ndarray] = [np.full(len(words), -1)]
-
-    def word_numbers(self, hashes: np.ndarray) -> np.ndarray:
-        return self._find(self.words, hashes)
-
-    @staticmethod
-    def _find(ordered: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        if not len(ordered):
-            return np.full(len(wanted), -1)
-        at = np.minimum(np.searchsorted(ordered, wanted), len(ordered) - 1)
-        return np.where(ordered[at] == wanted, at, -1)
-
-    def _step(self, level: int, before: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Number within ``level`` of the contexts made of a context of the level below and a word (-1: none)."""
-        at = np.flatnonzero((before >= 0) & (word >= 0))
-        out = np.full(len(word), -1, dtype=np.int32)
-        out[at] = self._find(self.levels[level - 2], before[at].astype(np.int64) * len(self.words) + word[at])
-        return out
-
-    def grow(self, before: np.ndarray, word: np.ndarray) -> None:
-        """Add a level: contexts of (number within the last level, word number)."""
-        keys = np.sort(before * len(self.words) + word)
-        level = len(self.levels) + 2
-        self.levels.append(keys)
-        before, word = keys // max(len(self.words), 1), keys % max(len(self.words), 1)
-        suffix = word if level == 2 else self._step(level - 1, self.parent[-1][before] - self.first[level - 2], word)
-        self.parent.append(np.where(suffix >= 0, suffix + self.first[level - 1], -1))
-        self.first.append(self.first[-1] + len(keys))
-
-    def states(self, block: Block) -> list[np.ndarray]:
-        """Per level, the state that ends at each token of a block (-1: none)."""
-        word = self.word_numbers(block.hashes).astype(np.int32)
-        word[0] = -1
-        word = word[block.codes]
-        inside, out = word, [word]
-        for level in range(2, len(self.levels) + 2):
-            inside = self._step(level, _shifted(inside), word)
-            out.append(np.where(inside >= 0, inside + np.int32(self.first[level]), np.int32(-1)))
-        return out
-
-
-def _next_counts(table: DataFrame, tree: Tree) -> DataFrame:
-    """(state, token, c) of the last level of the tree, for next tokens seen twice or more in training."""
+def extended(state: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Hash of the contexts made of a context and the token after it."""
+    x = state.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + token.view(np.uint64)
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(33))).view(np.int64)
+
+
+def _extend(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with each of ``columns`` extended by the column token."""
+    def run(batches):
+        for batch in batches:
+            value = lambda n: batch.column(batch.schema.get_field_index(n)).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(extended(value(n), value("token"))) if n in columns else batch.column(n)
+                 for n in batch.schema.names], names=batch.schema.names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+class Filter:
+    """A Bloom filter of ``count`` segments; a key has all its bits in one."""
+
+    def __init__(self, keys: int):
+        self.count = min(-(-KEY_BITS * keys // SEGMENT_BITS) or 1, FILTER_BITS // SEGMENT_BITS)
+        self.words = None  # broadcast
+
+    def place(self, keys: np.ndarray, probe: int) -> np.ndarray:
+        """One of the bits of each key."""
+        k = keys.view(np.uint64)
+        segment = (k >> np.uint64(44)) % np.uint64(self.count) * np.uint64(SEGMENT_BITS)
+        step = (k >> np.uint64(20)) | np.uint64(1)
+        return segment + ((k + np.uint64(probe) * step) & np.uint64(SEGMENT_BITS - 1))
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        """The places of the ``keys`` that may be in the filter."""
+        bits, at = self.words.value, np.arange(len(keys))
+        for probe in range(PROBES):
+            place = self.place(keys[at], probe)
+            at = at[(bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+        return at
+
+
+def filter_of(keys: DataFrame, column: str) -> Filter:
+    """A filter of the longs in ``column``. Each segment is made in one group; the driver gets no more than the filter's bits."""
+    made = Filter(keys.count())
+    count = made.count
+
+    def segment(rows: pa.Table) -> pa.Table:
+        bits = np.zeros(SEGMENT_BITS, dtype=bool)
+        number = rows.column("segment")[0].as_py()
+        keys = rows.column("key").to_numpy()
+        for probe in range(PROBES):
+            bits[made.place(keys, probe) & np.uint64(SEGMENT_BITS - 1)] = True
+        return pa.table({"segment": pa.array([number], pa.int64()),
+                         "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+    key = F.col(column)
+    rows = keys.select(key.alias("key"), F.pmod(F.shiftrightunsigned(key, 44), F.lit(count)).cast("long").alias("segment"))
+    size = SEGMENT_BITS // 8
+    words = np.zeros(count * size, dtype=np.uint8)
+    for r in rows.groupBy("segment").applyInArrow(segment, "segment long, bits binary").collect():
+        words[r.segment * size:(r.segment + 1) * size] = np.frombuffer(r.bits, dtype=np.uint8)
+    made.words = keys.sparkSession.sparkContext.broadcast(words)
+    return made
+
+
+def contexts(block: Block, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For contexts of 1 to ``depth`` words: the places of the tokens that such a context goes before, in order, and the
+    contexts' hashes. A text's first words have shorter contexts only."""
+    words, ends = block.hashes[block.codes], block.codes == 0
+    state, inside = np.zeros(len(words), dtype=np.int64), np.ones(len(words), dtype=bool)
+    for _ in range(depth):
+        # from the context that goes before a token to the one that ends with it and goes before the next
+        state = np.concatenate([np.zeros(1, dtype=np.int64), extended(state, words)[:-1]])
+        inside = np.concatenate([np.zeros(1, dtype=bool), (inside & ~ends)[:-1]])
+        at = np.flatnonzero(inside)
+        yield at, state[at]
+
+
+def _next_counts(table: DataFrame, candidates: DataFrame, level: int) -> DataFrame:
+    """(state, token, c) of the candidates of a level, for next tokens seen twice or more in training."""
+    known = filter_of(candidates, "state")
+
     def make(block: Block):
-        state = tree.states(block)[-1][:-1]
-        at = np.flatnonzero((state >= 0) & block.training[:-1])
-        key, c = np.unique(state[at].astype(np.int64) * len(block.hashes) + block.codes[at + 1], return_counts=True)
-        return key // len(block.hashes), block.hashes[key % len(block.hashes)], c
+        for at, state in contexts(block, level):
+            pass
+        keep = block.training[at]
+        at, state = at[keep], state[keep]
+        keep = known.has(state)
+        at, state = at[keep], state[keep]
+        token = block.hashes[block.codes[at]]
+        _, first, c = np.unique(extended(state, token), return_index=True, return_counts=True)
+        return state[first], token[first], c
 
     rows = _over_blocks(table, make, "state long, token long, c long", ["state", "token", "c"])
-    counts = rows.groupBy("state", "token").agg(F.sum("c").alias("c")).where("c > 1")
+    # few pairs meet again within a task: they are summed behind the shuffle
+    counts = rows.repartition("state", "token").groupBy("state", "token").agg(F.sum("c").alias("c")).where("c > 1")
     return materialize(counts, "next_counts", FEW_BLOCKS)
 
 
-def _level(counts: DataFrame, below: DataFrame, tree: Tree, sizes: dict[int, int]) -> tuple[DataFrame, dict]:
-    """Smoothed next-token table (state, token, c, entry, prob) of one level and {state: (retained, left)}; ``below``
-    (state, token, prob) has the distributions of the suffixes."""
-    level = len(tree.parent)
-    spark = counts.sparkSession
-    numbers = range(tree.first[level], tree.first[level + 1])
-    info = spark.createDataFrame(
-        [(s, int(tree.parent[-1][s - tree.first[level]]), sizes[s]) for s in numbers],
-        "state long, parent long, size long")
-    # at most 1 / least_share states a level
-    rows = (counts.join(F.broadcast(info), "state")
-            .join(below.select(F.col("state").alias("parent"), "token", F.col("prob").alias("q")), ["parent", "token"]))
+def _level(counts: DataFrame, candidates: DataFrame, below: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Smoothed next-token table (state, parent, token, c, entry, prob) of one level and (state, keep, rest) of its states
+    that have entries; ``below`` (state, token, prob) has the distributions of the suffixes."""
+    rows = counts.join(candidates, "state").join(
+        below.select(F.col("state").alias("parent"), "token", F.col("prob").alias("q")), ["parent", "token"])
+    rows = materialize(rows, "expected")
+    drop(counts)
     p = F.col("c") / F.col("size")
     diverges = F.col("c") * F.log(p / F.col("q")) > 0.5 * F.log("size")
     seen = rows.where(diverges).groupBy("state", "size").agg(
         F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("c"), F.sum("q").alias("q"),
         F.sum(p * F.log(p / F.col("q"))).alias("gain"))
-    found = {}
-    for r in seen.collect():
-        rest, rest_q = 1 - r.c / r["size"], max(1 - r.q, 1e-12)
-        gain = r.gain + (rest * math.log(rest / rest_q) if rest > 0 else 0.0)
-        found[r.state] = (r["size"] * gain > 0.5 * (r.kinds + 1) * math.log(r["size"]),
-                          1 - (r.c - DISCOUNT * r.kinds) / r["size"])
-    left = spark.createDataFrame([(s, found.get(s, (False, 1.0))[1]) for s in numbers], "state long, rest double")
+    rest, rest_q = 1 - p, F.greatest(1 - F.col("q"), F.lit(1e-12))
+    gain = F.col("gain") + F.when(F.col("c") < F.col("size"), rest * F.log(rest / rest_q)).otherwise(0.0)
+    found = materialize(seen.select(
+        "state", (F.col("size") * gain > 0.5 * (F.col("kinds") + 1) * F.log("size")).alias("keep"),
+        (1 - (F.col("c") - DISCOUNT * F.col("kinds")) / F.col("size")).alias("rest")), "left")
     entry = F.when(diverges, (F.col("c") - DISCOUNT) / F.col("size")).otherwise(0.0)
-    out = (rows.join(F.broadcast(left), "state").withColumn("entry", entry)
-           .withColumn("prob", F.col("entry") + F.col("rest") * F.col("q")))
-    return out.select("state", "token", "c", "entry", "prob"), found
+    out = (rows.join(found.select("state", "rest"), "state", "left").withColumn("entry", entry)
+           .withColumn("prob", F.col("entry") + F.coalesce("rest", F.lit(1.0)) * F.col("q")))
+    grown = materialize(out.select("state", "parent", "token", "c", "entry", "prob"), "next_tokens")
+    drop(rows)
+    return grown, found
+
+
+def _keyed(rows: DataFrame, state: Column, token: Column, value: Column, *others: str) -> DataFrame:
+    """(others, key, value): ``value`` under the hash of a state and a token, or ``REST``."""
+    rows = rows.select(*others, state.cast("long").alias("key"), token.cast("long").alias("token"), value.alias("value"))
+    return _extend(rows, ["key"]).drop("token")
 
 
 def learn(table: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE) -> dict:
-    """The tree of the training texts of ``table``: totals, states (retained, mass left) and the table ``entries``
-    (state, token, value), in which state -1 has the token counts."""
+    """The tree of the training texts of ``table``: totals, the table ``entries`` (key, value) and a filter of its keys. It
+    has the entries of every state and, for ``REST``, its mass left; ``roots`` has the token counts for the root."""
     def pairs(block: Block):
         at = np.flatnonzero(block.counts)
         return block.hashes[at], block.counts[at]
@@ -250,97 +293,96 @@ def learn(table: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE
     counts = materialize(counts.groupBy("token").agg(F.sum("c").alias("c")), "token_counts", FEW_BLOCKS)
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     least = max(LEAST, math.ceil(least_share * total))
-    words = counts.where((F.col("c") >= least) & (F.col("token") != END)).collect()  # at most 1 / least_share
-    tree = Tree(np.array([r.token for r in words], dtype=np.int64))
-    size_of = {r.token: r.c for r in words}
-    sizes = {i: size_of[t] for i, t in enumerate(tree.words.tolist())}
-    entries = counts.select(F.lit(-1).cast("long").alias("state"), "token", F.col("c").cast("double").alias("value"))
-    below = counts.select(F.lit(-1).cast("long").alias("state"), "token",
-                          ((F.col("c") + 0.5) / F.lit(total + 0.5 * (kinds + 1))).alias("prob"))
-    states: dict[int, tuple[bool, float]] = {}
+    grown = counts.select(
+        F.lit(ROOT).cast("long").alias("state"), F.lit(ROOT).cast("long").alias("parent"), "token", "c",
+        ((F.col("c") + 0.5) / F.lit(total + 0.5 * (kinds + 1))).alias("prob"))
+    levels = []
     for level in range(1, depth + 1):
-        if tree.first[level + 1] == tree.first[level]:
+        longer = grown.where((F.col("c") >= least) & (F.col("token") != END)).select(
+            "state", "parent", "token", F.col("c").alias("size"))
+        # the suffix of one word is the root
+        candidates = _extend(longer, ["state", "parent"] if level > 1 else ["state"]).drop("token")
+        candidates = materialize(candidates, "candidates")
+        if candidates.isEmpty():
             break
-        grown, found = _level(_next_counts(table, tree), below, tree, sizes)
-        grown = materialize(grown, "next_tokens")
-        states |= found
-        entries = entries.unionByName(grown.where("entry > 0").select("state", "token", F.col("entry").alias("value")))
-        below = grown.select("state", "token", "prob")
-        if level < depth:
-            longer = grown.where(F.col("c") >= least).select("state", "token", "c").collect()  # at most 1 / least_share
-            word = tree.word_numbers(np.array([r.token for r in longer], dtype=np.int64))
-            kept = [(r.state - tree.first[level], int(w), r.c) for r, w in zip(longer, word) if w >= 0]
-            before = np.array([k[0] for k in kept], dtype=np.int64)
-            tree.grow(before, np.array([k[1] for k in kept], dtype=np.int64))
-            base, keys = len(tree.words), tree.levels[-1]
-            size_of = {b * base + w: c for b, w, c in kept}
-            sizes |= {tree.first[level + 1] + i: size_of[k] for i, k in enumerate(keys.tolist())}
-    parent = np.concatenate(tree.parent).astype(np.int64)
-    retained = np.zeros(len(parent), dtype=bool)
-    rest = np.ones(len(parent))
-    for s, (keep, left) in states.items():
-        rest[s] = left
-        while keep and s >= 0:
-            retained[s] = True
-            s = parent[s]
-    return {"tree": tree, "retained": retained, "rest": rest, "entries": entries, "total": int(total),
-            "kinds": int(kinds)}
-
-
-def _asked(block: Block, tree: Tree, retained: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per level of the tree: the retained state before each token (-1: none)."""
-    return [_shifted(np.where((s >= 0) & retained[s], s, np.int32(-1))) for s in tree.states(block)]
+        below, (grown, found) = grown, _level(_next_counts(table, candidates, level), candidates, grown)
+        if level > 1:
+            drop(below)
+        own = _keyed(grown.where("entry > 0"), F.col("state"), F.col("token"), F.col("entry"), "state")
+        levels.append((candidates, materialize(own, "own_entries"), found))
+    if levels:
+        drop(grown)
+    roots = _keyed(counts, F.lit(ROOT), F.col("token"), F.col("c").cast("double"))
+    entries, above = roots.limit(0), None
+    for candidates, own, found in reversed(levels):
+        kept = found.where("keep").select("state")
+        if above is not None:  # suffixes stay in the tree
+            kept = kept.unionByName(above.select(F.col("parent").alias("state"))).distinct()
+        above = materialize(candidates.join(kept, "state").join(found, "state", "left").select(
+            "state", "parent", F.coalesce("rest", F.lit(1.0)).alias("rest")), "states")
+        entries = (entries.unionByName(_keyed(above, F.col("state"), F.lit(REST), F.col("rest")))
+                   .unionByName(own.join(above.select("state"), "state", "left_semi").drop("state")))
+    entries = materialize(entries, "entries")
+    for tables in levels:
+        drop(*tables)
+    return {"roots": roots, "entries": entries, "filter": filter_of(entries, "key"), "depth": len(levels),
+            "total": int(total), "kinds": int(kinds)}
+
+
+def _asked(block: Block, depth: int, known: Filter) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
+    """The keys a block asks for, those of its tokens at the root first, their values where there is no answer, and per
+    level (places of tokens with a context that may be a state, place of its mass left among the keys, place of the entry,
+    -1 for none)."""
+    keys, values, levels = [extended(np.zeros_like(block.hashes), block.hashes)], [np.zeros(len(block.hashes))], []
+    count = len(block.hashes)
+    for at, state in contexts(block, depth):
+        rest = extended(state, np.full(len(state), REST))
+        keep = known.has(rest)
+        at, state = at[keep], state[keep]
+        own, rest = np.unique(rest[keep], return_inverse=True)
+        keys.append(own)
+        values.append(np.ones(len(own)))  # what is no state leaves all its mass
+        rest, count = rest + count, count + len(own)
+        pair = extended(state, block.hashes[block.codes[at]])
+        some = known.has(pair)
+        own, number = np.unique(pair[some], return_inverse=True)
+        keys.append(own)
+        values.append(np.zeros(len(own)))
+        entry = np.full(len(at), -1)
+        entry[some] = number + count
+        count += len(own)
+        levels.append((at, rest, entry))
+    return np.concatenate(keys), np.concatenate(values), levels
 
 
 def score(table: DataFrame, model: dict) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of all texts of ``table``."""
-    tree, retained, rest = model["tree"], model["retained"], model["rest"]
-    total, norm = model["total"], model["total"] + 0.5 * (model["kinds"] + 1)
-    if not len(retained):
-        retained, rest = np.zeros(1, dtype=bool), np.ones(1)
+    total, norm, depth = model["total"], model["total"] + 0.5 * (model["kinds"] + 1), model["depth"]
+    known = model["filter"]
 
     def wanted(block: Block):
-        width = len(block.hashes)
-        keys = [np.arange(width) - width]            # state -1: the counts of all tokens
-        for state in _asked(block, tree, retained):
-            at = np.flatnonzero(state >= 0)
-            keys.append(np.unique(state[at].astype(np.int64) * width + block.codes[at]))
-        keys = np.concatenate(keys)
-        state = keys // width
-        code = keys - state * width
-        return np.full(len(keys), block.number), state, block.hashes[code], code
-
-    columns = ["block", "state", "token", "code"]
-    asked = _over_blocks(table, wanted, "block long, state long, token long, code long", columns)
-    # an answer names the token by its number in the block
-    answers = asked.join(model["entries"], ["state", "token"]).select(
-        "block", F.col("state").cast("int"), F.col("code").cast("int"), F.col("value"))
+        keys = _asked(block, depth, known)[0]
+        return np.full(len(keys), block.number), keys, np.arange(len(keys))
+
+    asked = _over_blocks(table, wanted, "block long, key long, place long", ["block", "key", "place"])
+    # an answer names what was asked by its place; no key is in the entries twice
+    answers = asked.join(model["entries"].unionByName(model["roots"]).hint("shuffle_hash"), "key").select(
+        "block", F.col("place").cast("int"), "value")
     answers = materialize(answers, "answers", FEW_BLOCKS)  # the shuffles behind it go before the blocks are dealt
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {n: [] for n in ("id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")}
-        state, code, value = (right.column(n).to_numpy() for n in ("state", "code", "value"))
+        place, value = right.column("place").to_numpy(), right.column("value").to_numpy()
         for at in range(left.num_rows):
             block = Block(left, at)
-            key = state.astype(np.int64) * len(block.hashes) + code
-            place = np.argsort(key)
-            key, found = key[place], value[place]
-
-            def answer(which: np.ndarray, codes: np.ndarray) -> np.ndarray:
-                if not len(key):
-                    return np.zeros(len(codes))
-                ask = which.astype(np.int64) * len(block.hashes) + codes
-                at = np.minimum(np.searchsorted(key, ask), len(key) - 1)
-                return np.where(key[at] == ask, found[at], 0.0)
-
-            width = len(block.hashes)
-            seen = answer(np.full(width, -1), np.arange(width))
+            _, found, levels = _asked(block, depth, known)
+            found[place] = value
+            seen = found[:len(block.hashes)]
             root = (seen + 0.5) / norm
             prob = root[block.codes]
             base = np.log10(root)[block.codes]
-            for states in _asked(block, tree, retained):
-                at = np.flatnonzero(states >= 0)
-                prob[at] = answer(states[at], block.codes[at]) + rest[states[at]] * prob[at]
+            for at, rest, entry in levels:
+                prob[at] = np.where(entry >= 0, found[entry], 0.0) + found[rest] * prob[at]
             sums = lambda x: np.add.reduceat(x, block.starts).tolist()
             ids = block.ids.as_py()
             out["id"] += ids

@@ -310,6 +310,33 @@ def test_rarer_contexts_are_states(spark):
     assert got.score > got.base_score + 2
 
 
+def test_contexts_do_not_depend_on_the_size_of_the_corpus(spark):
+    """A context of 0.005% of the training words is a state; all states agree with brute force."""
+    rows, out = sure_after(250_000, 12)
+    got = {r.id: r.score for r in suffix_tree.score_documents(cases.documents(spark, rows)).collect()}
+    want, keep = brute_tree(rows, 3, 0.0, suffix_tree.LEAST)
+    assert ("kith",) in keep
+    assert all(got[i] == pytest.approx(s, rel=1e-9) for i, s in want)
+
+
+def test_filters_lose_nothing_and_results_do_not_depend_on_them(spark, monkeypatch):
+    keys = np.random.default_rng(10).integers(-2**63, 2**63, 200_000)
+    made = suffix_tree.filter_of(spark.createDataFrame([(k,) for k in keys.tolist()], "key long"), "key")
+    assert made.count > 1 and len(made.has(keys)) == len(keys)
+    assert len(made.has(np.random.default_rng(11).integers(-2**63, 2**63, 100_000))) < 5000
+    rows, _ = sure_after(20_000, 12)
+    scores = lambda: {r.id: r.score for r in suffix_tree.score_documents(cases.documents(spark, rows)).collect()}
+    want, filter_of = scores(), suffix_tree.filter_of
+
+    def full(*args):
+        made = filter_of(*args)
+        made.words = spark.sparkContext.broadcast(np.full_like(made.words.value, 255))
+        return made
+
+    monkeypatch.setattr(suffix_tree, "filter_of", full)
+    assert scores() == pytest.approx(want, rel=1e-9)
+
+
 def test_small_table_queries_agree(spark, library):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     from comparo.llm.queries import QUERIES
