@@ -125,6 +125,20 @@ def test_fertility_bands_per_script(spark):
     assert fertility.script_of("123") == "other"
 
 
+def test_bands_reject_labelled_bad_texts_and_no_clean_one(spark):
+    from pyspark.sql import functions as F
+    # measures between those of bad and of clean labelled texts
+    rows = [("de", 1.95, 9.0, 1), ("en", 2.2, 6.24, 2), ("de", 2.06, 9.0, 0), ("en", 2.2, 6.6, 0)]
+    frame = spark.createDataFrame(rows, "lang string, chars_per_token double, entropy double, n int").selectExpr(
+        "*", "'Latin' AS script", "100L AS n_words", "0L AS n_repeat_words", "1024L AS n_tokens", "0D AS byte_share")
+    base, reasons = fertility.verdict(F.col("lang"), fertility.BANDS)
+    got = [r.reasons for r in frame.select(reasons.alias("reasons")).collect()]
+    assert got == [["few characters per token"], ["little entropy"], [], []]
+    clean = spark.read.parquet(f"{SF_CHECK}/labels.parquet").where("quality = 1").selectExpr("doc_id AS id").distinct()
+    found = fertility.rules(spark.read.parquet(f"{SF_CHECK}/documents.parquet"), VOCABULARY).join(clean, "id")
+    assert found.where("NOT base_failed AND NOT kept").count() == 0 < found.count()
+
+
 def test_keep_good(spark):
     docs = cases.documents(spark)
     kept = fertility.keep_good(docs, VOCABULARY)
