@@ -85,11 +85,11 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, training, id_col: s
 
 
 def first_by_hash(rows: DataFrame, sample: int) -> DataFrame:
-    """The rows whose ids come first in the order of a hash, ``sample`` of them (all rows if there are no more). Only
-    hashes are ordered; the rows stay where they are."""
-    order = F.xxhash64("id")
-    last = rows.select(order.alias("h")).orderBy("h").limit(sample).agg(F.count("h"), F.max("h")).first()
-    return rows if last[0] < sample else rows.where(order <= last[1])
+    """One row of each equal (id, text), those that come first in the order of a hash of both, ``sample`` of them (all if
+    there are no more). Only hashes are ordered; rows beyond the sample stay where they are."""
+    order = F.xxhash64("id", "text")
+    last = rows.select(order.alias("h")).distinct().orderBy("h").limit(sample).agg(F.count("h"), F.max("h")).first()
+    return (rows if last[0] < sample else rows.where(order <= last[1])).dropDuplicates(["id", "text"])
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:

@@ -67,6 +67,13 @@ def test_toxicity_without_labels_or_rows(spark):
     assert kept.columns == docs.columns and kept.count() == len(cases.TEXTS)
 
 
+def test_samples_are_bounded_when_ids_repeat(spark):
+    from comparo.llm.common import first_by_hash
+    rows = [(1, 1, f"text {k % 500}") for k in range(2000)] + [(k, 0, "other") for k in range(2, 100)]
+    frame = spark.createDataFrame(rows, "id long, y int, text string")
+    assert [first_by_hash(frame, n).count() for n in (1, 50, 598, 1000)] == [1, 50, 598, 598]
+
+
 def test_fit_finds_the_least_loss():
     rng = np.random.default_rng(2)
     rows = [sorted(set(rng.integers(0, 6, 3).tolist())) for _ in range(300)]
