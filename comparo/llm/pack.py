@@ -1,7 +1,8 @@
 """Packing of token pieces into sequences by bounded-space online best fit.
 
 Documents are encoded, closed with an end token and cut into pieces of at most ``limit`` tokens. Full pieces are
-sequences of their own. The others are dealt into groups of about ``GROUP`` pieces by a hash of their document and
+sequences of their own. The others are dealt into groups of about ``GROUP`` pieces by a hash of their document, place,
+length, checksum and a number written with them, so that rows with one repeated or null id spread over the groups, and
 packed group by group, one piece after the other, into a fixed number of open bins: bins stand in lists by
 free space, and a bit set (one integer, bit s for free space s) tells which lists are not empty, so the
 tightest bin that still holds a piece is the lowest set bit at or above its length. When a piece fits none and all
@@ -156,10 +157,13 @@ def pack(parts: DataFrame, limit: int = LIMIT, bins: int = OPEN_BINS, group: int
 
     ``parts`` is written out first: the number of groups follows the counted pieces, and a rerun of a lost task
     packs the same rows in the same order."""
-    parts = materialize(parts, "pieces")
+    columns = parts.dtypes
+    # the number tells equal pieces apart
+    parts = materialize(parts.withColumn("__salt", F.monotonically_increasing_id()), "pieces")
     count = parts.count()
     groups = max(1, -(-count // group))
-    rows = parts.withColumn("grp", F.pmod(F.xxhash64("id", "piece", F.lit(17)), F.lit(groups)).cast("int"))
+    rows = parts.withColumn("grp", F.pmod(F.xxhash64("id", "piece", "length", "ids_crc32", "__salt", F.lit(17)),
+                                          F.lit(groups)).cast("int")).drop("__salt")
     rows = (rows.repartition(groups, "grp")
             .sortWithinPartitions("grp", F.xxhash64("id", "piece"), "id", "piece", "length", "start", "ids_crc32"))
 
@@ -178,5 +182,5 @@ def pack(parts: DataFrame, limit: int = LIMIT, bins: int = OPEN_BINS, group: int
                 [*(batch.column(i) for i in keep), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())],
                 names=[*(batch.schema.names[i] for i in keep), "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in parts.dtypes) + ", sequence_id long, offset long"
+    schema = ", ".join(f"`{n}` {t}" for n, t in columns) + ", sequence_id long, offset long"
     return rows.mapInArrow(run, schema)

@@ -135,6 +135,18 @@ def test_pack_is_close_to_the_bound(spark):
     assert used <= 1.06 * -(-sum(r[2] for r in rows) // 4096)
 
 
+def test_pieces_of_one_id_spread_over_the_groups(spark):
+    parts = spark.createDataFrame([(None, 0, 7)] * 4000, "id long, piece int, length long").selectExpr(
+        "*", "0L AS start", "0L AS ids_crc32")
+    got = pack.pack(parts, group=1000)
+    assert got.columns == [*parts.columns, "sequence_id", "offset"]
+    got = got.collect()
+    check_packing(got, 4096)
+    assert len(got) == 4000
+    groups = collections.Counter(r.sequence_id >> 33 for r in got)
+    assert len(groups) == 4 and max(groups.values()) < 1500
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=80), st.integers(1, 5))
 def test_open_bins_choose_the_tightest(lengths, bins):
