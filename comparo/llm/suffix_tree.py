@@ -9,6 +9,8 @@ words. It is grown level by level:
   distribution q expects: c * ln((c / n) / q) must exceed ln(n) / 2, n being the context's count. A candidate is
   retained if its whole distribution diverges: n * KL must exceed ln(n) / 2 for each entry and one for the rest, which is
   pooled. Suffixes of retained contexts stay in the tree.
+* A next token seen once after a candidate has no entry, also where it would pass that test (q far below 1 / n); a next token
+  seen more often that does not pass it has none either. Both are scored with the mass left, through the suffix.
 * Distributions are smoothed: entries are counts less ``DISCOUNT``, the mass left goes to the distribution of the
   suffix, down to the root, which has (c + 0.5) / (N + 0.5 (V + 1)).
 
