@@ -55,10 +55,14 @@ class Vocabulary:
             if len(t) > 2:
                 self.reach[t[-3:]] = max(len(t), self.reach.get(t[-3:], 0))
 
+    @staticmethod
+    def ranks_of(path: str) -> dict[bytes, int]:
+        with open(path, "rb") as f:
+            return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
     @classmethod
     def load(cls, path: str) -> Vocabulary:
-        with open(path, "rb") as f:
-            return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
+        return cls(cls.ranks_of(path))
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens that merge into ``token``; itself twice for a single byte; None if no merges lead to it."""

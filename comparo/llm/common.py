@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql.types import StructType
 from comparo import session
 from comparo.sources.tables import read_table
 
-__all__ = ["Recent", "append_columns", "components", "documents", "drop", "first_by_hash", "labelled", "map_rows", "materialize", "remainder", "slices"]
+__all__ = ["Recent", "append_columns", "components", "documents", "drop", "first_by_hash", "job_conf", "labelled", "map_rows", "materialize", "remainder", "slices"]
 
 
 class Recent(dict):
@@ -38,19 +39,25 @@ class Recent(dict):
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str, conf: dict[str, str] | None = None, **options) -> DataFrame:
-    """``df`` written to the shared folder and read back; the shuffle files of the job go when it has ended. ``conf`` holds
-    for this job alone, ``options`` go to the writer."""
-    session_conf = df.sparkSession.conf
+@contextmanager
+def job_conf(spark: SparkSession, conf: dict[str, str] | None = None):
+    """Settings that hold inside; the shuffle files of a job that ends inside go with it."""
     wanted = {CLEANUP: "true"} | (conf or {})
-    before = {k: session_conf.get(k, None) for k in wanted}
+    before = {k: spark.conf.get(k, None) for k in wanted}
     try:
         for k, v in wanted.items():
-            session_conf.set(k, v)
-        return session.materialize(df, name, **options)
+            spark.conf.set(k, v)
+        yield
     finally:
         for k, v in before.items():
-            session_conf.unset(k) if v is None else session_conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def materialize(df: DataFrame, name: str, conf: dict[str, str] | None = None, **options) -> DataFrame:
+    """``df`` written to the shared folder and read back; the shuffle files of the job go when it has ended. ``conf`` holds
+    for this job alone, ``options`` go to the writer."""
+    with job_conf(df.sparkSession, conf):
+        return session.materialize(df, name, **options)
 
 
 def drop(*tables: DataFrame) -> None:

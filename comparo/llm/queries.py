@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from comparo.llm import (bpe_prefix, embed_lsh, fertility, length_hist, line_crf, pack, simhash_gray, suffix_dedup,
-                         suffix_tree, toxicity)
+from comparo.llm import (bpe_prefix, cross_tokens, embed_lsh, fertility, length_hist, line_crf, pack, simhash_gray,
+                         suffix_dedup, suffix_tree, toxicity, warc, whitening)
 from comparo.llm.common import documents
 from comparo.sources.tables import read_table
 
@@ -98,3 +98,27 @@ def op10(spark, sf_dir):
     path, pattern = bpe_prefix.public_vocabulary()
     lengths = bpe_prefix.token_counts(documents(spark, sf_dir), path, pattern)
     return length_hist.context_limits(length_hist.histogram(lengths))
+
+
+@register("op11_cross_tokens")
+def op11(spark, sf_dir):
+    return cross_tokens.score_documents(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+_WARC_SQL = """SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM (SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+    CASE WHEN octet_length(encode(payload)) >= 1000 AND page_id IS DISTINCT FROM max(page_id) OVER (PARTITION BY payload)
+      THEN max(page_id) OVER (PARTITION BY payload) END AS refers_to
+  FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages))"""
+
+
+@register("op12_warc_normaliser", _WARC_SQL)
+def op12(spark, sf_dir):
+    found = warc.round_trip(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
