@@ -53,10 +53,10 @@ def aligned(text, libraries):
     for s, e, i in spans[0]:
         while spans[1][low][1] <= s:
             low += 1
-        for s2, e2, j in spans[1][low:]:
-            if s2 >= e:
-                break
-            links.append((i, j))
+        k = low
+        while k < len(spans[1]) and spans[1][k][0] < e:
+            links.append((i, spans[1][k][2]))
+            k += 1
     cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
     groups, start = [], 0
     ends = [collections.defaultdict(list) for _ in spans]
