@@ -101,6 +101,8 @@ class Settings:
     knn_query_tile_rows: int = 16384
     # extra candidates re-ranked with exact distances after the matmul pre-rank.
     knn_rerank_margin: int = 16
+    # cells with bounds for blocks of several tiles: "auto" (when a sample shows that they pay), "always", "never"
+    knn_prune: str = "auto"
 
 
 DEFAULT = Settings()

@@ -54,7 +54,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", master):
             raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share (master {master})")
         conf = tempfile.mkdtemp(prefix="comparo-ckpt-", dir=os.environ.get("COMPARO_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", conf)
     spark.sparkContext.setCheckpointDir(conf)
     return spark.sparkContext.getCheckpointDir() or conf
 

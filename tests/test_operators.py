@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from comparo import config
 from comparo.operators import corpus_ops as C
 from comparo.operators.filters import spec_to_column
-from comparo.operators.knn import knn_filtered
+from comparo.operators.knn import knn_filtered, knn_pairs
 from comparo.operators.ranking import rank_best
 from comparo.operators.suffix import parse_domain, suffix_table
 
@@ -189,3 +189,70 @@ def test_knn_slices_do_not_change_results(spark, monkeypatch):
         dist = np.sqrt(((Q[k] - C[every]) ** 2).sum(1))
         best = np.lexsort((rank[every], dist))[:5]
         assert j[i == k].tolist() == every[best].tolist()
+
+
+def _clustered(spark, n_corpus=600, n_queries=40, clusters=12, dim=8):
+    """Vectors in tight groups, in two blocks: what cells are for."""
+    rng = np.random.default_rng(21)
+    centres = rng.normal(size=(clusters, dim)) * 10
+    point = lambda i: [float(x) for x in (centres[i % clusters] + rng.normal(size=dim) * 0.1).round(3)]
+    cats = ["Acronym", "Brandable", "Generic"]
+    corpus = [(f"c{i:04d}", ".com" if i % 5 else ".io", 5, cats[i % 2], cats[2 - i % 2], point(i)) for i in range(n_corpus)]
+    corpus += [(f"d{i:04d}", ".com", 5, "Acronym", None, corpus[0][5]) for i in range(60)]  # one vector, many rows
+    queries = [(i, 1, ".com" if i % 4 else ".io", 5 + i % 3 - 1, cats[i % 3], cats[(i + 1) % 3], point(i))
+               for i in range(n_queries)]
+    c = spark.createDataFrame(corpus, "id string, tld string, length int, primary_category string, "
+                                      "secondary_category string, embedding array<float>")
+    q = spark.createDataFrame(queries, "input_id long, query_index int, tld string, length int, "
+                                       "primary_category string, secondary_category string, embedding array<float>")
+    return corpus, queries, c, q
+
+
+def test_knn_cells_look_at_less_than_half_of_the_pairs(spark):
+    corpus, queries, c, q = _clustered(spark)
+    s = config.Settings(knn_tile_rows=20, knn_query_tile_rows=16)
+    got = knn_filtered(q, c, settings=s, k=7)  # "auto" finds that cells pay
+    assert sorted((r.input_id, r.query_index, r.id, r.rank) for r in got.collect()) == _brute(corpus, queries, 7, True)
+    pairs = {r.step: r.pairs for r in knn_pairs(q, c, settings=s, k=7).collect()}
+    assert set(pairs) == {"all", "first", "second"}
+    assert pairs["first"] + pairs["second"] < 0.5 * pairs["all"]
+
+
+@pytest.mark.parametrize("metric,use_tld,k", [("l2", True, 3), ("cosine", False, 400)])
+def test_knn_cells_give_the_same_as_one_pass(spark, metric, use_tld, k):
+    """Also where bounds rule nothing out, with zero vectors and fewer rows than k."""
+    for fixture in (_clustered, _random_fixture):
+        _, _, c, q = fixture(spark)
+        zero = [0.0] * len(c.first().embedding)
+        c = c.unionByName(spark.createDataFrame([("zero", ".com", 5, "Acronym", "Brandable", zero)], c.schema))
+        q = q.unionByName(spark.createDataFrame([(998, 1, ".com", 5, "Acronym", "Brandable", zero),
+                                                 (999, 1, ".zz", 40, "Acronym", "Brandable", zero)], q.schema))
+        runs = []
+        for prune in ("never", "always"):
+            s = config.Settings(knn_tile_rows=40, knn_query_tile_rows=30, knn_prune=prune)
+            found = knn_filtered(q, c, settings=s, k=k, metric=metric, use_tld=use_tld)
+            runs.append(sorted((r.input_id, r.query_index, r.rank, r.id, round(r.distance, 9)) for r in found.collect()))
+        assert runs[0] == runs[1]
+
+
+def test_knn_without_several_tiles_is_one_pass(spark):
+    _, _, c, q = _random_fixture(spark, n_corpus=60, n_queries=6)
+    pairs = {r.step: r.pairs for r in knn_pairs(q, c, k=5).collect()}
+    assert set(pairs) == {"all", "first"} and pairs["all"] == pairs["first"]
+
+
+def test_cell_bounds_hold():
+    """No row of a cell is nearer than the cell's bound."""
+    from comparo.operators import knn_cells as cells
+    rng = np.random.default_rng(2)
+    for metric in ("l2", "cosine"):
+        rows, queries = (cells.scaled(rng.normal(size=(n, 6)), metric) for n in (300, 50))
+        pivots = cells.farthest_first(rows[:64], 10)
+        away = cells.gaps(rows, pivots)
+        own, to_pivots = away.argmin(1), cells.gaps(queries, pivots)
+        for cell in range(len(pivots)):
+            mine = rows[own == cell]
+            if len(mine):
+                held = away[own == cell, cell]
+                bound = np.maximum(to_pivots[:, cell] - held.max(), held.min() - to_pivots[:, cell])
+                assert (cells.gaps(queries, mine).min(1) >= bound - 1e-9).all()
