@@ -262,6 +262,30 @@ def q_upsert_corpus(spark, sf_dir):
     return C.upsert(corpus.select(*C.CORPUS_COLUMNS), prepare_rows(fx.sales_raw(spark, sf_dir)))
 
 
+@register("upsert_keyed", O.with_(O.base_ctes(), *_BUILD_CTES)
+          + f"SELECT {_BUILT_COLS} FROM corpus WHERE id NOT IN (SELECT id FROM built) UNION ALL SELECT {_BUILT_COLS} FROM built")
+def q_upsert_keyed(spark, sf_dir):
+    """S10, U3 on a stored table: only buckets that hold a new id are rewritten."""
+    from comparo.session import shared_path
+    from comparo.sources import keyed_store
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
+    path = keyed_store.create(corpus.select(*C.CORPUS_COLUMNS), shared_path(spark, "keyed_corpus"), 16)
+    keyed_store.upsert_rows(spark, path, prepare_rows(fx.sales_raw(spark, sf_dir)))
+    return keyed_store.read(spark, path)
+
+
+@register("missing_keyed", O.with_(O.base_ctes(), *_BUILD_CTES)
+          + f"SELECT {_BUILT_COLS} FROM built WHERE id NOT IN (SELECT id FROM corpus)")
+def q_missing_keyed(spark, sf_dir):
+    """J4 on a stored table: rows of the sales file that are not stored, reading the ids of hit buckets only."""
+    from comparo.session import shared_path
+    from comparo.sources import keyed_store
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
+    path = keyed_store.create(corpus.select(*C.CORPUS_COLUMNS), shared_path(spark, "keyed_corpus"), 16)
+    rows = materialize(prepare_rows(fx.sales_raw(spark, sf_dir)), "sales_rows")
+    return keyed_store.missing(spark, path, rows).select(*C.CORPUS_COLUMNS)
+
+
 @register("backfill_metadata", O.with_(O.base_ctes(), O.suffix_split_cte("gsx", "corpus_gaps", "id",
                                                                          O.host_sql("domain")))
           + """SELECT g.id, CASE WHEN g.length IS NULL THEN CAST(length(s.sld) AS INTEGER) ELSE g.length END AS length,
@@ -275,6 +299,22 @@ def q_backfill_metadata(spark, sf_dir):
         "id", "length", "tld", "has_numbers", "backfilled")
 
 
+@register("backfill_keyed", O.with_(O.base_ctes(), O.suffix_split_cte("gsx", "corpus_gaps", "id", O.host_sql("domain")))
+          + """SELECT g.id, CASE WHEN g.length IS NULL THEN CAST(length(s.sld) AS INTEGER) ELSE g.length END AS length,
+  CASE WHEN g.length IS NULL THEN CASE WHEN s.sfx = '' THEN '' ELSE concat('.', s.sfx) END ELSE g.tld END AS tld,
+  CASE WHEN g.length IS NULL THEN regexp_matches(s.sld, '[0-9]') ELSE g.has_numbers END AS has_numbers
+FROM corpus_gaps g JOIN gsx s ON s.id = g.id""")
+def q_backfill_keyed(spark, sf_dir):
+    """S13, P19 on a stored table: only buckets with rows to fill are rewritten."""
+    from comparo.session import shared_path
+    from comparo.sources import keyed_store
+    corpus, _ = _inputs(spark, sf_dir, reuse=False)
+    gaps = fx.corpus_with_gaps(spark, sf_dir, corpus)
+    path = keyed_store.create(gaps, shared_path(spark, "keyed_gaps"), 16)
+    keyed_store.backfill_rows(spark, path)
+    return keyed_store.read(spark, path).select("id", "length", "tld", "has_numbers")
+
+
 @register("embed_hashing", O.with_(O.base_ctes()) + """SELECT doc_id, bucket, weight FROM (
   SELECT doc_id, bucket, n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)) AS weight FROM (
     SELECT doc_id, CAST(CAST(('0x' || substr(md5(tok), 1, 8)) AS BIGINT) % 64 AS INTEGER) AS bucket,
