@@ -6,13 +6,16 @@ table share its bucket. Every pair of a bucket is checked by cosine in double pr
 
 The number of hashes grows with the logarithm of the number of vectors, so that a bucket holds about ``CROWD`` unrelated
 vectors at any size; the number of tables follows from it, so that a pair at the threshold itself meets in some
-table with probability ``recall`` (closer pairs more surely). Nothing else is left out:
+table with probability ``recall`` (closer pairs more surely). A copy of a vector per table is what costs, comparing the vectors
+of a bucket is cheap, so buckets are crowded and tables few. Nothing else is left out:
 
 * Equal vectors are one class with a count, so copies are never compared with each other.
 * A bucket of more than ``TILE`` classes is cut into blocks, and each pair of blocks is a group of its own; no task
-  holds more than two blocks, however many vectors share a bucket.
-* A pair that meets in several tables counts in the first of them only. Groups return sums per class and star
-  edges, not pairs.
+  holds more than two blocks, however many vectors share a bucket. Only such buckets are listed: up to ``BROADCAST_BUCKETS``
+  are broadcast, so that vectors leave the scan with their block; more are joined by a shuffle.
+* A pair that meets in several tables counts in the first of them only. Its earlier keys are worked out again, for pairs
+  that link: vectors and projections are rounded to so few bits for hashing that their products are exact in any order, so
+  a vector has the same keys wherever they are worked out. Groups return sums per class and star edges, not pairs.
 
 Defined results: a vector that is null, zero, empty or holds a null or a non-finite component links with nothing.
 So does a row whose id is null; its component is null and it is not kept. Vectors of different dimension do not link.
@@ -32,8 +35,9 @@ from pyspark.sql import functions as F
 from comparo.llm.common import components, materialize
 
 CELL = 2.5
-CROWD = 4
-TILE = 512
+CROWD = 1024
+TILE = 2048
+BROADCAST_BUCKETS = 1_000_000  # rows of some 30 bytes
 
 
 def same_cell(distance: float, cell: float = CELL) -> float:
@@ -55,15 +59,18 @@ class Projections:
 
     def __init__(self, dim: int, hashes: int, tables: int):
         rng = np.random.Generator(np.random.PCG64([dim, hashes, tables]))
-        self.matrix = rng.standard_normal((dim, tables * hashes))
+        self.matrix = np.round(rng.standard_normal((dim, tables * hashes)) * 2**16) / 2**16
         self.shift = rng.uniform(0, CELL, tables * hashes)
         self.mix = rng.integers(1, 1 << 62, hashes, dtype=np.int64) * 2 + 1
         self.shape = (tables, hashes)
 
-    def keys(self, unit: np.ndarray) -> np.ndarray:
-        """One 32-bit bucket key per row and table."""
-        cells = np.floor((unit @ self.matrix + self.shift) / CELL).astype(np.int64)
-        mixed = (cells.reshape(-1, *self.shape) * self.mix).sum(axis=2)
+    def keys(self, unit: np.ndarray, tables: int | None = None) -> np.ndarray:
+        """One 32-bit bucket key per row and table, of the first ``tables``."""
+        tables, hashes = self.shape[0] if tables is None else tables, self.shape[1]
+        width = tables * hashes
+        rows = np.round(unit * 2**20) / 2**20
+        cells = np.floor((rows @ self.matrix[:, :width] + self.shift[:width]) / CELL).astype(np.int64)
+        mixed = (cells.reshape(-1, tables, hashes) * self.mix).sum(axis=2)
         mixed ^= mixed >> 31
         return (mixed * np.int64(0x2545F4914F6CDD1D) >> 32).astype(np.int32)
 
@@ -75,9 +82,10 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _hashed(classes: DataFrame, hashes: int, tables: int, width: str) -> DataFrame:
-    """A row per class and table: dim, tab, key, cls, n, vec and the keys of all tables."""
+def _hashed(classes: DataFrame, hashes: int, tables: int, width: str, vectors: bool) -> DataFrame:
+    """A row per class and table: dim, tab, key, and with ``vectors`` cls, n, vec."""
     kind = np.float32 if width == "float" else np.float64
+    schema = "dim int, tab int, key int" + ", cls long, n long, vec binary" * vectors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         projections = {}
@@ -91,21 +99,18 @@ def _hashed(classes: DataFrame, hashes: int, tables: int, width: str) -> DataFra
                 for at in range(0, len(x), 256):
                     part = x[at:at + 256]
                     keys = projections[dim].keys(unit_rows(part))
-                    cls = np.repeat(rows.column("cls").to_numpy()[at:at + 256], tables)
-                    n = np.repeat(rows.column("n").to_numpy()[at:at + 256], tables)
-                    vec = [v.tobytes() for v in part for _ in range(tables)]
-                    every = [k.tobytes() for k in keys for _ in range(tables)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(cls), dim, dtype=np.int32)),
-                         pa.array(np.tile(np.arange(tables, dtype=np.int32), len(part))), pa.array(keys.ravel()),
-                         pa.array(cls), pa.array(n), pa.array(vec, pa.binary()), pa.array(every, pa.binary())],
-                        names=["dim", "tab", "key", "cls", "n", "vec", "every"])
+                    columns = [pa.array(np.full(keys.size, dim, dtype=np.int32)),
+                               pa.array(np.tile(np.arange(tables, dtype=np.int32), len(part))), pa.array(keys.ravel())]
+                    if vectors:
+                        columns += [pa.array(np.repeat(rows.column(c).to_numpy()[at:at + 256], tables)) for c in ("cls", "n")]
+                        columns.append(pa.array([v.tobytes() for v in part for _ in range(tables)], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=["dim", "tab", "key", "cls", "n", "vec"][:len(columns)])
 
-    return classes.mapInArrow(run, "dim int, tab int, key int, cls long, n long, vec binary, every binary")
+    return classes.mapInArrow(run, schema)
 
 
-def group_links(x: np.ndarray, keys: np.ndarray, block: np.ndarray, table: int, threshold: float):
-    """Index pairs of one group that link and did not meet in an earlier table. Rows of two blocks are
+def group_links(x: np.ndarray, projections: Projections, block: np.ndarray, table: int, threshold: float):
+    """Index pairs of one group that link and whether they did not meet in an earlier table. Rows of two blocks are
     compared across the blocks only, rows of one block with each other."""
     unit = unit_rows(x)
     two = block.max() != block.min()
@@ -117,13 +122,17 @@ def group_links(x: np.ndarray, keys: np.ndarray, block: np.ndarray, table: int,
     i, j = np.nonzero(near)
     i, j = left[i], right[j]
     met = np.zeros(len(i), dtype=bool)
-    for at in range(0, len(i), 1 << 14):
-        part = slice(at, at + (1 << 14))
-        met[part] = (keys[i[part], :table] == keys[j[part], :table]).any(axis=1)
+    if table and len(i):
+        some, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+        keys = np.concatenate([projections.keys(unit[some[at:at + 256]], table) for at in range(0, len(some), 256)])
+        left, right = np.split(place, 2)
+        for at in range(0, len(i), 1 << 14):
+            part = slice(at, at + (1 << 14))
+            met[part] = (keys[left[part]] == keys[right[part]]).any(axis=1)
     return i, j, ~met
 
 
-def _check(tiles: DataFrame, threshold: float, width: str) -> DataFrame:
+def _check(tiles: DataFrame, hashes: int, tables: int, threshold: float, width: str) -> DataFrame:
     """Rows (a, b, n): n links of class a counted in a group, or a star edge to class b."""
     kind = np.float32 if width == "float" else np.float64
     group = ["dim", "tab", "key", "low", "high"]
@@ -131,6 +140,7 @@ def _check(tiles: DataFrame, threshold: float, width: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+        projections = {}
 
         def links(rows: pa.RecordBatch | pa.Table):
             if rows.num_rows < 2:
@@ -140,8 +150,10 @@ def _check(tiles: DataFrame, threshold: float, width: str) -> DataFrame:
             if get("low")[0] != get("high")[0] and block.min() == block.max():
                 return
             x = np.frombuffer(b"".join(rows.column("vec").to_pylist()), dtype=kind).reshape(len(cls), -1)
-            keys = np.frombuffer(b"".join(rows.column("every").to_pylist()), dtype=np.int32).reshape(len(cls), -1)
-            i, j, new = group_links(x, keys, block, int(get("tab")[0]), threshold)
+            dim = x.shape[1]
+            if dim not in projections:
+                projections[dim] = Projections(dim, hashes, tables)
+            i, j, new = group_links(x, projections[dim], block, int(get("tab")[0]), threshold)
             if not len(i):
                 return
             count = np.zeros(len(cls), dtype=np.int64)
@@ -184,7 +196,7 @@ def _check(tiles: DataFrame, threshold: float, width: str) -> DataFrame:
 
 
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9,
-                    recall: float = 0.99, tile: int = TILE) -> DataFrame:
+                    recall: float = 0.999, tile: int = TILE) -> DataFrame:
     """(id, n_links, component_id, kept) for every row of ``table``."""
     kind = dict(table.dtypes)[vec_col]
     width = "float" if kind == "array<float>" else "double"
@@ -198,17 +210,18 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
                .withColumn("cls", F.monotonically_increasing_id()).withColumn("dim", F.size("vec")))
     classes = materialize(classes, "vector_classes")
     hashes, tables = plan_tables(classes.count(), threshold, recall)
-    hashed = _hashed(classes, hashes, tables, width)
-
     bucket = ["dim", "tab", "key"]
-    sizes = hashed.groupBy(bucket).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    sizes = materialize(sizes.withColumn("blocks", F.ceil(F.col("size") / tile).cast("int")), "buckets")
-    placed = (hashed.join(sizes.drop("size"), bucket)
+    crowded = (_hashed(classes, hashes, tables, width, False).groupBy(bucket).agg(F.count(F.lit(1)).alias("size"))
+               .where(F.col("size") > tile).select(*bucket, F.ceil(F.col("size") / tile).cast("int").alias("blocks")))
+    crowded = materialize(crowded, "buckets")
+    listed = F.broadcast(crowded) if crowded.count() <= BROADCAST_BUCKETS else crowded.hint("merge")
+    placed = (_hashed(classes, hashes, tables, width, True).join(listed, bucket, "left")
+              .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
               .withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     placed = (placed.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
               .drop("blocks", "other"))
-    found = materialize(_check(placed, threshold, width), "vector_links")
+    found = materialize(_check(placed, hashes, tables, threshold, width), "vector_links")
     counts = found.where("n is not null").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("links"))
     roots = components(found.where("b is not null"), "a", "b")
     rooted = (classes.join(counts, "cls", "left").join(roots, classes.cls == roots.node, "left")
