@@ -3,18 +3,26 @@
 A host is matched against its last 1..K labels (K = most labels of any
 suffix) and the longest match wins. The built-in list (family TLDs plus a
 few multi-label suffixes) is a literal inside the expression. A user list
-such as the full public suffix list is one rule table, joined once per label count without a hint: the planner
-broadcasts it if its size allows (the full list is some 10k short rows), and splits a hot suffix otherwise.
+such as the full public suffix list (some 10k rules) is counted: up to
+``LOOKED_UP`` rules become one broadcast table that every host looks its
+suffixes up in, shortest first, in one pass over Arrow batches without any
+join, whatever K is. More rules are a table joined once per label count.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comparo import config
 from comparo.functions import domains as D
 
+LOOKED_UP = 200_000  # rules of a broadcast table, some 20 MB in a worker
+KINDS = {"normal": 1, "wildcard": 2, "exception": 4}
+
 
 def suffix_table(spark: SparkSession, suffixes: list[str] | None = None) -> DataFrame:
     """Suffix rules as a table (``suffix``, ``kind``). Lines follow the public suffix list format:
@@ -39,6 +47,39 @@ def _most_labels(suffixes: DataFrame) -> int:
     return int(suffixes.agg(F.max(F.size(F.split("suffix", r"\.")) + extra)).first()[0] or 1)
 
 
+def longest_suffix(host: str | None, rules: Mapping[str, int], most: int) -> str:
+    """Public suffix of ``host`` by ``rules`` (lower-case suffix -> sum of its ``KINDS``), in the host's letter case; '' if no
+    rule matches. An exception rule wins: the suffix is the rule without its leftmost label. Else the longest match."""
+    if host is None:
+        return ""
+    labels = host.split(".")
+    best, exception, below = "", None, 0
+    for k in range(1, min(most, len(labels)) + 1):
+        own = ".".join(labels[-k:])
+        kinds = rules.get(own.lower(), 0)
+        if kinds & KINDS["exception"]:
+            exception = ".".join(labels[1 - k:]) if k > 1 else ""
+        # "*.ck" names one label and covers two; the covered label must exist
+        if kinds & KINDS["normal"] or below & KINDS["wildcard"] and own:
+            best = own
+        below = kinds
+    return best if exception is None else exception
+
+
+def _looked_up(host: F.Column, table: DataFrame, most: int) -> F.Column:
+    kinds = F.sum(F.when(F.col("kind") == "normal", KINDS["normal"]).when(F.col("kind") == "wildcard", KINDS["wildcard"])
+                  .when(F.col("kind") == "exception", KINDS["exception"]))
+    rows = table.select("suffix", "kind").distinct().groupBy("suffix").agg(kinds.alias("kinds")).collect()
+    shared = table.sparkSession.sparkContext.broadcast({r.suffix: r.kinds or 0 for r in rows})
+
+    @F.pandas_udf("string")
+    def suffix(hosts: pd.Series) -> pd.Series:
+        rules = shared.value
+        return pd.Series([longest_suffix(h, rules, most) for h in hosts], dtype=object)
+
+    return suffix(host)
+
+
 def _sql_str(x: str) -> str:
     return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -55,19 +96,26 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
     last label. Lookup is case-insensitive, output keeps the input case.
     The built-in suffix list (~80 entries) is a literal in the expression;
     a user list (e.g. the full public suffix list, with ``*.`` wildcard and
-    ``!`` exception rules) is joined once per label count.
+    ``!`` exception rules) is a broadcast table, or joined once per label
+    count if it has more than ``LOOKED_UP`` rules.
     """
     host = F.col(host_col)
     out = df
     hits: dict[int, F.Column] = {}
-    if suffixes is None:
+    looked_up = None
+    if suffixes is not None:
+        table = suffixes if "kind" in suffixes.columns else suffixes.withColumn("kind", F.lit("normal"))
+        k_max = _most_labels(table)
+        if table.count() <= LOOKED_UP:
+            looked_up = _looked_up(host, table, k_max)
+    if looked_up is not None:
+        pass
+    elif suffixes is None:
         known = sorted({x.lower() for x in config.suffix_rows()})
         k_max = max(x.count(".") + 1 for x in known)
         for k in range(1, k_max + 1):
             hits[k] = _known_suffix(F.lower(D.last_labels(host, k)), known)
     else:
-        table = suffixes if "kind" in suffixes.columns else suffixes.withColumn("kind", F.lit("normal"))
-        k_max = _most_labels(table)
         kinds = [F.max(F.col("kind") == kind).alias(kind) for kind in ("normal", "wildcard", "exception")]
         rules = table.groupBy("suffix").agg(*kinds)
         found: dict[int, dict[str, F.Column]] = {}
@@ -90,7 +138,9 @@ def split_suffix(df: DataFrame, host_col: str, suffixes: DataFrame | None = None
     suffix_expr = F.lit("")
     for k in sorted(hits):  # longest match wins: later (longer) checks override
         suffix_expr = F.when(hits[k], D.last_labels(host, k)).otherwise(suffix_expr)
-    if suffixes is not None:
+    if looked_up is not None:
+        suffix_expr = looked_up
+    elif suffixes is not None:
         suffix_expr = F.coalesce(exc_suffix, suffix_expr)
     out = out.withColumn(f"{prefix}suffix", suffix_expr)
     sfx = F.col(f"{prefix}suffix")
@@ -107,8 +157,8 @@ def parse_domain(df: DataFrame, name_col: str = "domain", suffixes: DataFrame |
     """Add sld, tld, length, is_multi_word, has_numbers, numeric_percentage (names get ``prefix``).
 
     ``default_tld`` is used when no suffix is known ('.com' on the query and
-    CSV paths, '' on the metadata backfill path). Row-preserving: only
-    broadcast lookups, no shuffle.
+    CSV paths, '' on the metadata backfill path). Row-preserving. No shuffle, but for a
+    user list of more than ``LOOKED_UP`` rules, which is joined.
     """
     out = df.withColumn("__host", D.host_of(F.col(name_col)))
     out = split_suffix(out, "__host", suffixes, prefix="__")

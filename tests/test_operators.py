@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from comparo import config
 from comparo.operators import corpus_ops as C
 from comparo.operators.filters import spec_to_column
+from comparo.operators import suffix as suffix_rules
 from comparo.operators.knn import knn_filtered, knn_pairs
 from comparo.operators.ranking import rank_best
 from comparo.operators.suffix import parse_domain, suffix_table
@@ -154,7 +155,9 @@ def test_knn_skips_rows_without_vectors(spark):
     assert got.count() == knn_filtered(q, c, k=5).count()
 
 
-def test_suffix_wildcard_and_exception_rules(spark):
+@pytest.mark.parametrize("bound", [200_000, 0])
+def test_suffix_wildcard_and_exception_rules(spark, monkeypatch, bound):
+    monkeypatch.setattr(suffix_rules, "LOOKED_UP", bound)  # looked up, and joined
     table = suffix_table(spark, ["*.ck", "!www.ck", "uk", "co.uk", "com", "// a comment"])
     names = ["foo.bar.ck", "www.ck", "a.www.ck", "ck", "a.b.co.uk", "x.uk", "shop.example.com"]
     df = spark.createDataFrame([(n,) for n in names], "d string")
@@ -256,3 +259,21 @@ def test_cell_bounds_hold():
                 held = away[own == cell, cell]
                 bound = np.maximum(to_pivots[:, cell] - held.max(), held.min() - to_pivots[:, cell])
                 assert (cells.gaps(queries, mine).min(1) >= bound - 1e-9).all()
+
+
+def test_suffix_ten_thousand_rules_in_one_pass(spark, monkeypatch):
+    """Rules of one to five labels: no join in the plan, and the same suffixes as with the joins."""
+    rng = np.random.default_rng(11)
+    label = lambda: "".join(rng.choice(list("abcdef"), int(rng.integers(1, 4))))
+    lines = {".".join(label() for _ in range(int(rng.integers(1, 6)))) for _ in range(10_000)}
+    lines = sorted(lines) + ["*." + x for x in sorted(lines)[::50]] + ["!" + x for x in sorted(lines)[::70]]
+    table = suffix_table(spark, lines)
+    hosts = [".".join(label() for _ in range(int(rng.integers(0, 8)))) for _ in range(400)] + [None, "", "A.B.C", ".", "a..b"]
+    df = spark.createDataFrame([(h,) for h in hosts], "d string")
+    found = suffix_rules.split_suffix(df, "d", table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    monkeypatch.setattr(suffix_rules, "LOOKED_UP", 0)
+    joined = suffix_rules.split_suffix(df, "d", table)
+    key = lambda r: (r.d is None, r.d or "", r.suffix)
+    assert sorted(found.collect(), key=key) == sorted(joined.collect(), key=key)
