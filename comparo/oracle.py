@@ -203,19 +203,20 @@ def description_sql(doc: str) -> str:
 
 
 def knn_ctes(name: str, queries: str, use_tld: bool, k: int = 50, d: int = 2, corpus: str = "corpus") -> str:
-    """Top-k filtered neighbours as a plain theta join + row_number (the brute-force form)."""
+    """Top-k filtered neighbours, every pair of the filter's rows + row_number. A query has a row for each length of its band, so
+    that pairs are found by a hash join."""
     tld_cond = "c.tld_key = q.tld_key AND " if use_tld else ""
-    return f"""{name}_q AS (SELECT qq.*, coalesce(f.family, qq.tld) AS tld_key FROM {queries} qq
-    LEFT JOIN tld_families f ON f.tld = qq.tld),
-{name}_c AS (SELECT cc.id, cc.length, cc.primary_category, cc.secondary_category, cc.embedding,
+    return f"""{name}_q AS MATERIALIZED (SELECT qq.*, coalesce(f.family, qq.tld) AS tld_key,
+    qq.length + unnest(range(-{d}, {d} + 1)) AS band FROM {queries} qq LEFT JOIN tld_families f ON f.tld = qq.tld),
+{name}_c AS MATERIALIZED (SELECT cc.id, cc.length, cc.primary_category, cc.secondary_category, cc.embedding,
     coalesce(f.family, cc.tld) AS tld_key FROM {corpus} cc LEFT JOIN tld_families f ON f.tld = cc.tld),
 {name}_p AS (
   SELECT q.input_id, q.query_index, c.id,
     list_distance(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS distance
-  FROM {name}_q q JOIN {name}_c c ON {tld_cond}c.length BETWEEN q.length - {d} AND q.length + {d}
+  FROM {name}_q q JOIN {name}_c c ON {tld_cond}c.length = q.band
    AND (c.primary_category IN (q.primary_category, q.secondary_category)
         OR c.secondary_category IN (q.primary_category, q.secondary_category))),
-{name} AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY input_id, query_index
+{name} AS MATERIALIZED (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY input_id, query_index
     ORDER BY distance, id) AS INTEGER) AS rank FROM {name}_p) WHERE rank <= {k})"""
 
 
