@@ -23,6 +23,8 @@ METADATA_TYPE = StructType([
     StructField("primary_category", StringType()), StructField("secondary_category", StringType()),
     StructField("desc_index", IntegerType()), StructField("has_numbers", BooleanType())])
 
+MANIFEST = "_manifest"  # readers of the records pass over names that begin with an underscore
+
 # One backup record: {id, content, metadata, embedding}.
 BACKUP_SCHEMA = StructType([
     StructField("id", StringType()), StructField("content", StringType()), StructField("metadata", METADATA_TYPE),
@@ -67,10 +69,21 @@ def backup_name(now: _dt.datetime | None = None) -> str:
     return "backup_" + now.strftime("%Y%m%d_%H%M%S")
 
 
+def _fingerprint(spark: SparkSession, path: str) -> tuple[int, str]:
+    """(number, order-free checksum) of the lines of a backup."""
+    total = F.coalesce(F.sum(F.xxhash64("value").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    n, checksum = spark.read.text(path).agg(F.count(F.lit(1)), total).first()
+    return n, str(checksum)
+
+
 def backup_json(corpus: DataFrame, folder: str, now: _dt.datetime | None = None) -> str:
-    """JSON Lines records under ``{folder}/backup_%Y%m%d_%H%M%S``; returns that path."""
+    """JSON Lines records under ``{folder}/backup_%Y%m%d_%H%M%S``; returns that path. A manifest beside them has the number
+    of lines and their checksum, read back from what was written."""
     path = f"{folder.rstrip('/')}/{backup_name(now)}"
     to_records(corpus).write.mode("errorifexists").json(path)
+    spark = corpus.sparkSession
+    manifest = spark.createDataFrame([_fingerprint(spark, path)], "n_lines long, checksum string")
+    manifest.coalesce(1).write.json(f"{path}/{MANIFEST}")
     return path
 
 
@@ -87,14 +100,38 @@ def latest_backup(spark: SparkSession, folder: str) -> str:
 
 
 def read_backup(spark: SparkSession, path: str) -> DataFrame:
-    """Backup records with a fixed schema (no inference)."""
-    return spark.read.schema(BACKUP_SCHEMA).json(path)
+    """Backup records with a fixed schema (no inference). A malformed line raises when it is read."""
+    return spark.read.schema(BACKUP_SCHEMA).option("mode", "FAILFAST").json(path)
+
+
+def verify_backup(spark: SparkSession, path: str) -> bool:
+    """Raise if the lines of a backup are not those that its manifest counts. False if it has no manifest."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{MANIFEST}")
+    if not hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
+        return False
+    written = tuple(spark.read.schema("n_lines long, checksum string").json(f"{path.rstrip('/')}/{MANIFEST}").first())
+    found = _fingerprint(spark, path)
+    if written != found:
+        raise ValueError(f"backup {path} has {found[0]} lines (checksum {found[1]}), its manifest {written[0]} ({written[1]})")
+    return True
 
 
 def restore(spark: SparkSession, backup_path: str, target_folder: str) -> str:
-    """S9 (+ S12): the restored corpus is written to a new path under ``target_folder``; ids are kept."""
-    path = f"{target_folder.rstrip('/')}/restored_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%d_%H%M%S_%f')}"
-    from_records(read_backup(spark, backup_path)).write.mode("errorifexists").parquet(path)
+    """S9 (+ S12): the restored corpus is written to a new path under ``target_folder``; ids are kept.
+
+    The backup is verified first: one that lost or changed lines raises and nothing is written. Lines that are no
+    record, or have no id, are left out and kept as text in a ``quarantine_`` folder beside the restored corpus."""
+    verify_backup(spark, backup_path)
+    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
+    path = f"{target_folder.rstrip('/')}/restored_{stamp}"
+    broken = StructType([*BACKUP_SCHEMA.fields, StructField("broken_line", StringType())])
+    parsed = F.from_json("value", broken, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken_line"})
+    lines = spark.read.text(backup_path).where(F.trim("value") != "").withColumn("record", parsed)
+    good = F.col("record.broken_line").isNull() & F.col("record.id").isNotNull()
+    from_records(lines.where(good).select("record.*").drop("broken_line")).write.mode("errorifexists").parquet(path)
+    bad = lines.where(~good).select("value")
+    if not bad.isEmpty():
+        bad.write.mode("errorifexists").text(f"{target_folder.rstrip('/')}/quarantine_{stamp}")
     return path
 
 
