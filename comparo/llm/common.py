@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from comparo import session
 from comparo.sources.tables import read_table
 
-__all__ = ["Recent", "append_columns", "components", "documents", "drop", "first_by_hash", "job_conf", "labelled", "map_rows", "materialize", "remainder", "slices"]
+__all__ = ["Recent", "append_columns", "components", "documents", "drop", "first_by_hash", "free", "job_conf", "labelled", "map_rows", "materialize", "remainder", "slices"]
 
 
 class Recent(dict):
@@ -36,6 +36,7 @@ class Recent(dict):
         return value
 
 
+HUB = 64  # places that the edges of one node are dealt to
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -69,6 +70,13 @@ def drop(*tables: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def free(df: DataFrame, prefix: str) -> str:
+    """``prefix``, with more underscores before it if a column of ``df`` begins with it."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = "_" + prefix
+    return prefix
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
@@ -149,22 +157,31 @@ def _edges(df: DataFrame) -> tuple[DataFrame, tuple]:
     return e, tuple(state)
 
 
+def _meet_lowest(edges: DataFrame) -> DataFrame:
+    """``edges`` (u, v) with m, the smallest v of each u. Minima are taken in two steps and joined back by u and a hash of v, so
+    the edges of a hub are dealt to ``HUB`` places."""
+    salted = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(HUB)).cast("int"))
+    parts = salted.groupBy("u", "s").agg(F.min("v").alias("m"))
+    low = parts.groupBy("u").agg(F.min("m").alias("m"))
+    return salted.join(parts.select("u", "s").join(low, "u"), ["u", "s"]).select("u", "v", "m")
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of links (a, b) of longs by alternating large-star and small-star rounds.
 
     Returns (node, root), root being the smallest node reachable, for the nodes that have a link. Every round
-    is written to the shared folder; a node's neighbours are only reduced to their minimum and joined back, so
-    a hub is never gathered in one task. Only a count and a checksum come to the driver.
+    is written to the shared folder; a node's neighbours are only reduced to their minimum and met by it again, dealt by
+    node and a hash of the neighbour, so a hub is never gathered in one task. Only a count and a checksum come to the
+    driver.
     """
     edges, state = _edges(links.select(F.col(a).alias("u"), F.col(b).alias("v")))
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _meet_lowest(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         star = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        low = star.groupBy("u").agg(F.min("v").alias("m"))
-        small = (star.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))))
+        met = _meet_lowest(star)
+        small = (met.select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(star.groupBy("u").agg(F.min("v").alias("v"))))
         edges, after = _edges(small)
         if after == state:
             break

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import Recent, append_columns
+from comparo.llm.common import Recent, append_columns, free
 
 CACHE = 1 << 18
 SYMBOLS = "#*$%&|<>"
@@ -186,7 +186,7 @@ def rules(docs: DataFrame, path: str, bands: dict = BANDS, id_col: str = "doc_id
 def keep_good(docs: DataFrame, path: str, bands: dict = BANDS, text_col: str = "text",
               lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their own columns."""
-    prefix = "__fertility_"
+    prefix = free(docs, "__fertility_")
     base, reasons = verdict(_language(docs, lang_col), bands, prefix)
     return (measured(docs, path, text_col, prefix).where(~base & (F.size(reasons) == 0))
             .drop(*(prefix + c for c in COLUMNS)))

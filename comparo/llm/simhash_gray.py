@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import components, map_rows, materialize
+from comparo.llm.common import components, free, map_rows, materialize
 
 LEAF = 2048
 FANOUT = 8
@@ -213,7 +213,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     any of equal ids), with its own columns.
 
     The rows get numbers and are written out, so that rows with equal ids can be told apart."""
-    row = "__simhash_row"
+    row = free(docs, "__simhash_row")
     rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     groups = near_duplicates(rows, row, text_col, size, max_bits)
     least = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "id"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from comparo.llm.common import append_columns, materialize
+from comparo.llm.common import append_columns, free, materialize
 
 WIDTH = 100
 GRAM = 32
@@ -190,7 +190,7 @@ def with_key(docs: DataFrame, id_col: str, text_col: str, prefix: str = "") -> D
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, tag, text) only."""
-    prefix = "__key_"
+    prefix = free(docs.select(id_col, text_col), "__key_")
     return (with_key(docs.select(id_col, text_col), id_col, text_col, prefix)
             .select(*(F.col(prefix + c).alias(c) for c in ("id", "tag", "text"))))
 
@@ -266,7 +266,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 gram: int = GRAM) -> DataFrame:
     """``docs`` with the repeated bytes taken out of the text, its other columns as they are. Parts of a
     character that a cut leaves over are dropped; a text of nothing but repeats becomes empty; null stays null."""
-    prefix = "__repeat_"
+    prefix = free(docs, "__repeat_")
     spans = _gathered(keyed(docs, id_col, text_col), width, gram)
     spans = spans.select(*(F.col(c).alias(prefix + c) for c in ("id", "tag", "spans")))
     whole = with_key(docs, id_col, text_col, prefix).join(spans, [f"{prefix}id", f"{prefix}tag"], "left")

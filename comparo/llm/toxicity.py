@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from comparo.llm.common import (Recent, append_columns, first_by_hash, labelled, map_rows, materialize,
+from comparo.llm.common import (Recent, append_columns, first_by_hash, free, labelled, map_rows, materialize,
                                 remainder)
 
 BUCKETS = 1 << 20
@@ -232,4 +232,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, i
 
 def reject_toxic(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with their own columns."""
-    return with_score(docs, model, "__toxicity", text_col).where(F.col("__toxicity") < threshold).drop("__toxicity")
+    score = free(docs, "__toxicity")
+    return with_score(docs, model, score, text_col).where(F.col(score) < threshold).drop(score)

@@ -199,3 +199,51 @@ def test_links_agree_with_sql(spark):
     for name, sql in ORACLE.items():
         found = compare(spark, duck(SF_SMALL), name, QUERIES[name], sql, SF_SMALL)
         assert found["hash_match"] and found["spark_rows"] == found["oracle_rows"], found
+
+
+# --------------------------------------------------------------------------- names and hubs
+
+def test_columns_that_clash_with_internal_names(spark):
+    """Stages that return the documents' own columns leave them alone, whatever they are called."""
+    from comparo.llm import fertility, toxicity
+    rows = [(1, "The cat sat on the mat. " * 9), (2, "The cat sat on the mat. " * 9), (3, cases.PASSAGE), (4, None)]
+    names = ["__toxicity", "__fertility_script", "__fertility_n_words", "__simhash_row", "__repeat_id", "__repeat_spans",
+             "__Key_id", "_", "n", "u", "v", "s"]
+    docs = cases.documents(spark, rows)
+    docs = docs.selectExpr("*", *(f"concat('own ', '{k}') AS `{n}`" for k, n in enumerate(names)))
+    model = {"buckets": [], "weights": [], "intercept": 0.0, "share": None}
+    outs = [toxicity.reject_toxic(docs, model), fertility.keep_good(docs, fertility.public_vocabulary()),
+            simhash_gray.keep_one(docs), suffix_dedup.cut_repeats(docs)]
+    for out in outs:
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert [r[n] for n in names] == [f"own {k}" for k in range(len(names))]
+    assert sorted(r.doc_id for r in outs[2].collect()) == [1, 3, 4]
+
+
+def test_components_of_hubs_chains_and_cycles(spark):
+    """A hub of 100,000 edges, a long chain, a ring and repeated links, against their known smallest nodes."""
+    from pyspark.sql import functions as F
+    from comparo.llm.common import components
+    hub = spark.range(100_000).select(F.lit(50).alias("a"), (F.col("id") + 1000).alias("b"))
+    chain = spark.range(200_000, 200_040).select((F.col("id") + 1).alias("a"), F.col("id").alias("b"))
+    ring = spark.range(300_000, 300_010).select("id", F.when(F.col("id") == 300_009, 300_000).otherwise(F.col("id") + 1)).toDF("a", "b")
+    more = spark.createDataFrame([(7, 7), (5, 50), (5, 50), (400_001, 400_000)], "a long, b long")
+    got = components(hub.unionByName(chain).unionByName(ring).unionByName(more), "a", "b")
+    roots = {r.root: (r.n, r.low) for r in got.groupBy("root").agg(F.countDistinct("node").alias("n"), F.min("node").alias("low")).collect()}
+    assert roots == {5: (100_002, 5), 200_000: (41, 200_000), 300_000: (10, 300_000), 400_000: (2, 400_000)}
+    assert got.count() == 100_002 + 41 + 10 + 2
+
+
+def test_hub_edges_are_dealt_to_many_places(spark):
+    from pyspark.sql import functions as F
+    from comparo.llm import common
+    hub = spark.range(10_000).select(F.lit(5).cast("long").alias("u"), (F.col("id") + 10).alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = common._meet_lowest(hub).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sizes) > 4 and max(r["count"] for r in sizes) < 5000
