@@ -6,8 +6,9 @@ score is the mean probability of "good" of its lines, from the forward-backward
 lines' length in characters plus one.
 
 Labels exist for texts only, so in training each line carries its text's label. The weights are fitted on at most
-``sample`` labelled texts of at most ``LONGEST`` lines, the first in the order of a hash of their ids (documented
-bounds; the driver holds their line features only). Scoring covers all lines of all texts, inside the scan.
+``sample`` labelled texts with at most ``lines`` lines together, the first in the order of a hash of ids and texts (documented
+parameters; the driver holds their line features only, some 400 bytes a line while it fits). A text that has more lines
+alone is not fitted on. Scoring covers all lines of all texts, inside the scan.
 
 Defined results: a null text is empty; an empty text is one empty line. Labelled rows whose label is null are not used;
 of several labels of one id the largest counts; a null id has no label. Without rows of both labels the
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from comparo.llm.common import first_by_hash, labelled, map_rows, materialize, remainder
 
 SAMPLE = 10_000
-LONGEST = 2_000
+LINES = 400_000
 SYMBOLS = "#*$%&|<>"
 OWN = 15          # measures of a line
 SHARED = slice(2, 9)  # those that the neighbours also see
@@ -116,7 +117,7 @@ def fit(x: np.ndarray, lengths: np.ndarray, y: np.ndarray, ridge: float = 1e-3,
     return theta[:-4], theta[-4:].reshape(2, 2)
 
 
-def train(rows: DataFrame, sample: int = SAMPLE) -> dict:
+def train(rows: DataFrame, sample: int = SAMPLE, lines: int = LINES) -> dict:
     """Model of the labelled rows (id, y, text)."""
     rows = materialize(rows, "labelled")
     size = {r.y: r.n for r in rows.groupBy((F.col("y") > 0).cast("int").alias("y"))
@@ -130,8 +131,15 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> dict:
             return {"id": cols["id"], "y": cols["y"], "n": list(map(len, found)), "x": [f.tobytes() for f in found]}
         return run
 
-    short = F.regexp_count("text", F.lit("\n")) < LONGEST
-    chosen = first_by_hash(rows.where(short | F.col("text").isNull()), sample)
+    n_lines, order = F.coalesce(F.regexp_count("text", F.lit("\n")), F.lit(0)) + 1, F.xxhash64("id", "text")
+    chosen = first_by_hash(rows.where(n_lines <= lines), sample)
+    used, last = 0, None
+    for r in chosen.select(order.alias("h"), n_lines.alias("n")).orderBy("h").collect():  # two numbers a text
+        used += r.n
+        if used > lines:
+            break
+        last = r.h
+    chosen = chosen.where(order <= F.lit(last).cast("long"))
     got = map_rows(chosen, "id long, y int, n int, x binary", make).orderBy("id").collect()
     x = np.frombuffer(b"".join(r.x for r in got), dtype=np.float32).reshape(sum(r.n for r in got), -1)
     weights, move = fit(x.astype(np.float64), np.array([r.n for r in got]), np.array([int(r.y > 0) for r in got]))
@@ -167,10 +175,11 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id",
-            text_col: str = "text", label: str = "quality", sample: int = SAMPLE) -> DataFrame:
+            text_col: str = "text", label: str = "quality", sample: int = SAMPLE,
+            lines: int = LINES) -> DataFrame:
     """(id, held_out, score, predicted, n_lines, n_bad_lines); learns from the labelled rows that are not held out."""
     held_out = remainder(id_col, 3) == 1
-    model = train(labelled(docs, labels, label, ~held_out, id_col, text_col), sample)
+    model = train(labelled(docs, labels, label, ~held_out, id_col, text_col), sample, lines)
     scored = score(docs, model, id_col, text_col)
     return scored.select("id", (remainder("id", 3) == 1).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"), "n_lines", "n_bad_lines")

@@ -16,7 +16,7 @@ encoded run by run between ASCII white space, and a worker keeps the ids of the
 bounded size.
 
 Defined results: a null text is empty and packs as its end token alone; rows with equal ids are packed as
-documents of their own; a null id is packed like any other. Special tokens' strings in a text are ordinary text.
+documents of their own; a null id is packed like any other. The string of a special token in a text is that token, as in the library.
 Other columns are ignored.
 """
 
@@ -58,14 +58,17 @@ def encoder(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit integers.
 
     A run of printable Latin characters goes straight to the vocabulary's merges: lower case and the splitting pattern
-    are all that the library does to it before. Any other run goes through the whole tokenizer."""
+    are all that the library does to it before. Any other run goes through the whole tokenizer. The strings of special tokens
+    are cut out first and have their own ids, as in the library."""
     import re
     import struct
 
     import regex
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    special = {t.content: struct.pack("<I", i) for i, t in tokenizer.get_added_tokens_decoder().items() if t.special}
+    at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")" if special else "(?!)").split
+    tokenizer.encode_special_tokens = True  # what is left between them holds none
     merge, letters = tokenizer.model.tokenize, byte_letters()
     # fixed values: the splitting pattern of the vocabulary, in general and for lower-case printable ASCII
     ascii_words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
@@ -85,9 +88,14 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
     known = Recent(ids, CACHE)
 
-    def encode(text: str) -> bytes:
+    def plain(text: str) -> bytes:
         return b"".join([known[part] for part in spaces.split(text) if part])
 
+    def encode(text: str) -> bytes:
+        if not any(s in text for s in special):
+            return plain(text)
+        return b"".join(special[part] if part in special else plain(part) for part in at_special(text))
+
     return encode
 
 
@@ -134,7 +142,10 @@ class OpenBins:
         return number
 
     def put(self, length: int) -> tuple[int, int]:
-        """(bin, offset) for a piece of ``length`` tokens."""
+        """(bin, offset) for a piece of ``length`` tokens. A full piece is a closed bin of its own."""
+        if length == self.limit:
+            self.opened += 1
+            return self.opened - 1, 0
         fits = self.free >> length
         if fits:
             space = length + (fits & -fits).bit_length() - 1
