@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comparo.functions.scoring import clean_price
@@ -22,21 +22,14 @@ def clean_sales(raw: DataFrame) -> DataFrame:
             .withColumn("price", clean_price(F.col("price"))))
 
 
-def explode_descriptions(sales: DataFrame, null_as_text: bool = False) -> DataFrame:
-    """P6 + P7: one row per non-blank description, ``desc_index`` 1 or 2 by column (kept when
-    description_1 is blank), id ``{domain}__desc{i}``; a domain without any description yields no row.
+def _description(column: str, null_as_text: bool) -> Column:
+    c = F.col(column)
+    return strip_ws(F.coalesce(c, F.lit("nan")) if null_as_text else c)
 
-    ``null_as_text=True`` turns a missing description into the text ``"nan"`` (what a pandas read
-    followed by ``str()`` produces); by default a missing description is no description.
-    """
-    def prep(c):
-        c = F.col(c)
-        if null_as_text:
-            c = F.coalesce(c, F.lit("nan"))
-        return strip_ws(c)
-
-    pairs = F.array(F.struct(F.lit(1).alias("i"), prep("description_1").alias("t")),
-                    F.struct(F.lit(2).alias("i"), prep("description_2").alias("t")))
+
+def _exploded(sales: DataFrame, texts: list[Column]) -> DataFrame:
+    """A row for each text that is neither NULL nor blank, with desc_index, description and id."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), t.alias("t")) for i, t in enumerate(texts, 1)])
     kept = F.filter(pairs, lambda p: p["t"].isNotNull() & (p["t"] != ""))
     out = sales.select("*", F.explode(kept).alias("__d"))
     return (out.withColumn("desc_index", F.col("__d.i").cast("int"))
@@ -45,6 +38,31 @@ def explode_descriptions(sales: DataFrame, null_as_text: bool = False) -> DataFr
             .drop("__d"))
 
 
+def explode_descriptions(sales: DataFrame, null_as_text: bool = False) -> DataFrame:
+    """P6 + P7: one row per non-blank description, ``desc_index`` 1 or 2 by column (kept when
+    description_1 is blank), id ``{domain}__desc{i}``; a domain without any description yields no row.
+
+    ``null_as_text=True`` turns a missing description into the text ``"nan"`` (what a pandas read
+    followed by ``str()`` produces); by default a missing description is no description.
+    """
+    return _exploded(sales, [_description(c, null_as_text) for c in ("description_1", "description_2")])
+
+
+def first_descriptions(sales: DataFrame, order_col: str = "line_no", null_as_text: bool = False) -> DataFrame:
+    """:func:`explode_descriptions` and :func:`dedup_ids` in one: of each domain the first row (by ``order_col``) with a first
+    description and the first with a second one.
+
+    An id is a domain and an index, so one aggregate over (domain, order, two flags) names all winners before anything is
+    unpivoted; rows are unpivoted once, and only winners leave the join."""
+    texts = [_description(c, null_as_text) for c in ("description_1", "description_2")]
+    order = F.col(order_col)
+    firsts = [F.min(F.when(t.isNotNull() & (t != ""), order)).alias(f"__first{i}") for i, t in enumerate(texts, 1)]
+    rows = sales.join(sales.groupBy("domain").agg(*firsts), "domain")
+    won = [order.eqNullSafe(F.col(f"__first{i}")) for i in (1, 2)]
+    rows = _exploded(rows.where(won[0] | won[1]), [F.when(w, t) for w, t in zip(won, texts)])
+    return rows.drop("__first1", "__first2")
+
+
 def document_text(df: DataFrame) -> DataFrame:
     """``Domain: {d}. Category: {p}, {s}. Description: {t}``; a missing category reads ``Unknown``."""
     def cat(c):

@@ -262,6 +262,19 @@ def q_upsert_corpus(spark, sf_dir):
     return C.upsert(corpus.select(*C.CORPUS_COLUMNS), prepare_rows(fx.sales_raw(spark, sf_dir)))
 
 
+@register("provider_ledger", O.with_(O.base_ctes())
+          + "SELECT DISTINCT domain, upper(concat('Describe ', domain)) AS response, 1 AS attempts, CAST(NULL AS VARCHAR) AS error "
+            "FROM corpus")
+def q_provider_ledger(spark, sf_dir):
+    """X2 with a live provider asked through a ledger: each distinct domain once, also over a second run."""
+    from comparo.operators.provider_ledger import ask_once
+    from comparo.session import shared_path
+    domains = fx.corpus(spark, sf_dir).select("domain")
+    ledger, provider = shared_path(spark, "ledger"), lambda: lambda prompts: [p.upper() for p in prompts]
+    ask_once(domains, provider, "Describe {domain_name}", ledger)
+    return ask_once(domains, provider, "Describe {domain_name}", ledger)
+
+
 @register("upsert_keyed", O.with_(O.base_ctes(), *_BUILD_CTES)
           + f"SELECT {_BUILT_COLS} FROM corpus WHERE id NOT IN (SELECT id FROM built) UNION ALL SELECT {_BUILT_COLS} FROM built")
 def q_upsert_keyed(spark, sf_dir):

@@ -277,3 +277,16 @@ def test_suffix_ten_thousand_rules_in_one_pass(spark, monkeypatch):
     joined = suffix_rules.split_suffix(df, "d", table)
     key = lambda r: (r.d is None, r.d or "", r.suffix)
     assert sorted(found.collect(), key=key) == sorted(joined.collect(), key=key)
+
+
+def test_first_descriptions_are_exploded_and_deduplicated_rows(spark):
+    rng = np.random.default_rng(5)
+    texts = [None, "", "  ", "a", " b ", "c"]
+    rows = [(i, f"{'xyzuvw'[int(rng.integers(0, 6))]}.com", "1", texts[int(rng.integers(0, 6))], texts[int(rng.integers(0, 6))],
+             "A", "B", "p", "2001-01-01") for i in range(120)]
+    raw = spark.createDataFrame(rows, "line_no long, domain string, price string, description_1 string, description_2 string, "
+                                      "primary_category string, secondary_category string, platform string, date string").repartition(4)
+    sales = C.clean_sales(raw)
+    for nan in (False, True):
+        key = lambda df: sorted((r.id, r.line_no, r.description, r.desc_index) for r in df.collect())
+        assert key(C.first_descriptions(sales, "line_no", nan)) == key(C.dedup_ids(C.explode_descriptions(sales, nan)))
