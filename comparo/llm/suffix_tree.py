@@ -20,8 +20,10 @@ Texts are read once: a task packs them into blocks of about ``BLOCK`` bytes, eac
 tokens (as 64-bit hashes), their training counts and the texts as numbers into them. All later passes work on blocks with
 whole-array operations. A context is a 64-bit hash of its words, which a block works out by itself, so states are rows of
 tables like their next tokens: they are never broadcast and never pass through the driver. A block asks for the states
-and the pairs of state and token that it has, each once and by one hash, a join answers, and the answers meet the block
-again by their place among what it asked. The same join brings the counts of all its tokens.
+and the pairs of state and token that it has, and for its tokens, each once and by one hash. What it asks is sorted and sent as one
+compressed row to each bucket of the hashes, entries are packed by the same buckets (about ``KEYS`` each, so there are more
+on a larger corpus), and a group of a bucket answers with the values in the order asked. Blocks are scored in
+``WAVES`` parts, whose answers go before the next part asks.
 
 So that blocks do not send every context they have, they look it up in a Bloom filter of the candidates, states or entries
 first. It has at most ``FILTER_BITS`` bits (32 MB) on any corpus. It loses nothing: what it lets through by mistake goes in
@@ -46,7 +48,7 @@ from pyspark.sql import functions as F
 
 from comparo.llm.common import drop, materialize, remainder, slices
 
-BLOCK = 6 << 20
+BLOCK = 4 << 20
 DEPTH = 3
 LEAST_SHARE = 0.0
 LEAST = 8
@@ -54,6 +56,8 @@ DISCOUNT = 0.75
 END = 0x7E4D
 ROOT = 0       # the empty context
 REST = 0x7E57  # stands for a token in the row that has a state's mass left
+KEYS = 1 << 20   # keys of a bucket, about
+WAVES = 4        # parts of the blocks that are scored one after the other
 FILTER_BITS, SEGMENT_BITS, KEY_BITS, PROBES = 1 << 28, 1 << 20, 12, 4
 BLOCKS = "block long, ids array<long>, held binary, stops binary, codes binary, hashes binary, counts binary"
 
@@ -232,24 +236,60 @@ def contexts(block: Block, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]
         yield at, state[at]
 
 
-def _next_counts(table: DataFrame, candidates: DataFrame, level: int) -> DataFrame:
-    """(state, token, c) of the candidates of a level, for next tokens seen twice or more in training."""
-    known = filter_of(candidates, "state")
+def in_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each key (64 unsigned bits): equal ranges in the keys' order, so sorted keys have sorted buckets."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def bucket_column(key: Column, buckets: int) -> Column:
+    return F.shiftrightunsigned(F.shiftrightunsigned(key, 32) * F.lit(buckets).cast("long"), 32)
 
-    def make(block: Block):
-        for at, state in contexts(block, level):
-            pass
-        keep = block.training[at]
-        at, state = at[keep], state[keep]
-        keep = known.has(state)
-        at, state = at[keep], state[keep]
-        token = block.hashes[block.codes[at]]
-        _, first, c = np.unique(extended(state, token), return_index=True, return_counts=True)
-        return state[first], token[first], c
 
-    rows = _over_blocks(table, make, "state long, token long, c long", ["state", "token", "c"])
-    # few pairs meet again within a task: they are summed behind the shuffle
-    counts = rows.repartition("state", "token").groupBy("state", "token").agg(F.sum("c").alias("c")).where("c > 1")
+def _parts(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """(bucket, its slice) of sorted bucket numbers."""
+    cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield int(bucket[a]), slice(a, b)
+
+
+def _next_counts(table: DataFrame, candidates: DataFrame, level: int, total: int) -> DataFrame:
+    """(state, token, c) of the candidates of a level, for next tokens seen twice or more in training. A block sends one row
+    of packed pairs to each of the buckets of the pairs' hashes, so a group has about ``KEYS`` pairs on any corpus."""
+    known, buckets = filter_of(candidates, "state"), -(-total // KEYS) or 1
+    schema = pa.schema([("bucket", pa.int64()), ("states", pa.binary()), ("tokens", pa.binary()), ("c", pa.binary())])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = Block(batch, row)
+                for at, state in contexts(block, level):
+                    pass
+                keep = block.training[at]
+                at, state = at[keep], state[keep]
+                keep = known.has(state)
+                at, state = at[keep], state[keep]
+                token = block.hashes[block.codes[at]]
+                key, first, c = np.unique(extended(state, token).view(np.uint64), return_index=True, return_counts=True)
+                state, token, c = state[first], token[first], c.astype(np.int32)
+                for bucket, part in _parts(in_buckets(key, buckets)):
+                    order = np.argsort(state[part])  # equal states side by side pack well
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([bucket], pa.int64()),
+                         *(pa.array([packed(np.ascontiguousarray(x[part][order]))], pa.binary()) for x in (state, token, c))],
+                        schema=schema)
+
+    def summed(rows: pa.Table) -> pa.Table:
+        state, token, c = (np.concatenate([unpacked(v.as_buffer(), kind) for v in rows.column(n)])
+                           for n, kind in (("states", np.int64), ("tokens", np.int64), ("c", np.int32)))
+        _, first, number = np.unique(extended(state, token), return_index=True, return_inverse=True)
+        c = np.bincount(number, weights=c, minlength=len(first)).astype(np.int64)
+        twice = c > 1
+        first = first[twice]
+        return pa.table({"state": state[first], "token": token[first], "c": c[twice]})
+
+    rows = table.mapInArrow(pairs, "bucket long, states binary, tokens binary, c binary")
+    counts = rows.groupBy("bucket").applyInArrow(summed, "state long, token long, c long")
     return materialize(counts, "next_counts", FEW_BLOCKS)
 
 
@@ -307,7 +347,7 @@ def learn(table: DataFrame, depth: int = DEPTH, least_share: float = LEAST_SHARE
         candidates = materialize(candidates, "candidates")
         if candidates.isEmpty():
             break
-        below, (grown, found) = grown, _level(_next_counts(table, candidates, level), candidates, grown)
+        below, (grown, found) = grown, _level(_next_counts(table, candidates, level, total), candidates, grown)
         if level > 1:
             drop(below)
         own = _keyed(grown.where("entry > 0"), F.col("state"), F.col("token"), F.col("entry"), "state")
@@ -344,41 +384,99 @@ def _asked(block: Block, depth: int, known: Filter) -> tuple[np.ndarray, np.ndar
         own, rest = np.unique(rest[keep], return_inverse=True)
         keys.append(own)
         values.append(np.ones(len(own)))  # what is no state leaves all its mass
-        rest, count = rest + count, count + len(own)
+        rest, count = (rest + count).astype(np.int32), count + len(own)
         pair = extended(state, block.hashes[block.codes[at]])
         some = known.has(pair)
         own, number = np.unique(pair[some], return_inverse=True)
         keys.append(own)
         values.append(np.zeros(len(own)))
-        entry = np.full(len(at), -1)
+        entry = np.full(len(at), -1, dtype=np.int32)
         entry[some] = number + count
         count += len(own)
-        levels.append((at, rest, entry))
+        levels.append((at.astype(np.int32), rest, entry))
     return np.concatenate(keys), np.concatenate(values), levels
 
 
+def _asked_keys(block: Block, depth: int, known: Filter) -> np.ndarray:
+    """The keys of :func:`_asked` alone, in order as unsigned numbers."""
+    keys = [extended(np.zeros_like(block.hashes), block.hashes)]
+    for at, state in contexts(block, depth):
+        rest = extended(state, np.full(len(state), REST))
+        keep = known.has(rest)
+        keys.append(np.unique(rest[keep]))
+        pair = extended(state[keep], block.hashes[block.codes[at[keep]]])
+        keys.append(np.unique(pair[known.has(pair)]))
+    return np.sort(np.concatenate(keys).view(np.uint64))
+
+
 def score(table: DataFrame, model: dict) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of all texts of ``table``."""
     total, norm, depth = model["total"], model["total"] + 0.5 * (model["kinds"] + 1), model["depth"]
     known = model["filter"]
 
-    def wanted(block: Block):
-        keys = _asked(block, depth, known)[0]
-        return np.full(len(keys), block.number), keys, np.arange(len(keys))
+    entries = model["entries"].unionByName(model["roots"])
+    n_keys, n_blocks = entries.count(), table.count()
+    buckets = -(-n_keys // KEYS) or 1
+    # a block asks for about a sixth of its bytes; a group answers some 4 KEYS questions
+    salts = max(1, min(n_blocks, n_blocks * BLOCK // 6 // (4 * KEYS * buckets)))
+
+    def packed_entries(rows: pa.Table) -> pa.Table:
+        key, value = rows.column("key").to_numpy().view(np.uint64), rows.column("value").to_numpy()
+        order = np.argsort(key)
+        return pa.table({"bucket": rows.column("bucket").slice(0, 1).combine_chunks(),
+                         "keys": pa.array([packed(np.diff(key[order], prepend=np.uint64(0)))], pa.binary()),
+                         "found": pa.array([packed(value[order])], pa.binary())})
 
-    asked = _over_blocks(table, wanted, "block long, key long, place long", ["block", "key", "place"])
-    # an answer names what was asked by its place; no key is in the entries twice
-    answers = asked.join(model["entries"].unionByName(model["roots"]).hint("shuffle_hash"), "key").select(
-        "block", F.col("place").cast("int"), "value")
-    answers = materialize(answers, "answers", FEW_BLOCKS)  # the shuffles behind it go before the blocks are dealt
+    held = (entries.withColumn("bucket", bucket_column(F.col("key"), buckets)).groupBy("bucket")
+            .applyInArrow(packed_entries, "bucket long, keys binary, found binary"))
+    held = materialize(held, "packed_entries", FEW_BLOCKS)
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = Block(batch, row)
+                keys = _asked_keys(block, depth, known)
+                for bucket, part in _parts(in_buckets(keys, buckets)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block.number], pa.int64()), pa.array([bucket], pa.int64()),
+                         pa.array([packed(np.diff(keys[part], prepend=np.uint64(0)))], pa.binary())],
+                        names=["block", "bucket", "asked"])
+
+    def answered(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The value of every key asked for, NaN where there is none. No key is in the entries twice."""
+        out = {"block": left.column("block"), "bucket": left.column("bucket"), "values": []}
+        if right.num_rows:
+            keys = np.cumsum(unpacked(right.column("keys")[0].as_buffer(), np.uint64), dtype=np.uint64)
+            found = unpacked(right.column("found")[0].as_buffer(), np.float64)
+        for asked in left.column("asked"):
+            own = np.cumsum(unpacked(asked.as_buffer(), np.uint64), dtype=np.uint64)
+            values = np.full(len(own), np.nan)
+            if right.num_rows:
+                place = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                hit = keys[place] == own
+                values[hit] = found[place[hit]]
+            out["values"].append(packed(values))
+        return pa.table(out, schema=pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("values", pa.binary())]))
+
+    salt = F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int")
+    spread = held.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+    def answers_to(part: DataFrame) -> DataFrame:
+        asked = part.mapInArrow(wanted, "block long, bucket long, asked binary").withColumn("salt", salt)
+        found = (asked.groupBy("bucket", "salt").cogroup(spread.groupBy("bucket", "salt"))
+                 .applyInArrow(answered, "block long, bucket long, values binary"))
+        return materialize(found, "answers", FEW_BLOCKS)  # the shuffles behind it go before the blocks are dealt
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {n: [] for n in ("id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")}
-        place, value = right.column("place").to_numpy(), right.column("value").to_numpy()
-        for at in range(left.num_rows):
-            block = Block(left, at)
-            _, found, levels = _asked(block, depth, known)
-            found[place] = value
+        for row in range(left.num_rows):
+            block = Block(left, row)
+            keys, found, levels = _asked(block, depth, known)
+            by_bucket = sorted(zip(right.column("bucket").to_pylist(), range(right.num_rows)))
+            values = np.concatenate([unpacked(right.column("values")[k].as_buffer(), np.float64) for _, k in by_bucket])
+            order = np.argsort(keys.view(np.uint64))
+            known_values = ~np.isnan(values)
+            found[order[known_values]] = values[known_values]
             seen = found[:len(block.hashes)]
             root = (seen + 0.5) / norm
             prob = root[block.codes]
@@ -398,9 +496,17 @@ def score(table: DataFrame, model: dict) -> DataFrame:
             ("id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
             ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]))
 
-    return (table.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(meet, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                                "base_score double, score double"))
+    waves, scored = max(1, min(WAVES, n_blocks)), None
+    for wave in range(waves):
+        part = table.where(F.pmod(F.xxhash64("block"), F.lit(waves)) == wave)
+        answers = answers_to(part)
+        found = (part.groupBy("block").cogroup(answers.groupBy("block"))
+                 .applyInArrow(meet, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                                     "base_score double, score double"))
+        found = materialize(found, "scores", FEW_BLOCKS)
+        drop(answers)
+        scored = found if scored is None else scored.unionByName(found)
+    return scored
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
