@@ -194,6 +194,40 @@ def test_knn_slices_do_not_change_results(spark, monkeypatch):
         assert j[i == k].tolist() == every[best].tolist()
 
 
+def test_knn_ranks_chunk_by_chunk_with_many_copies(monkeypatch):
+    """More equal vectors than the margin, in more rows than a chunk: ties go by id, without a pass over all rows."""
+    from comparo.operators import knn
+    monkeypatch.setattr(knn, "CHUNK_ROWS", 64)
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(12, 8)).astype(np.float32).astype(float)
+    C, Q = points[rng.integers(0, 12, 700)], points[rng.integers(0, 12, 20)]
+    C[5], C[6], rank = np.nan, np.inf, rng.permutation(700)
+    allowed = rng.random((20, 700)) < 0.7
+    for metric in ("l2", "cosine"):
+        i, j, d = knn._rank_slice(Q, C, allowed, rank, 30, 2, metric)
+        for n in range(20):
+            every = np.array([x for x in np.flatnonzero(allowed[n]) if x not in (5, 6)])
+            a, b = Q[[n] * len(every)], C[every]
+            dist = (np.sqrt(((a - b) ** 2).sum(-1)) if metric == "l2" else
+                    1.0 - (a * b).sum(-1) / (np.linalg.norm(a, axis=-1) * np.linalg.norm(b, axis=-1)))
+            assert j[i == n].tolist() == every[np.lexsort((rank[every], dist))[:30]].tolist()
+
+
+def test_knn_has_a_list_for_each_category_of_a_query(spark, monkeypatch):
+    """The length band is spanned by copies of corpus rows: a query's lists grow with its categories and tiles only."""
+    from comparo.operators import knn
+    _, _, c, q = _random_fixture(spark)
+    seen, merged = [], knn._Search._merged
+
+    def counting(self, partial):
+        seen.extend(r["count"] for r in partial.groupBy("input_id", "query_index").count().collect())
+        return merged(self, partial)
+
+    monkeypatch.setattr(knn._Search, "_merged", counting)
+    knn_filtered(q, c, k=5).count()
+    assert seen and max(seen) <= 2
+
+
 def _clustered(spark, n_corpus=600, n_queries=40, clusters=12, dim=8):
     """Vectors in tight groups, in two blocks: what cells are for."""
     rng = np.random.default_rng(21)
