@@ -104,3 +104,14 @@ def test_vectors(spark):
     assert r.z == [0.0, 0.0]
     assert abs(r.c) < 1e-12
     assert r.t == [3.0, 4.0]
+
+
+def test_strip_looks_at_the_ends_only(spark):
+    """As str.strip, also for characters of several bytes, and by no regular expression."""
+    from comparo.functions.text import strip_ws
+    space = [chr(x) for x in range(0x3001) if chr(x).isspace()]
+    texts = ["", None, "a", " a b ", "\u200b x\u200b", "".join(space), "\u00e9 \u65e5\u3000", "\ud83d\ude00".encode("utf-16", "surrogatepass").decode("utf-16")]
+    texts += [f"{s}x{s}y{s}\n" for s in space] + [f"{chr(x)}z{chr(x)}" for x in (0x08, 0x0E, 0x1B, 0x84, 0x180E, 0x200B, 0x2060, 0xFEFF)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip_ws("t").alias("s"))
+    assert all(r.s == (None if r.t is None else r.t.strip()) for r in df.collect())
+    assert "regexp" not in df._jdf.queryExecution().executedPlan().toString()
