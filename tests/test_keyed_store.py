@@ -91,6 +91,20 @@ def test_missing_reads_hit_buckets_only(spark, table):
     assert "PartitionFilters" in scan and near.select("id").count() < 4000 / 8
 
 
+def test_missing_moves_ids_and_not_rows(spark, table):
+    """Few ids are missing, stored ids are too many to be broadcast: the rows are not shuffled. A null id is not stored."""
+    new = corpus(spark, 4003).withColumn("id", F.when(F.col("id") != "d4001", F.col("id")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")
+        found = K.missing(spark, table, new)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        assert sorted(map(str, (r.id for r in found.collect()))) == ["None", "d4000", "d4002"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_empty_changes_and_bucket_counts(spark, table):
     before = files(table)
     assert K.upsert_rows(spark, table, corpus(spark).limit(0)) == [] and files(table) == before
