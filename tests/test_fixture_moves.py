@@ -30,6 +30,14 @@ def test_rows_meet_their_vectors_before_their_texts(spark, tmp_path):
     assert got == sorted(want, key=lambda r: (r[0], r[1], r[2], r[3] or []))
 
 
+def test_an_upsert_works_its_new_rows_out_once(spark, tmp_path):
+    from comparo.registry import QUERIES
+    tables(spark, str(tmp_path))
+    out = QUERIES["upsert_corpus"](spark, str(tmp_path))
+    scans = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Relation [doc_id" in x]
+    assert len(scans) == 1 and out.count() > 0  # the stored rows' texts
+
+
 def test_descriptions_are_taken_from_a_corpus_without_vectors(spark, tmp_path):
     from comparo.registry import QUERIES
     tables(spark, str(tmp_path))
