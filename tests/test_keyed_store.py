@@ -110,3 +110,30 @@ def test_empty_changes_and_bucket_counts(spark, table):
     assert K.upsert_rows(spark, table, corpus(spark).limit(0)) == [] and files(table) == before
     assert K.bucket_count(0) == 1 and K.bucket_count(10**15) == K.MOST_BUCKETS
     assert K.bucket_count(K.BUCKET_ROWS + 1) == 2
+
+
+def shuffles_behind(spark, change):
+    """Shuffles in the job that writes the table."""
+    plans, write = [], K._write
+    K._write = lambda dealt, *args: (plans.append(dealt._jdf.queryExecution().executedPlan().toString()), write(dealt, *args))
+    try:
+        change()
+    finally:
+        K._write = write
+    return plans[0].count("Exchange hashpartitioning")
+
+
+def test_a_change_moves_rows_once(spark, table):
+    """Each side is dealt by bucket, and neither is moved again to find the rows that change, nor to write them."""
+    new = corpus(spark, 6000).where("CAST(substr(id, 2) AS INT) % 3 = 0").withColumn("price", F.lit(9.0))
+    want = rows(C.upsert(corpus(spark), new))
+    changes = corpus(spark, 2000).select("id", F.lit(7).alias("length"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert shuffles_behind(spark, lambda: K.upsert_rows(spark, table, new)) == 3  # stored rows, new ids, new rows
+        assert rows(K.read(spark, table)) == want
+        assert shuffles_behind(spark, lambda: K.update_rows(spark, table, changes)) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(K.read(spark, table)) == sorted((i, p, 7 if int(i[1:]) < 2000 else n) for i, p, n in want)
