@@ -77,3 +77,8 @@ def test_lines_that_are_no_records_are_set_aside(spark, folder):
         "no json", '{"content": "no id"}', '{"id": "b", "content": "cut']
     with pytest.raises(Exception):
         S.read_backup(spark, f"{folder}/foreign").collect()
+
+
+def test_a_restored_corpus_is_written_compressed(spark, folder):
+    path = S.restore(spark, S.backup_json(corpus(spark), folder), folder + "/live")
+    assert parts(path) and all(f.endswith(".zstd.parquet") for f in parts(path))
