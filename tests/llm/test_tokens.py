@@ -6,6 +6,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -222,6 +223,18 @@ def test_suffix_tree_awkward_rows(spark):
     assert all(np.isfinite(r.score) and r.score <= 0 for r in got)
 
 
+def test_suffix_tree_blocks_are_read_one_at_a_time(spark):
+    words = np.random.default_rng(3).integers(0, 50_000, 3_000_000).astype(str)
+    rows = [(i, " ".join(words[i::30])) for i in range(30)]
+    table = suffix_tree.blocks(cases.documents(spark, rows).coalesce(1))
+    assert table.count() > 3
+    for file in table.inputFiles():
+        made = pq.ParquetFile(file.removeprefix("file:")).metadata
+        for group in map(made.row_group, range(made.num_row_groups)):
+            assert group.total_byte_size <= suffix_tree.BLOCK
+            assert {group.column(n).compression for n in range(group.num_columns)} == {"UNCOMPRESSED"}
+
+
 def test_suffix_tree_empty_and_untrained(spark):
     assert suffix_tree.score_documents(cases.documents(spark, [])).count() == 0
     out = next(i for i in range(100) if cases.held_out(i, 5))
