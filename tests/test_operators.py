@@ -194,6 +194,28 @@ def test_knn_slices_do_not_change_results(spark, monkeypatch):
         assert j[i == k].tolist() == every[best].tolist()
 
 
+def test_knn_temporaries_stay_small():
+    import tracemalloc
+    from comparo.operators import knn
+    rng = np.random.default_rng(4)
+    Q, C, rank = rng.normal(size=(128, 64)), rng.normal(size=(3000, 64)), rng.permutation(3000)
+    allowed = np.ones((128, 3000), dtype=bool)
+    tracemalloc.start()
+    i, j, d = knn._rank_slice(Q, C, allowed, rank, 50, 16, "l2")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(d) == 128 * 50 and peak < 10 << 20
+
+
+def test_knn_kth_value_of_each_query():
+    from comparo.operators import knn
+    rows = np.array([2, 0, 0, 2, 0, 2, 3], dtype=np.int64)
+    near = np.array([-1.5, 3.0, -0.0, np.inf, -7.0, 1e-30, 4.0])
+    for kind in (np.float32, np.float64):
+        full, kth = knn._kth(rows, near.astype(kind), 5, 2)
+        assert full.tolist() == [0, 2] and kth.tolist() == [0.0, np.array(1e-30, kind)] and kth.dtype == kind
+
+
 def test_knn_ranks_chunk_by_chunk_with_many_copies(monkeypatch):
     """More equal vectors than the margin, in more rows than a chunk: ties go by id, without a pass over all rows."""
     from comparo.operators import knn
