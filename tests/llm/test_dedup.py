@@ -161,7 +161,7 @@ def test_keep_one(spark):
 @given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=8), st.integers(0, 2**32))
 def test_gray_index_finds_all_pairs(centres, seed):
     rng = np.random.default_rng(seed)
-    near = [c ^ sum(1 << int(b) for b in rng.integers(0, 64, rng.integers(0, 4))) for c in centres for _ in range(20)]
+    near = [c ^ sum({1 << int(b) for b in rng.integers(0, 64, rng.integers(0, 4))}) for c in centres for _ in range(20)]
     fps = np.unique(np.array(near, dtype=np.uint64))
     fps = fps[np.argsort(simhash_gray.gray_rank(fps))]
     i, j = simhash_gray.linked_pairs(fps, 2)
