@@ -346,3 +346,32 @@ def test_first_descriptions_are_exploded_and_deduplicated_rows(spark):
     for nan in (False, True):
         key = lambda df: sorted((r.id, r.line_no, r.description, r.desc_index) for r in df.collect())
         assert key(C.first_descriptions(sales, "line_no", nan)) == key(C.dedup_ids(C.explode_descriptions(sales, nan)))
+
+
+def test_recency_is_carried_not_parsed_per_candidate(spark):
+    """Candidates that carry the weight of their corpus row score as those that carry its date only."""
+    from comparo.operators.ranking import score_columns, with_recency
+    as_of = F.lit("2001-08-01 00:00:00").cast("timestamp")
+    rows = [("a", "2001-07-01"), ("b", "2000-12-01T10:00:00Z"), ("c", "1999-01-01"), ("d", None), ("e", "no date"),
+            ("f", "2001-02-30"), ("g", "2030-01-01")]
+    cands = spark.createDataFrame([(d, s, 0.25 * i, "Brandable", "Generic", "Generic", "Niche")
+                                   for i, (d, s) in enumerate(rows)],
+                                  "domain string, sale_date string, distance double, primary_category string, "
+                                  "secondary_category string, in_primary string, in_secondary string")
+    for settings in (config.DEFAULT, config.Settings(recency="constant")):
+        plain = score_columns(cands, as_of, settings)
+        carried = score_columns(with_recency(cands, as_of, settings).withColumn("sale_date", F.lit(None).cast("string")),
+                                as_of, settings)
+        assert carried.columns == plain.columns
+        assert carried.drop("sale_date").orderBy("domain").collect() == plain.drop("sale_date").orderBy("domain").collect()
+
+
+def test_rank_best_sorts_twice(spark):
+    """Once for both windows of a domain, once for the order of an input."""
+    df = spark.createDataFrame([(1, 1, 1, "a", 0.9), (1, 2, 1, "a", 0.9), (1, 1, 2, "b", 0.5)],
+                               "input_id long, query_index int, rank int, domain string, score double")
+    ranked = rank_best(df)
+    assert [(r.rank, r.domain, r.query_index) for r in ranked.orderBy("rank").collect()] == [(1, "a", 1), (2, "b", 1)]
+    assert ranked._jdf.queryExecution().sparkPlan().toString().count("Window [") == 3
+    plan = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count(" Sort [") == 2
