@@ -375,3 +375,27 @@ def test_rank_best_sorts_twice(spark):
     assert ranked._jdf.queryExecution().sparkPlan().toString().count("Window [") == 3
     plan = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count(" Sort [") == 2
+
+
+def test_retrieve_writes_what_is_read_twice(spark, monkeypatch):
+    """Without the fallback nothing reads the first tier again; with it, the inputs searched again are found once."""
+    from comparo.operators import retrieval
+    _, _, corpus, queries = _random_fixture(spark)
+    corpus = corpus.withColumn("domain", F.concat("id", "tld"))
+    queries = queries.withColumn("has_numbers", F.lit(True))
+    names, written = [], retrieval.materialize
+
+    def noted(df, name="stage", **options):
+        names.append(name)
+        return written(df, name, **options)
+
+    monkeypatch.setattr(retrieval, "materialize", noted)
+    key = ["input_id", "query_index", "rank", "id"]
+    first = {tuple(r) for r in retrieval.retrieve(queries, corpus, config.Settings(tld_fallback=False)).select(key).collect()}
+    assert first and names == []
+    both = retrieval.retrieve(queries, corpus).select(*key, "tier").collect()
+    assert names == ["tier1", "need"]
+    assert {tuple(r)[:4] for r in both if r.tier == 1} <= first
+    n = {r[0]: sum(x[0] == r[0] for x in first) for r in first}
+    assert all(n.get(r.input_id, 0) < 10 for r in both if r.tier == 2)
+    assert {r.input_id for r in both if r.tier == 1} == {i for i, m in n.items() if m >= 10}
