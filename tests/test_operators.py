@@ -399,3 +399,30 @@ def test_retrieve_writes_what_is_read_twice(spark, monkeypatch):
     n = {r[0]: sum(x[0] == r[0] for x in first) for r in first}
     assert all(n.get(r.input_id, 0) < 10 for r in both if r.tier == 2)
     assert {r.input_id for r in both if r.tier == 1} == {i for i, m in n.items() if m >= 10}
+
+
+def test_knn_lists_hold_numbers_whatever_is_carried(spark, monkeypatch):
+    """What is shuffled for a hit is its distance and the number of its row; carried columns of either side do not add to it, and
+    are those of the hit's own query and row, also where numbers of queries or ids of rows are not unique."""
+    from comparo.operators import knn
+    _, _, c, q = _random_fixture(spark)
+    c = c.withColumn("wide", F.concat(F.lit("w"), "id"))
+    c = c.unionByName(c.withColumn("wide", F.lit("copy")))
+    q = q.withColumn("own", F.concat(F.lit("a"), F.col("input_id")))
+    q = q.unionByName(q.where("input_id < 4").withColumn("own", F.lit("b")))
+    seen, merged = [], knn._Search._merged
+
+    def noted(self, partial):
+        seen.extend(partial.dtypes)
+        return merged(self, partial)
+
+    monkeypatch.setattr(knn._Search, "_merged", noted)
+    found = knn_filtered(q, c, k=5, carry_q=["own"], carry_c=["wide"]).collect()
+    assert dict(seen) == {"input_id": "bigint", "query_index": "int", "distances": "array<double>", "rows": "array<bigint>",
+                          "asker": "struct<own:string>"}
+    plain = knn_filtered(q, c, k=5).collect()
+    key = lambda r: (r.input_id, r.query_index, r["rank"], r.id, r.distance)
+    assert found and sorted(map(key, found)) == sorted(map(key, plain))
+    assert all(r.wide in (f"w{r.id}", "copy") and r.own in (f"a{r.input_id}", "b") for r in found)
+    assert {r.own for r in found if r.input_id < 4} > {"b"} and "b" not in {r.own for r in found if r.input_id >= 4}
+    assert {r.wide == "copy" for r in found} == {True, False}
