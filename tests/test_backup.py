@@ -82,3 +82,14 @@ def test_lines_that_are_no_records_are_set_aside(spark, folder):
 def test_a_restored_corpus_is_written_compressed(spark, folder):
     path = S.restore(spark, S.backup_json(corpus(spark), folder), folder + "/live")
     assert parts(path) and all(f.endswith(".zstd.parquet") for f in parts(path))
+
+
+def test_a_packed_backup_is_verified_and_restored(spark, folder, monkeypatch):
+    monkeypatch.setattr(S, "PACKED_ROWS", 7)
+    path = S.backup_json(corpus(spark), folder, compression="gzip")
+    assert len(parts(path)) > 3 and all(f.endswith(".json.gz") for f in parts(path))
+    assert S.verify_backup(spark, path) and S.read_backup(spark, path).count() == 50
+    assert rows(spark.read.parquet(S.restore(spark, path, folder))) == rows(corpus(spark))
+    os.remove(parts(path)[0])
+    with pytest.raises(ValueError, match="manifest"):
+        S.restore(spark, path, folder + "/out")
