@@ -137,3 +137,24 @@ def test_a_change_moves_rows_once(spark, table):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert rows(K.read(spark, table)) == sorted((i, p, 7 if int(i[1:]) < 2000 else n) for i, p, n in want)
+
+
+def test_a_backfill_moves_no_rows(spark, table):
+    """Rows are filled where they are read. Rows without an id are left, and ids that repeat are joined as an update joins them."""
+    want = rows(C.backfill_metadata(K.read(spark, table)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert shuffles_behind(spark, lambda: K.backfill_rows(spark, table)) == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(K.read(spark, table)) == want and "None" not in {str(r[2]) for r in want}
+
+
+def test_a_backfill_leaves_rows_without_an_id(spark):
+    odd = corpus(spark, 40).withColumn("id", F.when(F.col("id") != "d3", F.col("id"))).withColumn(
+        "length", F.when(F.col("id").isNotNull() & (F.col("id") != "d4"), F.col("length")))
+    path = K.create(odd, shared_path(spark, "odd_ids"), 4)
+    assert K.backfill_rows(spark, path)
+    assert [(r.id, r.length) for r in K.read(spark, path).where("length IS NULL").collect()] == [(None, None)]
+    assert K.read(spark, path).count() == 40
