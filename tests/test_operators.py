@@ -426,3 +426,16 @@ def test_knn_lists_hold_numbers_whatever_is_carried(spark, monkeypatch):
     assert all(r.wide in (f"w{r.id}", "copy") and r.own in (f"a{r.input_id}", "b") for r in found)
     assert {r.own for r in found if r.input_id < 4} > {"b"} and "b" not in {r.own for r in found if r.input_id >= 4}
     assert {r.wide == "copy" for r in found} == {True, False}
+
+
+def test_first_descriptions_move_no_texts_for_few_repeats(spark):
+    """Rows of domains that come once are not shuffled to learn that they won; null domains and null orders are as before."""
+    rows = [(i, f"x{i}.com", "a", "b") for i in range(200)] + [(900, "x1.com", "late", None), (None, "x2.com", "no order", "c"),
+                                                               (901, None, "no domain", "c"), (None, "y.com", None, "only")]
+    sales = spark.createDataFrame(rows, "line_no long, domain string, description_1 string, description_2 string").repartition(4)
+    found = C.first_descriptions(sales, "line_no")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    got = sorted((r.id, r.description) for r in found.collect())
+    assert got == sorted([(f"x{i}.com__desc{j}", t) for i in range(200) for j, t in ((1, "a"), (2, "b"))]
+                         + [("y.com__desc2", "only")])
